@@ -91,3 +91,18 @@ def clean_option(value: Column) -> Column:
 
 def nullif_empty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
+
+
+# T4 (dead in the analysed tool, offered as an operator): scanner tokens in scanner order. A token is
+# a '#' comment to the end of the line, a /* */ comment, a triple-quoted string (may span lines), a
+# quoted string with backslash escapes ending at its quote or at the end of the line, or plain text.
+MASK_TOKEN_RE = (r"(?s)#[^\n]*|/\*.*?(?:\*/|$)|\"\"\".*?(?:\"\"\"|$)|'\'\'.*?(?:'\'\'|$)"
+                 r"|\"(?:\\[^\n]|[^\"\\\n])*\"?|'(?:\\[^\n]|[^'\\\n])*'?|[^#/\"']+|.")
+
+
+def mask_source(text: Column) -> Column:
+    """T4: strings and comments replaced by spaces of the same length; newlines are kept (D10 fix)."""
+    toks = F.regexp_extract_all(text, F.lit(MASK_TOKEN_RE), 0)
+    masked = F.transform(toks, lambda t: F.when(t.rlike("^(#|/\\*|\"|')"), F.regexp_replace(t, "[^\n]", " "))
+                         .otherwise(t))
+    return F.array_join(masked, "")

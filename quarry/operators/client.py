@@ -150,6 +150,16 @@ def definition_properties(defs: DataFrame) -> DataFrame:
     return base.unionByName(aliases)
 
 
+def request_properties(reqs: DataFrame) -> DataFrame:
+    """S9 for requests: hookType always, fetchPolicy / errorPolicy when present."""
+    p = "GraphQL_Hook_Request."
+    return reqs.select("fullname", F.explode(F.array(
+        F.struct(F.lit(p + "hookType").alias("prop"), F.col("hook").alias("value")),
+        F.struct(F.lit(p + "fetchPolicy").alias("prop"), F.col("fetch_policy").alias("value")),
+        F.struct(F.lit(p + "errorPolicy").alias("prop"), F.col("error_policy").alias("value")))).alias("x")) \
+        .select("fullname", "x.*").filter(F.col("value").isNotNull())
+
+
 # ---------------------------------------------------------------------------------------------
 # Hooks -> requests
 # ---------------------------------------------------------------------------------------------

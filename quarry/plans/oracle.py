@@ -375,3 +375,129 @@ FROM kstat
 ORACLE["definition_counts"] = SC + """
 SELECT type, CAST(count(*) AS BIGINT) AS n_definitions FROM cdefs GROUP BY type
 """
+
+# ---------------------------------------------------------------- lineage
+ORACLE["outgoing_links"] = SC + """
+SELECT fullname AS caller, 'useLink' AS link_type, definition AS callee FROM creql WHERE definition IS NOT NULL
+"""
+ORACLE["incoming_links"] = SC + f"""
+, df AS (SELECT fullname, {DEF_OP} AS op, unnest(field_list) AS field_name FROM cdefs)
+SELECT i.field_fullname AS callee, 'useLink' AS link_type, df.fullname AS caller FROM df
+JOIN idx i ON i.op = df.op AND i.field_name = df.field_name
+"""
+ORACLE["request_fields"] = SC + """
+SELECT r.fullname AS request, r.definition, d.type AS definition_type, nullif(d.fields_selected, '') AS fields_selected
+FROM creql r LEFT JOIN cdefs d ON d.fullname = r.definition
+"""
+ORACLE["first_use_target"] = SC + """
+SELECT fullname AS request, definition AS target FROM creql WHERE definition IS NOT NULL
+"""
+ORACLE["resolver_verdicts"] = SCB + """
+, rv AS (SELECT r.fullname AS request, r.definition, d.type AS dtype, d.field_list[1] AS field
+         FROM creql r LEFT JOIN cdefs d ON d.fullname = r.definition),
+mn AS (SELECT name, count(*) AS n_methods,
+              count(*) FILTER (WHERE controller_ok AND contains(array_to_string(annotations, chr(1)), '@QueryMapping')) AS okq,
+              count(*) FILTER (WHERE controller_ok AND contains(array_to_string(annotations, chr(1)), '@MutationMapping')) AS okm,
+              count(*) FILTER (WHERE controller_ok AND contains(array_to_string(annotations, chr(1)), '@SubscriptionMapping')) AS oks
+       FROM kgate GROUP BY name),
+j AS (SELECT rv.*, coalesce(mn.n_methods, 0) AS n_methods,
+             coalesce(CASE rv.dtype WHEN 'GraphQLClientQuery' THEN mn.okq WHEN 'GraphQLClientMutation' THEN mn.okm
+                                    WHEN 'GraphQLClientSubscription' THEN mn.oks END, 0) AS n_valid
+      FROM rv LEFT JOIN mn ON mn.name = rv.field)
+SELECT request, definition, field, CAST(n_methods AS BIGINT) AS n_methods, CAST(n_valid AS BIGINT) AS n_valid,
+       CASE WHEN definition IS NULL THEN 'no_definition' WHEN field IS NULL THEN 'no_fields'
+            WHEN n_methods = 0 THEN 'no_method' WHEN n_valid > 0 THEN 'valid' ELSE 'all_filtered' END AS verdict
+FROM j
+"""
+ORACLE["method_index"] = SB + """
+SELECT name AS method_name, CAST(count(*) AS BIGINT) AS n_methods FROM kb WHERE type = 'JV_METHOD' GROUP BY name
+"""
+ORACLE["full_stack_trace"] = SCB + f"""
+, df AS (SELECT fullname, {DEF_OP} AS op, unnest(field_list) AS field_name FROM cdefs),
+dfl AS (SELECT df.fullname AS definition, i.field_fullname AS field FROM df
+        JOIN idx i ON i.op = df.op AND i.field_name = df.field_name),
+pf AS (SELECT field_fullname AS field, min(fullname) AS method, count(*) AS n_methods FROM kstat
+       WHERE status = 'linked' GROUP BY field_fullname)
+SELECT r.parent AS component, r.fullname AS request, r.definition, dfl.field, pf.method,
+       CAST(coalesce(pf.n_methods, 0) AS BIGINT) AS n_methods
+FROM creql r LEFT JOIN dfl ON dfl.definition = r.definition LEFT JOIN pf ON pf.field = dfl.field
+"""
+
+# ---------------------------------------------------------------- reports
+ORACLE["report_totals"] = S + """
+SELECT CAST((SELECT count(*) FROM sup) AS BIGINT) AS n_files, CAST((SELECT count(*) FROM obj) AS BIGINT) AS n_objects,
+       CAST((SELECT count(*) FROM res WHERE target IS NOT NULL) AS BIGINT) AS n_links, CAST(0 AS BIGINT) AS n_errors
+"""
+ORACLE["report_by_file"] = S + """
+SELECT path, CAST(count(*) AS BIGINT) AS n_objects FROM obj WHERE type <> 'GraphQLProgram' GROUP BY path
+"""
+ORACLE["report_by_type"] = S + """
+SELECT type, CAST(count(*) AS BIGINT) AS n_objects FROM obj GROUP BY type
+"""
+ORACLE["index_sizes"] = S + """
+SELECT op, CAST(count(*) AS BIGINT) AS n_fields FROM idx GROUP BY op
+"""
+ORACLE["client_totals"] = SC + """
+SELECT CAST((SELECT count(*) FROM cfiles WHERE apollo) AS BIGINT) AS n_client_files,
+       CAST((SELECT count(*) FROM cdefs) AS BIGINT) AS n_definitions,
+       CAST((SELECT count(DISTINCT name) FROM cdefs) AS BIGINT) AS n_definition_names
+"""
+
+
+def _type_category_values() -> str:
+    from ..sources.catalog import TYPE_CATEGORIES
+    rows = ", ".join(f"('{t}', '{c}')" for t, cats in TYPE_CATEGORIES for c in cats)
+    return f"tc(type, category) AS (VALUES {rows})"
+
+
+ORACLE["objects_by_category"] = _with(SCHEMA, CLIENT, _type_category_values()) + """
+, typed AS (SELECT type FROM obj UNION ALL SELECT type FROM cdefs UNION ALL SELECT type FROM creqs)
+SELECT tc.category, CAST(count(*) AS BIGINT) AS n_objects FROM typed JOIN tc ON tc.type = typed.type GROUP BY tc.category
+"""
+ORACLE["property_inventory"] = SC + """
+, d AS (SELECT type, count(*) FILTER (WHERE operation_name IS NOT NULL) AS op_n, count(*) AS raw_n,
+               count(*) FILTER (WHERE variables <> '') AS var_n, count(*) FILTER (WHERE fields_selected <> '') AS fs_n
+        FROM cdefs GROUP BY type),
+r AS (SELECT type, count(*) AS hook_n, count(fetch_policy) AS fp_n, count(error_policy) AS ep_n FROM creqs GROUP BY type)
+SELECT type, 'GraphQL_Client_Definition.operationName' AS prop, CAST(op_n AS BIGINT) AS n_with_value FROM d
+UNION ALL SELECT type, 'GraphQL_Client_Definition.rawQueryText', CAST(raw_n AS BIGINT) FROM d
+UNION ALL SELECT type, 'GraphQL_Client_Definition.variables', CAST(var_n AS BIGINT) FROM d
+UNION ALL SELECT type, 'GraphQL_Client_Definition.fieldsSelected', CAST(fs_n AS BIGINT) FROM d
+UNION ALL SELECT type, 'GraphQL_Hook_Request.hookType', CAST(hook_n AS BIGINT) FROM r
+UNION ALL SELECT type, 'GraphQL_Hook_Request.fetchPolicy', CAST(fp_n AS BIGINT) FROM r
+UNION ALL SELECT type, 'GraphQL_Hook_Request.errorPolicy', CAST(ep_n AS BIGINT) FROM r
+"""
+
+# ---------------------------------------------------------------- imports (I1-I4), masking (T4)
+IMPORTS = """
+ip AS (SELECT p_partkey AS pk, printf('lib/b%02d.src', CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER)) AS path,
+              'brand/' || regexp_extract(p_brand, '#(\\d+)', 1) AS m, regexp_extract(p_brand, '#(\\d+)', 1) AS n,
+              string_split(p_name, ' ')[1] AS w1, string_split(p_name, ' ')[2] AS w2, lower(p_type) AS t FROM part),
+ipl AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY pk) AS line FROM ip),
+imp AS (
+  SELECT path, line, w1 AS name, m AS source FROM ipl WHERE pk % 5 = 0
+  UNION ALL SELECT path, line, w2, m FROM ipl WHERE pk % 5 = 0
+  UNION ALL SELECT path, line, w2 || 'x', m FROM ipl WHERE pk % 5 = 0
+  UNION ALL SELECT path, line, t || '.' || w1, w2 || ', ' || w1 FROM ipl WHERE pk % 5 = 1
+  UNION ALL SELECT path, line, w1, w1 FROM ipl WHERE pk % 5 = 2
+  UNION ALL SELECT path, line, n, m FROM ipl WHERE pk % 5 IN (3, 4)
+)
+"""
+ORACLE["imports"] = _with(IMPORTS) + """
+SELECT path, CAST(line AS BIGINT) AS line, name, source FROM imp
+"""
+ORACLE["import_map"] = _with(IMPORTS) + """
+SELECT path, name, arg_max(source, line) AS source FROM imp GROUP BY path, name
+"""
+ORACLE["masked_text"] = """
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(length(html) AS BIGINT) AS n_chars,
+       CAST(length(html) - length(replace(html, chr(10), '')) AS BIGINT) AS n_newlines FROM pages
+"""
+
+# ---------------------------------------------------------------- handlers
+ORACLE["custom_handlers"] = S + """
+SELECT 'type_def' AS pattern_key, CAST(3 * count(*) AS BIGINT) AS n_roots FROM sup
+UNION ALL SELECT 'enum_def', CAST(count(*) AS BIGINT) FROM sup
+UNION ALL SELECT 'input_def', CAST(count(*) AS BIGINT) FROM decl
+UNION ALL SELECT 'type_extend', CAST(count(*) AS BIGINT) FROM sup WHERE s % 2 = 1
+"""

@@ -110,6 +110,9 @@ class Analysis:
     def field_method_links(self) -> DataFrame:
         return L.field_method_links(self.method_matches())
 
+    def import_lines(self) -> DataFrame:
+        return self._get("import_lines", lambda: cut(K.import_corpus(self.spark, self.sf_dir)))
+
     def all_links(self) -> DataFrame:
         cols = ["link_type", "caller", "callee"]
         return self.schema_links().select(*cols).unionByName(self.client_links().select(*cols)) \

@@ -294,3 +294,130 @@ def link_summary(spark, d):
 @query("definition_counts")
 def definition_counts(spark, d):
     return L.definition_counts(_defs(spark, d))
+
+
+# ---------------------------------------------------------------- lineage
+from ..operators import extend as X  # noqa: E402
+from ..operators import imports as I  # noqa: E402
+from ..operators import lineage as G  # noqa: E402
+from ..operators import report as A  # noqa: E402
+
+
+@query("outgoing_links")
+def outgoing_links(spark, d):
+    a = analysis_for(spark, d)
+    return G.outgoing_links(a.all_links(), a.requests()).select("caller", "link_type", "callee")
+
+
+@query("incoming_links")
+def incoming_links(spark, d):
+    a = analysis_for(spark, d)
+    fields = a.objects().filter(F.col("type") == "GraphQLField")
+    return G.incoming_links(a.all_links(), fields).select("callee", "link_type", "caller")
+
+
+@query("request_fields")
+def request_fields(spark, d):
+    a = analysis_for(spark, d)
+    return G.request_fields(a.requests(), a.definitions()).select("request", "definition", "definition_type",
+                                                                   "fields_selected")
+
+
+@query("first_use_target")
+def first_use_target(spark, d):
+    a = analysis_for(spark, d)
+    use = a.client_links().filter(F.col("link_type") == "useLink")
+    return use.groupBy(F.col("caller").alias("request")).agg(F.min("callee").alias("target"))
+
+
+@query("resolver_verdicts")
+def resolver_verdicts(spark, d):
+    a = analysis_for(spark, d)
+    return G.resolver_verdicts(a.requests(), a.definitions(), a.backend())
+
+
+@query("method_index")
+def method_index(spark, d):
+    return G.method_index(analysis_for(spark, d).backend())
+
+
+@query("full_stack_trace")
+def full_stack_trace(spark, d):
+    a = analysis_for(spark, d)
+    return G.full_stack_trace(a.requests(), a.definition_field_links(), a.field_method_links())
+
+
+# ---------------------------------------------------------------- reports
+@query("report_totals")
+def report_totals(spark, d):
+    a = analysis_for(spark, d)
+    return A.report_totals(a.schema_input()[1], a.objects(), a.schema_links())
+
+
+@query("report_by_file")
+def report_by_file(spark, d):
+    return A.report_by_file(analysis_for(spark, d).objects())
+
+
+@query("report_by_type")
+def report_by_type(spark, d):
+    return A.report_by_type(analysis_for(spark, d).objects())
+
+
+@query("index_sizes")
+def index_sizes(spark, d):
+    return A.index_sizes(analysis_for(spark, d).schema_index())
+
+
+@query("client_totals")
+def client_totals(spark, d):
+    a = analysis_for(spark, d)
+    return A.client_totals(a.client_files(), a.definitions())
+
+
+def _typed(a):
+    return a.objects().select("fullname", "type") \
+        .unionByName(a.definitions().select("fullname", "type")) \
+        .unionByName(a.requests().select("fullname", "type"))
+
+
+@query("objects_by_category")
+def objects_by_category(spark, d):
+    return A.objects_by_category(_typed(analysis_for(spark, d)))
+
+
+@query("property_inventory")
+def property_inventory(spark, d):
+    a = analysis_for(spark, d)
+    props = C.definition_properties(a.definitions()).unionByName(C.request_properties(a.requests()))
+    typed = a.definitions().select("fullname", "type").unionByName(a.requests().select("fullname", "type"))
+    return A.property_inventory(typed, props)
+
+
+# ---------------------------------------------------------------- imports (I1-I4), masking (T4)
+@query("imports")
+def imports(spark, d):
+    return I.extract_imports(analysis_for(spark, d).import_lines()).select("path", *_big("line"), "name", "source")
+
+
+@query("import_map")
+def import_map(spark, d):
+    return I.import_map(I.extract_imports(analysis_for(spark, d).import_lines()))
+
+
+@query("masked_text")
+def masked_text(spark, d):
+    pages = read_table(spark, d, "pages")
+    m = T.mask_source(F.col("html"))
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), m.alias("m")).select(
+        "page_id", F.length("m").cast("bigint").alias("n_chars"),
+        (F.length("m") - F.length(F.replace(F.col("m"), F.lit("\n"), F.lit("")))).cast("bigint").alias("n_newlines"))
+
+
+# ---------------------------------------------------------------- handlers
+@query("custom_handlers")
+def custom_handlers(spark, d):
+    reg = X.HandlerRegistry()
+    reg.register("type_extend", X.count_by_key)
+    reg.register_pattern(r".*_def", X.count_by_key)
+    return reg.apply(analysis_for(spark, d).nodes()).select("pattern_key", "n_roots")

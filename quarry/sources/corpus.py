@@ -274,3 +274,29 @@ def backend_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.format_string("%s.helper%d", cls_full, s).alias("fullname"),
                               F.array(F.lit("@Bean")).alias("annotations"))
     return classes.unionByName(methods).unionByName(helpers).withColumn("obj_id", F.col("obj_id").cast("long"))
+
+
+# ----------------------------------------------------------------------------------------------
+# Import line corpus — one file per brand ``lib/b<2 digits>.src``, one line per part (pk order)
+# ----------------------------------------------------------------------------------------------
+# module m = brand/<n> for Brand#<n>; words w1 w2 of p_name; t = lower(p_type); by pk % 5:
+#   0  import { w1, w2 as w2x } from "m";
+#   1  from t.w1 import w2, w1
+#   2  import w1 from 'm';
+#   3  const w1 = require("m");
+#   4  import "m";
+
+def import_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("pk"), F.regexp_extract("p_brand", r"#(\d+)", 1).alias("n"),
+        F.split("p_name", " ").alias("w"), F.lower("p_type").alias("t"))
+    part = part.withColumn("path", F.format_string("lib/b%02d.src", F.col("n").cast("int")))
+    part = dense_position(part, ["path"], "pk", "line")
+    pk, w1, w2 = F.col("pk"), F.element_at("w", 1), F.element_at("w", 2)
+    m = F.concat(F.lit("brand/"), F.col("n"))
+    text = F.when(pk % 5 == 0, F.format_string('import { %s, %s as %sx } from "%s";', w1, w2, w2, m)) \
+        .when(pk % 5 == 1, F.format_string("from %s.%s import %s, %s", F.col("t"), w1, w2, w1)) \
+        .when(pk % 5 == 2, F.format_string("import %s from '%s';", w1, m)) \
+        .when(pk % 5 == 3, F.format_string('const %s = require("%s");', w1, m)) \
+        .otherwise(F.format_string('import "%s";', m))
+    return part.select("path", F.col("line").cast("int").alias("line"), text.alias("text"))
