@@ -2,13 +2,21 @@
 
 Operators reuse an intermediate table in several branches (e.g. the classified lines feed the depth
 sum, the node table and the close events). Without a materialisation point Spark re-plans and
-re-executes the shared subtree once per branch. ``persist`` keeps it in memory/disk (lost blocks are
-recomputed from lineage, so executor loss is survivable); ``cut`` writes a reliable checkpoint into
-the session's ``spark.checkpoint.dir`` (a shared folder on a cluster) and truncates the lineage.
+re-executes the shared subtree once per branch.
+
+* ``persist`` keeps a table in memory/disk; lost blocks are recomputed from lineage, so executor loss
+  is survivable.
+* ``cut`` writes the table as parquet into the session's ``spark.checkpoint.dir`` (the shared folder
+  a cluster names there; tests get a scratch folder only when it is unset) and reads it back. The
+  lineage is truncated, the data is computed exactly once (``Dataset.checkpoint`` would compute it
+  twice unless cached), and later stages get column pruning and filter pushdown on the stored table.
+  A lost executor cannot lose it: the files live in shared storage.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -19,7 +27,9 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss and bounds plan size."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "stage") -> DataFrame:
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/quarry/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.patterns import DEFAULT_PATTERNS, PatternSet, classifier_regex
+from ..functions.patterns import DEFAULT_PATTERNS, PatternSet, classifier_branches
 from ..functions.materialize import persist
 from ..functions.prefix import running_sum
 from ..sources.files import brace_counts
@@ -38,26 +38,61 @@ def _map_literal(d: dict[str, str]) -> Column:
 
 
 def classify(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS, text_col: str = "text") -> DataFrame:
-    """X2 + X3: add pattern_key, name, obj_type, expected_parent (all null when no pattern matches)."""
-    regex, repl, keys = classifier_regex(ps)
+    """X2 + X3: add pattern_key, name, obj_type, expected_parent (all null when no pattern matches).
+
+    Lines are dispatched on their first word / first character to the branch holding only the
+    alternatives that can match them (``classifier_branches``), in the original priority order.
+    Per line one regex of one branch runs, as a ``regexp_replace`` whose replacement prints every
+    alternative's whole-match group separated by U+0001, then U+0002 and the name groups: groups that
+    did not take part print as empty, so the number of leading U+0001 is the index of the winning
+    alternative. An unmatched line comes back unchanged; lines that already contain U+0001 are
+    checked with ``rlike`` first, so a coincidental equality can never hide a match."""
     txt = F.col(text_col)
-    replaced = F.when(txt.rlike(regex), F.regexp_replace(txt, regex, repl))
-    df = lines.withColumn("__m", replaced)
-    slots = F.split(F.substring_index(F.col("__m"), "\u0002", 1), "\u0001")
-    idx = F.array_position(F.transform(slots, lambda s: s != ""), True)
-    key_arr = F.array(*[F.lit(k) for k in keys])
-    key = F.when(F.col("__m").isNotNull(), F.element_at(key_arr, idx.cast("int")))
-    name = F.when(F.col("__m").isNotNull(), F.substring_index(F.col("__m"), "\u0002", -1))
+    branches = classifier_branches(ps)
+    w = F.lower(F.regexp_extract(txt, r"^\s*([A-Za-z][A-Za-z0-9_]*)", 1))
+    c = F.regexp_extract(txt, r"^\s*(\S)", 1)
+    c0 = F.substring(txt, 1, 1)
+    bid = None
+    default = None
+    for i, (kind, val, _, _, _) in enumerate(branches):
+        cond = {"col0": c0 == val, "kw": w == val, "name": w != "", "char": c == val}.get(kind)
+        if cond is None:
+            default = i
+            continue
+        bid = F.when(cond, F.lit(i)) if bid is None else bid.when(cond, F.lit(i))
+    bid = (bid.otherwise(F.lit(default)) if default is not None else bid) if bid is not None else F.lit(default)
+    df = lines.withColumn("__b", bid)
+    b = F.col("__b")
+    rep = None
+    chk = None
+    for i, (_, _, regex, repl, _) in enumerate(branches):
+        r = F.regexp_replace(txt, regex, repl)
+        rep = F.when(b == i, r) if rep is None else rep.when(b == i, r)
+        k = txt.rlike(regex)
+        chk = F.when(b == i, k) if chk is None else chk.when(b == i, k)
+    # the generator is an evaluation barrier: the branch regex runs once per line even though its
+    # result is read several times below (projections are not collapsed through a Generate)
+    df = df.select("*", F.explode(F.array(rep)).alias("__r"))
+    matched = F.when(F.instr(txt, "\u0001") > 0, F.coalesce(chk, F.lit(False))) \
+        .otherwise(F.col("__r") != txt)
+    df = df.withColumn("__r", F.when(matched, F.col("__r")))
+    lead = F.length(F.regexp_extract(F.col("__r"), "^\u0001*", 0))
+    keys_by_branch = F.array(*[F.array(*[F.lit(k) for k in keys]) for _, _, _, _, keys in branches])
+    key = F.element_at(F.element_at(keys_by_branch, (b + 1).cast("int")), (lead + 1).cast("int"))
     k2t = _map_literal(ps.key_to_type())
     k2p = _map_literal(ps.key_to_expected_parent())
-    return (df.withColumn("pattern_key", key).withColumn("name", name).drop("__m")
+    return (df.withColumn("pattern_key", F.when(F.col("__r").isNotNull(), key))
+            .withColumn("name", F.when(F.col("__r").isNotNull(), F.substring_index(F.col("__r"), "\u0002", -1)))
+            .drop("__r", "__b")
             .withColumn("obj_type", F.element_at(k2t, F.col("pattern_key")))
             .withColumn("expected_parent", F.element_at(k2p, F.col("pattern_key"))))
 
 
 def with_depth(lines: DataFrame) -> DataFrame:
     """Opens, closes, depth after the line and depth before it (may be negative)."""
-    d = persist(brace_counts(lines).withColumn("net", F.col("opens") - F.col("closes")))
+    # no persist here: the second reader of the input inside running_sum only needs (path, line,
+    # net), so column pruning keeps any expensive upstream column (e.g. classification) out of it
+    d = brace_counts(lines).withColumn("net", F.col("opens") - F.col("closes"))
     d = running_sum(d, ["path"], "line", "net", "depth")
     return d.withColumn("depth_prev", F.col("depth") - F.col("net"))
 
@@ -164,7 +199,9 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     # parent index of every stack entry (computed on the prefix of the stack below it)
     n = n.withColumn("pidx", F.transform(
         F.col("stack"), lambda e, i: _stack_rule(F.col("stack"), e["expected_parent"], i)))
-    n = n.withColumn("own_p", _stack_rule(F.col("stack"), F.col("expected_parent"), F.col("k")))
+    simple_p = F.when(F.col("expected_parent").isin(*ROOT_PARENTS), F.lit(0)).otherwise(F.col("k"))
+    n = n.withColumn("own_p", F.when(F.col("k") <= 1, simple_p)
+                     .otherwise(_stack_rule(F.col("stack"), F.col("expected_parent"), F.col("k"))))
     # walk the chain from the node's parent down to the root
     init = F.struct(F.col("own_p").alias("t"), F.array().cast("array<string>").alias("names"),
                     F.array().cast("array<int>").alias("starts"))
@@ -179,7 +216,13 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
 
     walk = F.aggregate(F.reverse(F.sequence(F.lit(1), F.greatest(F.col("k"), F.lit(1)))), init,
                        lambda acc, j: F.when(j <= F.col("k"), step(acc, j)).otherwise(acc))
-    n = n.withColumn("chain", walk)
+    # stacks of 0 or 1 entries (almost every line) skip the generic walk
+    e1 = F.element_at(F.col("stack"), 1)
+    one = F.when(F.col("own_p") == 1, F.struct(F.lit(0).alias("t"), F.array(e1["name"]).alias("names"),
+                                               F.array(e1["start"]).alias("starts"))) \
+        .otherwise(F.struct(F.lit(0).alias("t"), F.array().cast("array<string>").alias("names"),
+                            F.array().cast("array<int>").alias("starts")))
+    n = n.withColumn("chain", F.when(F.col("k") == 0, init).when(F.col("k") == 1, one).otherwise(walk))
     prefix = F.array_join(F.col("chain.names"), ".")
     n = n.withColumn("parent_fullname",
                      F.when(F.size("chain.names") > 0, F.concat(F.col("path"), F.lit("."), prefix))
@@ -203,7 +246,7 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     objs = objs.withColumn("guid", T.guid(F.col("type"), F.col("path"), F.col("fullname"),
                                           F.when(F.col("type") == "GraphQLProgram", F.lit(0))
                                           .otherwise(F.col("start_line"))))
-    return {"objects": objs, "nodes": n, "lines": d, "per_line": per_line}
+    return {"objects": objs, "nodes": n, "lines": d, "per_line": per_line, "persisted": [d, nodes, n]}
 
 
 def objects_of(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS) -> DataFrame:

@@ -55,7 +55,11 @@ class Analysis:
         def build():
             lines, files = self.schema_input()
             r = S.extract_objects(lines, files)
-            return {"objects": cut(r["objects"]), "nodes": cut(r["nodes"]), "lines": cut(r["lines"])}
+            slim = r["nodes"].drop("stack", "pidx", "own_p", "k", "close_line", "n_lines")
+            out = {"objects": cut(r["objects"], "objects"), "nodes": cut(slim, "nodes")}
+            for df in r["persisted"]:
+                df.unpersist()
+            return out
         with self._lock:
             if "extract" not in self._cache:
                 self._cache["extract"] = build()
@@ -67,9 +71,6 @@ class Analysis:
     def nodes(self) -> DataFrame:
         return self._extract()["nodes"]
 
-    def classified_lines(self) -> DataFrame:
-        return self._extract()["lines"]
-
     # ---------------------------------------------------------------- link pass
     def references(self) -> DataFrame:
         def build():
