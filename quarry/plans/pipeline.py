@@ -13,7 +13,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.materialize import cut
+from ..functions import materialize as M
 from ..operators import client as C
 from ..operators import link as L
 from ..operators import resolve as R
@@ -23,11 +23,27 @@ from ..sources.files import file_line_counts, to_lines
 
 
 class Analysis:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Either over the generated corpora of a star-table folder (``sf_dir``), or over explicit
+    inputs: ``schema_files`` / ``client_files`` as files(path, content) and ``kb`` as
+    kb_objects(obj_id, type, name, fullname, annotations)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, *, schema_files: DataFrame | None = None,
+                 client_files: DataFrame | None = None, kb: DataFrame | None = None, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
+        self._materialize = materialize
+        if schema_files is not None:
+            self._cache["schema_lines"] = to_lines(schema_files)
+            self._cache["schema_files"] = file_line_counts(schema_files)
+        if client_files is not None:
+            self._cache["client_files_all"] = client_files
+        if kb is not None:
+            self._cache["kb_objects"] = kb
+
+    def _cut(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        return M.cut(df, name) if self._materialize else M.persist(df)
 
     def _get(self, key: str, build) -> DataFrame:
         with self._lock:
@@ -39,16 +55,16 @@ class Analysis:
     def schema_input(self) -> tuple[DataFrame, DataFrame]:
         def build():
             lines, files = K.schema_corpus(self.spark, self.sf_dir)
-            return cut(lines.repartition("path"))
+            return self._cut(lines.repartition("path"))
         lines = self._get("schema_lines", build)
-        files = self._get("schema_files", lambda: cut(K.schema_corpus(self.spark, self.sf_dir)[1]))
+        files = self._get("schema_files", lambda: self._cut(K.schema_corpus(self.spark, self.sf_dir)[1]))
         return lines, files
 
     def client_input(self) -> DataFrame:
-        return self._get("client_files_all", lambda: cut(K.client_corpus(self.spark, self.sf_dir)))
+        return self._get("client_files_all", lambda: self._cut(K.client_corpus(self.spark, self.sf_dir)))
 
     def backend(self) -> DataFrame:
-        return self._get("kb_objects", lambda: cut(K.backend_catalogue(self.spark, self.sf_dir)))
+        return self._get("kb_objects", lambda: self._cut(K.backend_catalogue(self.spark, self.sf_dir)))
 
     # ---------------------------------------------------------------- schema pass
     def _extract(self) -> dict[str, DataFrame]:
@@ -56,7 +72,7 @@ class Analysis:
             lines, files = self.schema_input()
             r = S.extract_objects(lines, files)
             slim = r["nodes"].drop("stack", "pidx", "own_p", "k", "close_line", "n_lines")
-            out = {"objects": cut(r["objects"], "objects"), "nodes": cut(slim, "nodes")}
+            out = {"objects": self._cut(r["objects"], "objects"), "nodes": self._cut(slim, "nodes")}
             for df in r["persisted"]:
                 df.unpersist()
             return out
@@ -76,7 +92,7 @@ class Analysis:
         def build():
             refs = R.type_references(self.schema_input()[0])
             refs = R.reference_callers(refs, self.nodes(), self.objects())
-            return cut(R.resolve_references(refs, self.objects()))
+            return self._cut(R.resolve_references(refs, self.objects()))
         return self._get("references", build)
 
     def schema_links(self) -> DataFrame:
@@ -84,15 +100,15 @@ class Analysis:
 
     # ---------------------------------------------------------------- client pass
     def client_files(self) -> DataFrame:
-        return self._get("client_files", lambda: cut(C.client_files(self.client_input())))
+        return self._get("client_files", lambda: self._cut(C.client_files(self.client_input())))
 
     def definitions(self) -> DataFrame:
-        return self._get("definitions", lambda: cut(C.client_definitions(self.client_files())))
+        return self._get("definitions", lambda: self._cut(C.client_definitions(self.client_files())))
 
     def requests(self) -> DataFrame:
         def build():
             reqs = C.requests(self.client_files())
-            return cut(C.definition_lookup(reqs, self.definitions()))
+            return self._cut(C.definition_lookup(reqs, self.definitions()))
         return self._get("requests", build)
 
     def client_links(self) -> DataFrame:
@@ -100,19 +116,19 @@ class Analysis:
 
     # ---------------------------------------------------------------- application level
     def schema_index(self) -> DataFrame:
-        return self._get("schema_index", lambda: cut(L.schema_index(self.objects())))
+        return self._get("schema_index", lambda: self._cut(L.schema_index(self.objects())))
 
     def definition_field_links(self) -> DataFrame:
-        return self._get("def_field_links", lambda: cut(L.definition_field_links(self.definitions(), self.schema_index())))
+        return self._get("def_field_links", lambda: self._cut(L.definition_field_links(self.definitions(), self.schema_index())))
 
     def method_matches(self) -> DataFrame:
-        return self._get("method_matches", lambda: cut(L.match_methods(self.backend(), self.schema_index())))
+        return self._get("method_matches", lambda: self._cut(L.match_methods(self.backend(), self.schema_index())))
 
     def field_method_links(self) -> DataFrame:
         return L.field_method_links(self.method_matches())
 
     def import_lines(self) -> DataFrame:
-        return self._get("import_lines", lambda: cut(K.import_corpus(self.spark, self.sf_dir)))
+        return self._get("import_lines", lambda: self._cut(K.import_corpus(self.spark, self.sf_dir)))
 
     def all_links(self) -> DataFrame:
         cols = ["link_type", "caller", "callee"]
@@ -121,6 +137,7 @@ class Analysis:
             .unionByName(self.field_method_links().select(*cols))
 
 
+
 _REGISTRY: dict[tuple[str, str], Analysis] = {}
 _REG_LOCK = threading.Lock()
 
