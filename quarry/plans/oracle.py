@@ -501,3 +501,24 @@ UNION ALL SELECT 'enum_def', CAST(count(*) AS BIGINT) FROM sup
 UNION ALL SELECT 'input_def', CAST(count(*) AS BIGINT) FROM decl
 UNION ALL SELECT 'type_extend', CAST(count(*) AS BIGINT) FROM sup WHERE s % 2 = 1
 """
+
+# ---------------------------------------------------------------- other block styles
+KWB = """
+ksp AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS pk FROM lineitem),
+kk AS (SELECT s, pk, row_number() OVER (PARTITION BY s ORDER BY pk) AS k FROM ksp),
+kn AS (SELECT su.s_suppkey AS s, printf('rb/s%07d.rb', su.s_suppkey) AS path, count(kk.pk) AS n
+       FROM supplier su LEFT JOIN kk ON kk.s = su.s_suppkey GROUP BY su.s_suppkey),
+kdef AS (SELECT kn.path, kn.n, kk.k FROM kk JOIN kn ON kn.s = kk.s)
+"""
+ORACLE["blocks_end_keyword"] = _with(KWB) + """
+SELECT path, CAST(1 AS BIGINT) AS line, CAST(2 * n + 2 AS BIGINT) AS end_line FROM kn
+UNION ALL SELECT path, CAST(2 * k AS BIGINT), CAST(2 * k + 1 AS BIGINT) FROM kdef
+"""
+ORACLE["blocks_indentation"] = _with(KWB) + """
+SELECT path, CAST(1 AS BIGINT) AS line, CAST(2 * n + 1 AS BIGINT) AS end_line FROM kn
+UNION ALL SELECT path, CAST(2 * k AS BIGINT), CAST(2 * k AS BIGINT) FROM kdef
+"""
+ORACLE["blocks_sequential"] = _with(KWB) + """
+SELECT path, CAST(1 AS BIGINT) AS line, CAST(2 * n + 2 AS BIGINT) AS end_line FROM kn
+UNION ALL SELECT path, CAST(2 * k AS BIGINT), CAST(CASE WHEN k < n THEN 2 * k + 1 ELSE 2 * n + 2 END AS BIGINT) FROM kdef
+"""

@@ -130,6 +130,15 @@ class Analysis:
     def import_lines(self) -> DataFrame:
         return self._get("import_lines", lambda: self._cut(K.import_corpus(self.spark, self.sf_dir)))
 
+    def keyword_blocks(self) -> tuple[DataFrame, DataFrame]:
+        """(lines, nodes) of the keyword-block corpus classified with the keyword pattern set."""
+        from ..functions.patterns import KEYWORD_BLOCK_PATTERNS
+        lines = self._get("kw_lines", lambda: self._cut(K.keyword_block_corpus(self.spark, self.sf_dir)))
+        nodes = self._get("kw_nodes", lambda: self._cut(
+            S.classify(lines, KEYWORD_BLOCK_PATTERNS).filter(F.col("pattern_key").isNotNull())
+            .select("path", "line", "pattern_key", "name", "expected_parent")))
+        return lines, nodes
+
     def all_links(self) -> DataFrame:
         cols = ["link_type", "caller", "callee"]
         return self.schema_links().select(*cols).unionByName(self.client_links().select(*cols)) \

@@ -421,3 +421,19 @@ def custom_handlers(spark, d):
     reg.register("type_extend", X.count_by_key)
     reg.register_pattern(r".*_def", X.count_by_key)
     return reg.apply(analysis_for(spark, d).nodes()).select("pattern_key", "n_roots")
+
+
+# ---------------------------------------------------------------- other block styles
+from ..operators import blocks as B  # noqa: E402
+
+
+def _blocks(fn):
+    def q(spark, d):
+        lines, nodes = analysis_for(spark, d).keyword_blocks()
+        return fn(lines, nodes).select("path", *_big("line", "end_line"))
+    return q
+
+
+QUERIES["blocks_end_keyword"] = _blocks(B.end_keyword_ends)
+QUERIES["blocks_indentation"] = _blocks(B.indentation_ends)
+QUERIES["blocks_sequential"] = _blocks(B.sequential_ends)

@@ -300,3 +300,25 @@ def import_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(pk % 5 == 3, F.format_string('const %s = require("%s");', w1, m)) \
         .otherwise(F.format_string('import "%s";', m))
     return part.select("path", F.col("line").cast("int").alias("line"), text.alias("text"))
+
+
+# ----------------------------------------------------------------------------------------------
+# Keyword-block corpus — one file per supplier ``rb/s<7 digits>.rb``
+#   1            class S<s>
+#   2k, 2k + 1   "  def p<pk>" / "  end" for the k-th part of the supplier (pk order)
+#   2n + 2       end
+# ----------------------------------------------------------------------------------------------
+
+def keyword_block_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"))
+    sp = read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("pk")).distinct()
+    sp = dense_position(sp, ["s"], "pk", "k")
+    n = sp.groupBy("s").agg(F.count("*").alias("n"))
+    sup = supplier.join(n, "s", "left").fillna(0, ["n"]).withColumn("path", F.format_string("rb/s%07d.rb", F.col("s")))
+    frame = sup.select("path", F.explode(F.array(
+        F.struct(F.lit(1).cast("long").alias("line"), F.format_string("class S%d", F.col("s")).alias("text")),
+        F.struct((2 * F.col("n") + 2).cast("long").alias("line"), F.lit("end").alias("text")))).alias("x")).select("path", "x.*")
+    body = sp.withColumn("path", F.format_string("rb/s%07d.rb", F.col("s"))).select("path", F.explode(F.array(
+        F.struct((2 * F.col("k")).cast("long").alias("line"), F.format_string("  def p%d", F.col("pk")).alias("text")),
+        F.struct((2 * F.col("k") + 1).cast("long").alias("line"), F.lit("  end").alias("text")))).alias("x")).select("path", "x.*")
+    return frame.unionByName(body).withColumn("line", F.col("line").cast("int"))
