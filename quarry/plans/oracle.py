@@ -522,3 +522,7 @@ ORACLE["blocks_sequential"] = _with(KWB) + """
 SELECT path, CAST(1 AS BIGINT) AS line, CAST(2 * n + 2 AS BIGINT) AS end_line FROM kn
 UNION ALL SELECT path, CAST(2 * k AS BIGINT), CAST(CASE WHEN k < n THEN 2 * k + 1 ELSE 2 * n + 2 END AS BIGINT) FROM kdef
 """
+ORACLE["object_listing"] = S + """
+SELECT path, name AS short_name, replace(type, 'GraphQL', '') AS kind, CAST(start_line AS BIGINT) AS start_line
+FROM obj WHERE type <> 'GraphQLProgram'
+"""

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import materialize as M
+from ..functions.patterns import PatternSet
+from ..functions.text import mask_source
 from ..operators import client as C
 from ..operators import link as L
 from ..operators import resolve as R
@@ -28,12 +30,17 @@ class Analysis:
     kb_objects(obj_id, type, name, fullname, annotations)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, *, schema_files: DataFrame | None = None,
-                 client_files: DataFrame | None = None, kb: DataFrame | None = None, materialize: bool = True):
+                 client_files: DataFrame | None = None, kb: DataFrame | None = None, materialize: bool = True,
+                 strict_case: bool = False, mask_first: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
         self._materialize = materialize
+        # D2 option: case-sensitive patterns; D9 option: mask strings/comments before parsing
+        self.patterns = PatternSet(case_insensitive=not strict_case)
+        if schema_files is not None and mask_first:
+            schema_files = schema_files.withColumn("content", mask_source(F.col("content")))
         if schema_files is not None:
             self._cache["schema_lines"] = to_lines(schema_files)
             self._cache["schema_files"] = file_line_counts(schema_files)
@@ -70,7 +77,7 @@ class Analysis:
     def _extract(self) -> dict[str, DataFrame]:
         def build():
             lines, files = self.schema_input()
-            r = S.extract_objects(lines, files)
+            r = S.extract_objects(lines, files, self.patterns)
             slim = r["nodes"].drop("stack", "pidx", "own_p", "k", "close_line", "n_lines")
             out = {"objects": self._cut(r["objects"], "objects"), "nodes": self._cut(slim, "nodes")}
             for df in r["persisted"]:

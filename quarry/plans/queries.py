@@ -437,3 +437,10 @@ def _blocks(fn):
 QUERIES["blocks_end_keyword"] = _blocks(B.end_keyword_ends)
 QUERIES["blocks_indentation"] = _blocks(B.indentation_ends)
 QUERIES["blocks_sequential"] = _blocks(B.sequential_ends)
+
+
+@query("object_listing")
+def object_listing(spark, d):
+    """A2 listing: every non-Program object of each file with its short name and kind."""
+    o = A.object_listing(analysis_for(spark, d).objects())
+    return o.select("path", "short_name", "kind", F.element_at("order_key", -1).cast("bigint").alias("start_line"))

@@ -212,3 +212,17 @@ def test_d18_first_class_by_name_decides(spark):
                        (3, "JV_METHOD", "m", "a.S.m", ["@QueryMapping"]), (4, "JV_METHOD", "n", "b.S.n", ["@QueryMapping"])])
     got = {r["name"]: r["controller_ok"] for r in L.controller_methods(kb).collect()}
     assert got == {"m": False, "n": False}
+
+
+def test_options_strict_case_and_mask_first(spark):
+    src = "type A {\n  x: Int # {\n  id\n}\ntype B {\n}\n"
+    base = Analysis(spark, schema_files=files_df(spark, [("o.graphqls", src)]), materialize=False)
+    opt = Analysis(spark, schema_files=files_df(spark, [("o.graphqls", src)]), materialize=False,
+                   strict_case=True, mask_first=True)
+    b = {r["fullname"]: r["end_line"] for r in base.objects().collect()}
+    o = {r["fullname"]: r["end_line"] for r in opt.objects().collect()}
+    # D9 reproduced: the brace in the comment keeps A open, so B nests under it
+    assert b["o.graphqls.A"] == 6 and "o.graphqls.A.B" in b and b["o.graphqls.A.x"] == 4 and "o.graphqls.A.x.id" in b
+    # mask_first removes the comment brace; strict_case stops `id` from being an EnumValue
+    assert o["o.graphqls.A"] == 4 and o["o.graphqls.B"] == 6 and o["o.graphqls.A.x"] == 2
+    assert not [k for k in o if k.endswith(".id")]
