@@ -71,8 +71,8 @@ def client_files(files: DataFrame) -> DataFrame:
 
 def parse_operation(text: Column) -> Column:
     """struct(type, operationName, variables, fieldsSelected, aliases) or null when the text is
-    not an operation (C3/C4)."""
-    t = T.strip_ws(text)
+    not an operation (C3/C4). ``text`` must already be stripped (see ``client_definitions``)."""
+    t = text
     named = t.rlike(NAMED_OP_RE)
     anon = t.rlike(ANON_OP_RE)
     op_type = F.when(named, F.lower(F.regexp_extract(t, NAMED_OP_RE, 1))) \
@@ -126,7 +126,10 @@ def templates(files: DataFrame) -> DataFrame:
 def client_definitions(files: DataFrame) -> DataFrame:
     """Definition rows (path, pos, line, name, type, fullname, op struct, raw_text)."""
     t = templates(files).filter(F.col("text") != "")
-    t = t.withColumn("op", parse_operation(F.col("text"))).filter(F.col("op").isNotNull())
+    # the text is read by many conditional expressions, which common-subexpression elimination does
+    # not share; the generator makes the (stripped) text and the header test a computed column once
+    t = t.select("*", F.explode(F.array(F.struct(T.strip_ws(F.col("text")).alias("s")))).alias("__t"))
+    t = t.withColumn("op", parse_operation(F.col("__t.s"))).filter(F.col("op").isNotNull()).drop("__t")
     return t.select("path", "pos", "line", "name",
                     F.element_at(_type_map(DEF_TYPES), F.col("op.type")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
@@ -189,10 +192,9 @@ def hook_calls(files: DataFrame) -> DataFrame:
 def functions_in(files: DataFrame) -> DataFrame:
     """Named functions with their block: (path, name, fullname, start_line, end_line, level, proper),
     plus the lines with depth."""
-    lines = with_depth(to_lines(files))
-    lines = persist(lines)
     name = F.coalesce(*[T.nullif_empty(F.regexp_extract(F.col("text"), r, 1)) for r in FUNC_RES])
-    fn = lines.withColumn("fname", name).filter(F.col("fname").isNotNull())
+    lines = persist(with_depth(to_lines(files).withColumn("fname", name), keep_text=False))
+    fn = lines.filter(F.col("fname").isNotNull())
     fn = fn.withColumn("level", F.col("depth") - F.col("opens") + 1)
     proper = fn.filter((F.col("opens") > 0) & (F.col("opens") != F.col("closes")))
     ev = proper.select("path", "level", "line", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("cl")) \

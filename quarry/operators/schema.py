@@ -88,11 +88,14 @@ def classify(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS, text_col: str
             .withColumn("expected_parent", F.element_at(k2p, F.col("pattern_key"))))
 
 
-def with_depth(lines: DataFrame) -> DataFrame:
-    """Opens, closes, depth after the line and depth before it (may be negative)."""
+def with_depth(lines: DataFrame, keep_text: bool = True) -> DataFrame:
+    """Opens, closes, depth after the line and depth before it (may be negative).
+    With ``keep_text=False`` the text is dropped before any shuffle (rows stay narrow)."""
     # no persist here: the second reader of the input inside running_sum only needs (path, line,
     # net), so column pruning keeps any expensive upstream column (e.g. classification) out of it
     d = brace_counts(lines).withColumn("net", F.col("opens") - F.col("closes"))
+    if not keep_text:
+        d = d.drop("text")
     d = running_sum(d, ["path"], "line", "net", "depth")
     return d.withColumn("depth_prev", F.col("depth") - F.col("net"))
 
@@ -109,7 +112,7 @@ def build_nodes(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS):
 
     Returns (lines with depth, nodes, closed containers).
     """
-    d = persist(with_depth(classify(lines, ps)))
+    d = persist(with_depth(classify(lines, ps), keep_text=False))
     nodes = d.filter(F.col("pattern_key").isNotNull()).select(
         "path", "line", "pattern_key", "name", "obj_type", "expected_parent", "opens", "closes", "depth",
         "depth_prev")
