@@ -287,3 +287,36 @@ def unmatched_hooks(looked_up: DataFrame) -> DataFrame:
     """Requests whose query name has no visible definition; flags case-only mismatches."""
     return looked_up.filter(F.col("definition").isNull()).select(
         "path", "line", "fullname", "query_name", "case_mismatch")
+
+
+# ---------------------------------------------------------------------------------------------
+# Pre-parsed calls: js_calls(path, line, pos, callee, arg0, arg1_text, assigned_to, enclosing)
+# (a caller that already has a JavaScript AST enters here instead of the text scan)
+# ---------------------------------------------------------------------------------------------
+
+def definitions_from_calls(calls: DataFrame) -> DataFrame:
+    """C2-C8 from pre-parsed ``gql`` calls: arg0 is the template text, assigned_to the variable."""
+    g = calls.filter(F.col("callee") == "gql").select(
+        "path", "pos", "line",
+        F.coalesce(T.nullif_empty(F.col("assigned_to")), T.nullif_empty(F.col("enclosing")),
+                   F.concat(F.lit("anonymous_gql_"), F.col("path"), F.lit(":"), F.col("line").cast("string"))).alias("name"),
+        T.clean_template(F.col("arg0")).alias("text"))
+    g = g.filter(F.col("text") != "").withColumn("op", parse_operation(F.col("text"))).filter(F.col("op").isNotNull())
+    return g.select("path", "pos", "line", "name", F.element_at(_type_map(DEF_TYPES), F.col("op.type")).alias("type"),
+                    F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
+                    "op", F.col("text").alias("raw_text"))
+
+
+def requests_from_calls(calls: DataFrame) -> DataFrame:
+    """C10-C13 from pre-parsed hook calls: arg0 is the first argument's name, arg1_text the options
+    object text, enclosing the fullname of the nearest named ancestor (requests without one drop)."""
+    h = calls.filter(F.col("callee").isin([k for k, _ in HOOK_TYPES]) & T.nullif_empty(F.col("arg0")).isNotNull()
+                     & T.nullif_empty(F.col("enclosing")).isNotNull())
+    opts = F.coalesce(F.col("arg1_text"), F.lit(""))
+    fetch = T.clean_option(F.regexp_extract(opts, r"fetchPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
+    error = T.clean_option(F.regexp_extract(opts, r"errorPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
+    return h.select("path", "pos", "line", F.concat(F.col("callee"), F.lit(":"), F.col("arg0")).alias("name"),
+                    F.element_at(_type_map(HOOK_TYPES), F.col("callee")).alias("type"),
+                    F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
+                    F.col("callee").alias("hook"), F.col("arg0").alias("query_name"),
+                    fetch.alias("fetch_policy"), error.alias("error_policy"), F.col("enclosing").alias("parent"))

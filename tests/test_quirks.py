@@ -226,3 +226,24 @@ def test_options_strict_case_and_mask_first(spark):
     # mask_first removes the comment brace; strict_case stops `id` from being an EnumValue
     assert o["o.graphqls.A"] == 4 and o["o.graphqls.B"] == 6 and o["o.graphqls.A.x"] == 2
     assert not [k for k in o if k.endswith(".id")]
+
+
+def test_pre_parsed_calls_path(spark):
+    from quarry.operators import client as C
+    from quarry.operators import lineage as G
+    calls = spark.createDataFrame([
+        ("a.jsx", 4, 0, "gql", "`\n query Q { users { id } }\n`", None, "Q_USERS", None),
+        ("a.jsx", 9, 1, "useQuery", "Q_USERS", "{ fetchPolicy: 'no-cache' }", None, "a.jsx.App"),
+        ("a.jsx", 10, 2, "useMutation", "X", None, None, None),
+    ], "path string, line int, pos int, callee string, arg0 string, arg1_text string, assigned_to string, enclosing string")
+    defs = C.definitions_from_calls(calls)
+    reqs = C.requests_from_calls(calls)
+    d = defs.first()
+    assert (d["name"], d["type"], d["op"]["fieldsSelected"]) == ("Q_USERS", "GraphQLClientQuery", ["users"])
+    r = [tuple(x) for x in reqs.select("name", "parent", "fetch_policy").collect()]
+    assert r == [("useQuery:Q_USERS", "a.jsx.App", "no-cache")]
+    looked = C.definition_lookup(reqs, defs).first()
+    assert looked["definition"] == "a.jsx:4"
+    props = C.definition_properties(defs)
+    s = G.search_objects(defs.select("fullname", "name", "type"), props, name="Q_USERS").first()
+    assert s["properties"]["GraphQL_Client_Definition.fieldsSelected"] == "users"
