@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 # FIXED VALUES: import patterns in priority order (searched anywhere in the line; '^' anchors).
 IMPORT_PATTERNS = [
     r"^\s*from\s+([a-zA-Z_][\w.]*)\s+import\s+([a-zA-Z_][\w,\s*]*)",
@@ -31,7 +33,11 @@ def _java(p: str) -> str:
 def extract_imports(lines: DataFrame) -> DataFrame:
     """imports(path, line, name, source, statement) in statement order."""
     txt = F.col("text")
-    stripped = F.trim(txt)
+    # only lines that can match a pattern or mark a block take part (every pattern needs 'import',
+    # 'require' or a leading quote); the per-file window then sees a small fraction of the lines
+    lines = lines.filter(txt.contains("import") | txt.contains("require") | txt.rlike(r"^\s*['\"]")
+                         | (T.strip_ws(txt) == ")"))
+    stripped = T.strip_ws(txt)  # Python str.strip(): all surrounding whitespace
     header = stripped.startswith("import (")
     closer = stripped == ")"
     marks = lines.withColumn("__mark", F.when(header, F.lit(1)).when(closer, F.lit(0)))

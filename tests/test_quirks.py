@@ -148,9 +148,11 @@ def test_d10_masking_keeps_newlines(spark):
 
 def test_d11_imports(spark):
     lines = to_lines(files_df(spark, [("m.py", "from a.b import c\nimport X from 'm'\nimport { a, b as c } from 'm'\n"
-                                                "import (\n  \"fmt\"\n)\n")]))
+                                                "import (\n  \"fmt\"\n\t)\n\"x\"\n")]))
     got = sorted((r["line"], r["name"], r["source"]) for r in I.extract_imports(lines).collect())
-    assert got == [(1, "a.b", "c"), (2, "X", "X"), (3, "a", "m"), (3, "b", "m"), (3, "c", "m"), (5, "fmt", "fmt")]
+    # a quoted line counts as an import even outside a block (D11); a tab-indented closer ends the block
+    assert got == [(1, "a.b", "c"), (2, "X", "X"), (3, "a", "m"), (3, "b", "m"), (3, "c", "m"), (5, "fmt", "fmt"),
+                   (7, "x", "x")]
 
 
 CLIENT_FILES = [
