@@ -82,7 +82,10 @@ def classify(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS, text_col: str
     k2t = _map_literal(ps.key_to_type())
     k2p = _map_literal(ps.key_to_expected_parent())
     return (df.withColumn("pattern_key", F.when(F.col("__r").isNotNull(), key))
-            .withColumn("name", F.when(F.col("__r").isNotNull(), F.substring_index(F.col("__r"), "\u0002", -1)))
+            .withColumn("name", F.when(F.col("__r").isNotNull(),
+                                       F.substring_index(F.substring_index(F.col("__r"), "\u0002", -1), "\u0003", 1)))
+            .withColumn("receiver", F.nullif(F.regexp_replace(F.substring_index(F.col("__r"), "\u0003", -1), r"^\*+", ""),
+                                             F.lit("")))
             .drop("__r", "__b")
             .withColumn("obj_type", F.element_at(k2t, F.col("pattern_key")))
             .withColumn("expected_parent", F.element_at(k2p, F.col("pattern_key"))))
@@ -114,8 +117,8 @@ def build_nodes(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS):
     """
     d = persist(with_depth(classify(lines, ps), keep_text=False))
     nodes = d.filter(F.col("pattern_key").isNotNull()).select(
-        "path", "line", "pattern_key", "name", "obj_type", "expected_parent", "opens", "closes", "depth",
-        "depth_prev")
+        "path", "line", "pattern_key", "name", "receiver", "obj_type", "expected_parent", "opens", "closes",
+        "depth", "depth_prev")
     nodes = nodes.withColumn("is_container", F.col("opens") > 0) \
         .withColumn("single_line", (F.col("opens") > 0) & (F.col("opens") == F.col("closes"))) \
         .withColumn("level", F.col("depth") - F.col("opens") + 1)
@@ -230,7 +233,9 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     n = n.withColumn("parent_fullname",
                      F.when(F.size("chain.names") > 0, F.concat(F.col("path"), F.lit("."), prefix))
                      .otherwise(F.col("path"))) \
-        .withColumn("fullname", F.concat(F.col("parent_fullname"), F.lit("."), F.col("name"))) \
+        .withColumn("fullname", F.when(F.col("receiver").isNotNull(),  # X16: a receiver replaces the prefix
+                                       F.concat_ws(".", F.col("path"), F.col("receiver"), F.col("name")))
+                    .otherwise(F.concat(F.col("parent_fullname"), F.lit("."), F.col("name")))) \
         .withColumn("order_key", F.concat(F.col("chain.starts"), F.array(F.col("line"))))
 
     w_first = Window.partitionBy("path", "fullname").orderBy("order_key")

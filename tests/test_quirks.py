@@ -249,3 +249,19 @@ def test_pre_parsed_calls_path(spark):
     props = C.definition_properties(defs)
     s = G.search_objects(defs.select("fullname", "name", "type"), props, name="Q_USERS").first()
     assert s["properties"]["GraphQL_Client_Definition.fieldsSelected"] == "users"
+
+
+def test_x16_receiver_and_unnamed_group_patterns(spark):
+    from quarry.functions.patterns import PatternSet
+    from quarry.operators import schema as S
+    ps = PatternSet(patterns=[("method", [r"^\s*func\s+\((?P<receiver>\*?[A-Za-z]+)\)\s+(?P<n>[A-Za-z]+)"]),
+                              ("type_kw", [r"^\s*kind\s+([A-Za-z]+)"])],
+                    objects=[("Program", "file", []), ("Method", "Kind", ["method"]), ("Kind", "file", ["type_kw"])])
+    src = "kind Box {\n  func (*Crate) Open\n}\n"
+    lines = to_lines(files_df(spark, [("g.src", src)]))
+    from quarry.sources.files import file_line_counts
+    objs = {r["fullname"]: (r["type"], r["parent_fullname"])
+            for r in S.extract_objects(lines, file_line_counts(files_df(spark, [("g.src", src)])), ps)["objects"].collect()}
+    assert objs["g.src.Box"] == ("GraphQLKind", "g.src")
+    # receiver '*Crate' replaces the ancestor prefix; the parent object stays the enclosing Box
+    assert objs["g.src.Crate.Open"] == ("GraphQLMethod", "g.src.Box")
