@@ -48,7 +48,7 @@ def run_once(spark, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", cpus)))
     run_once(spark, sf_dir)  # warm-up
     runs = [run_once(spark, sf_dir) for _ in range(int(os.environ.get("BENCH_RUNS", "3")))]
     names = list(runs[0][0].keys())

@@ -23,13 +23,35 @@ from pyspark.sql import DataFrame
 from ..session import ensure_checkpoint_dir
 
 
+_LIVE: list[DataFrame] = []
+
+
 def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Cache an intermediate reused by several branches of the stage being built. It is released by
+    the next ``cut`` (the stage result is then durable parquet, so nothing needs it any more; a
+    released intermediate used again is simply recomputed)."""
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _LIVE.append(p)
+    return p
+
+
+def release() -> None:
+    while _LIVE:
+        _LIVE.pop().unpersist()
 
 
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/quarry/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return cut_many([(df, name)])[0]
+
+
+def cut_many(items: list[tuple[DataFrame, str]]) -> list[DataFrame]:
+    """Write several tables of one stage (sharing cached inputs) before releasing the caches."""
+    out = []
+    for df, name in items:
+        spark = df.sparkSession
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        path = f"{root}/quarry/{name}-{uuid.uuid4().hex}"
+        df.write.mode("error").parquet(path)
+        out.append((spark, path))
+    release()
+    return [spark.read.parquet(path) for spark, path in out]

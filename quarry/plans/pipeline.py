@@ -79,10 +79,10 @@ class Analysis:
             lines, files = self.schema_input()
             r = S.extract_objects(lines, files, self.patterns)
             slim = r["nodes"].drop("stack", "pidx", "own_p", "k", "close_line", "n_lines")
-            out = {"objects": self._cut(r["objects"], "objects"), "nodes": self._cut(slim, "nodes")}
-            for df in r["persisted"]:
-                df.unpersist()
-            return out
+            if not self._materialize:
+                return {"objects": M.persist(r["objects"]), "nodes": M.persist(slim)}
+            objs, nodes = M.cut_many([(r["objects"], "objects"), (slim, "nodes")])
+            return {"objects": objs, "nodes": nodes}
         with self._lock:
             if "extract" not in self._cache:
                 self._cache["extract"] = build()
