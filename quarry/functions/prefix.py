@@ -37,3 +37,23 @@ def dense_position(df: DataFrame, keys: list[str], order: str, out: str,
                    chunk_rows: int = DEFAULT_CHUNK) -> DataFrame:
     """1-based rank of ``order`` within ``keys`` (values unique per key), skew-safe like running_sum."""
     return running_sum(df, keys, order, F.lit(1), out, chunk_rows=chunk_rows, inclusive=True)
+
+
+def asof_last(df: DataFrame, keys: list[str], pos: str, kind: str, val: str, out: str,
+              chunk_rows: int = DEFAULT_CHUNK) -> DataFrame:
+    """Skew-safe as-of: for every row, the last non-null ``val`` among rows of the same ``keys`` that
+    come before it or are the row itself in (``pos``, ``kind``) order. Same two-level scheme as
+    ``running_sum``: a window inside (keys, chunk of positions), then, for rows with nothing in their
+    own chunk, the last value of the earlier chunks (a window over one summary row per chunk)."""
+    chunk = "__achunk"
+    d = df.withColumn(chunk, F.floor(F.col(pos) / F.lit(chunk_rows)))
+    w_in = Window.partitionBy(*keys, chunk).orderBy(pos, kind).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("__local", F.last(val, ignorenulls=True).over(w_in))
+    summ = d.filter(F.col(val).isNotNull()).groupBy(*keys, chunk).agg(
+        F.max_by(val, F.struct(pos, kind)).alias("__clast"))
+    # one row per (keys, chunk) present: the last value of the nearest earlier chunk holding values
+    chunks = d.select(*keys, chunk).distinct().join(summ, [*keys, chunk], "left")
+    w_c = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("__carry", F.last("__clast", ignorenulls=True).over(w_c)).drop("__clast")
+    d = d.join(chunks, [*keys, chunk], "left")
+    return d.withColumn(out, F.coalesce(F.col("__local"), F.col("__carry"))).drop(chunk, "__local", "__carry")

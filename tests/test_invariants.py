@@ -128,3 +128,14 @@ def test_oracle_matches_at_smallest_scale(spark, q):
     def rows(df):
         return sorted(tuple(str(v) if v is not None and v == v else "None" for v in r) for r in df[cols].itertuples(index=False))
     assert rows(got) == rows(exp)
+
+
+def test_asof_last_matches_window(spark):
+    from quarry.functions.prefix import asof_last
+    df = spark.range(0, 4000).select(
+        (F.col("id") % 3).alias("k"), ((F.col("id") * 37) % 1000).alias("pos"), (F.col("id") % 2).cast("int").alias("kind"),
+        F.when((F.col("id") * 13) % 7 == 0, F.col("id")).alias("v")).dropDuplicates(["k", "pos", "kind"])
+    got = asof_last(df, ["k"], "pos", "kind", "v", "o", chunk_rows=64).select("k", "pos", "kind", "o")
+    w = Window.partitionBy("k").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.withColumn("o", F.last("v", ignorenulls=True).over(w)).select("k", "pos", "kind", "o")
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
