@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace
+from . import grace, simhash
 from .common import read_table
 
 
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.duplicate_report(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_near_dedup": simhash_near_dedup,
     "op10_exact_dedup": exact_dedup,
 }
