@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, mixing, packing, simhash
+from . import grace, langmix, mixing, packing, simhash
 from .common import read_table
 
 
@@ -18,6 +18,10 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(read_table(spark, sf_dir, "documents"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langmix.identify(read_table(spark, sf_dir, "documents"))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
@@ -29,6 +33,7 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": simhash_near_dedup,
     "op4_source_mixing": source_mixing,
+    "op6_language_id": language_id,
     "op9_best_fit_packing": best_fit_packing,
     "op10_exact_dedup": exact_dedup,
 }
