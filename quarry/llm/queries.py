@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langmix, mixing, packing, simhash
+from . import grace, langmix, mixing, packing, simhash, wavelet
 from .common import read_table
 
 
+def wavelet_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.digest(read_table(spark, sf_dir, "documents"))
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_wavelet_token_output": wavelet_token_output,
     "op2_simhash_near_dedup": simhash_near_dedup,
     "op4_source_mixing": source_mixing,
     "op6_language_id": language_id,
