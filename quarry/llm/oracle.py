@@ -1,6 +1,13 @@
 """DuckDB SQL for the numbered queries that SQL can express on whole tables."""
 
 ORACLE = {
+    "op5_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+                   FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10""",
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
                count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langmix, mixing, packing, simhash, wavelet
+from . import grace, langmix, mixing, packing, simhash, topk, wavelet
 from .common import read_table
 
 
@@ -22,6 +22,11 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(read_table(spark, sf_dir, "documents"))
 
 
+def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vec")
+    return topk.search(vectors).select("query_id", "rank", "vec_id", "score")
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langmix.identify(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_token_output": wavelet_token_output,
     "op2_simhash_near_dedup": simhash_near_dedup,
     "op4_source_mixing": source_mixing,
+    "op5_exact_topk": exact_topk,
     "op6_language_id": language_id,
     "op9_best_fit_packing": best_fit_packing,
     "op10_exact_dedup": exact_dedup,
