@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langmix, mixing, packing, simhash, topk, wavelet
+from . import grace, langmix, mixing, packing, sanitise, simhash, topk, wavelet
 from .common import read_table
 
 
@@ -18,6 +18,10 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(read_table(spark, sf_dir, "documents"))
+
+
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_report(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_token_output": wavelet_token_output,
     "op2_simhash_near_dedup": simhash_near_dedup,
+    "op3_pii_sanitisation": pii_sanitisation,
     "op4_source_mixing": source_mixing,
     "op5_exact_topk": exact_topk,
     "op6_language_id": language_id,
