@@ -39,7 +39,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per packed piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return packing.digest(packing.pack(docs))
+    return packing.pack(docs, with_ids=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

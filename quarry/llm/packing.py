@@ -12,7 +12,8 @@ lengths (at most ``capacity`` rows, whatever the input):
 
 Each piece knows its number among the pieces of its length in its own partition. Counts per partition
 and length (again bounded per partition) make that a global number, and the plan, a table of ranges,
-tells sequence and offset. No piece is shuffled.
+tells sequence and offset. Only the pieces' numbers are joined with these counts; the ids stay where they
+were written unless they are asked for.
 
 Defined results: a null text is empty and packs as a single end id; ties are settled by partition order;
 repeated rows pack separately; an empty table gives an empty result; extra columns are ignored.
@@ -23,6 +24,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def pieces_of(docs: DataFrame, path: str, capacity: int) -> DataFrame:
-    """(doc_id, piece, start, length, ids, part, nth): ``ids`` little-endian 32-bit, ``nth`` the number of
+    """(doc_id, piece, start, length, ids, ids_crc32, part, nth): ``ids`` little-endian 32-bit, ``nth`` the number of
     the piece among those of its length in its partition."""
     end = np.array([END_ID], "<u4").tobytes()
 
@@ -57,12 +59,12 @@ def pieces_of(docs: DataFrame, path: str, capacity: int) -> DataFrame:
             doc, piece, start, length, ids, nth = zip(*rows)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(doc, pa.int64()), "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
-                "length": pa.array(length, pa.int64()), "ids": pa.array(ids, pa.binary()),
+                "length": pa.array(length, pa.int64()), "ids": pa.array(ids, pa.binary()), "ids_crc32": pa.array(map(crc32, ids), pa.int64()),
                 "part": pa.array([part] * len(rows), pa.int32()), "nth": pa.array(nth, pa.int64()),
             })
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return map_batches(source, run, "doc_id long, piece int, start long, length long, ids binary, part int, nth long")
+    return map_batches(source, run, "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long, part int, nth long")
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -136,8 +138,8 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return out
 
 
-def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids, sequence_id, offset."""
+def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, ids (if asked for), sequence_id, offset."""
     pieces = table(pieces_of(docs, path or tokenizer_path(TOKENIZER), capacity), "pieces", compression="zstd")
     by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     totals = by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most ``capacity`` rows
@@ -159,16 +161,14 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
                 first, to, at = lookup[one]
                 step = np.searchsorted(first, number[own], "right") - 1
                 sequence[own], offset[own] = to[step] + number[own] - first[step], at[step]
-            kept = [c for c in batch.schema.names if c != "number"]
+            kept = [c for c in batch.schema.names if c != "number"]  # doc_id to ids
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(sequence), pa.array(offset)], [*kept, "sequence_id", "offset"])
 
-    numbered = pieces.join(before, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids", (F.col("nth") + F.coalesce("base", F.lit(0))).alias("number"))
-    return map_batches(numbered, settle, "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long")
-
-
-def digest(packed: DataFrame) -> DataFrame:
-    """``pack`` with the crc32 of the ids in their place."""
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    ids = ["ids"] if with_ids else []
+    numbered = pieces.select("doc_id", "piece", "start", "length", "ids_crc32", *ids, "part", "nth").join(before, ["length", "part"])
+    numbered = numbered.select("doc_id", "piece", "start", "length", "ids_crc32", *ids, (F.col("nth") + F.coalesce("base", F.lit(0))).alias("number"))
+    shape = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    return map_batches(numbered, settle, f"{shape}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

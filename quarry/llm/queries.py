@@ -36,7 +36,7 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
+    return packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False)
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
