@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langmix, mixing, packing, sanitise, simhash, topk, wavelet
+from . import grace, langmix, mixing, packing, sanitise, simhash, topk, wavelet, xent
 from .common import read_table
 
 
@@ -35,6 +35,11 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langmix.identify(read_table(spark, sf_dir, "documents"))
 
 
+def lm_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return xent.score(read_table(spark, sf_dir, "documents"), good)
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": source_mixing,
     "op5_exact_topk": exact_topk,
     "op6_language_id": language_id,
+    "op8_lm_cross_entropy": lm_cross_entropy,
     "op9_best_fit_packing": best_fit_packing,
     "op10_exact_dedup": exact_dedup,
 }
