@@ -9,8 +9,8 @@ re-estimating costs less likelihood than ``PENALTY`` * log(number of n-grams) fo
 left out. A document whose full mixture cannot beat its best single language by one such penalty needs no
 search, because no smaller set can beat the full one.
 
-Training reads a bounded sample: of each label the ``TRAIN_ROWS`` rows with the smallest hash of text.
-Labels with fewer rows use all. Everything else runs over every whole text.
+Training reads a bounded sample: of each label ``TRAIN_ROWS`` different texts with the smallest hashes.
+Labels with fewer use all. Everything else runs over every whole text.
 
 Defined results: null texts, empty texts and texts without a letter are ``und`` with score 0; the score is
 the proportion of the predicted language; ties go to the label first in code-point order; without any
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, map_batches, packed_row, slices
+from .common import checked, few_of_each, map_batches, packed_row, slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
@@ -153,8 +153,7 @@ def proportions(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, n: int,
 
 def trained(rows: DataFrame, train_rows: int) -> tuple[list[str], np.ndarray]:
     """(labels, log-probabilities) from the columns text and lang."""
-    ranked = rows.selectExpr("lang", "text", "row_number() over (partition by lang order by xxhash64(text), text) as nth")
-    sample = ranked.filter(F.col("nth") <= train_rows).select("lang", "text")
+    sample = few_of_each(rows, "lang", train_rows, MOST_LANGUAGES).select("lang", "text").repartition("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

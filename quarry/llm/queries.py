@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langmix, mixing, packing, sanitise, simhash, topk, wavelet, xent
+from . import grace, langmix, mixing, packing, sanitise, simhash, topk, toxcnn, wavelet, xent
 from .common import read_table
 
 
@@ -35,6 +35,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langmix.identify(read_table(spark, sf_dir, "documents"))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxcnn.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def lm_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
     return xent.score(read_table(spark, sf_dir, "documents"), good)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": source_mixing,
     "op5_exact_topk": exact_topk,
     "op6_language_id": language_id,
+    "op7_toxicity": toxicity,
     "op8_lm_cross_entropy": lm_cross_entropy,
     "op9_best_fit_packing": best_fit_packing,
     "op10_exact_dedup": exact_dedup,
