@@ -167,7 +167,7 @@ def trained(rows: DataFrame, train_rows: int) -> tuple[list[str], np.ndarray]:
                     sums[name] = sums.get(name, 0) + np.bincount(bucket[own], count[own], BUCKETS)
         for name, found in sums.items():
             at = np.flatnonzero(found)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at)), "bucket": pa.array(at), "n": pa.array(found[at])})
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at), pa.string()), "bucket": pa.array(at), "n": pa.array(found[at].astype(np.float64))})
 
     grams = map_batches(sample, run, "lang string, bucket long, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = checked(grams.limit(MOST_LANGUAGES * BUCKETS + 1).collect(), MOST_LANGUAGES * BUCKETS, "counts of n-grams")
