@@ -137,7 +137,8 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     wanted = target.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
     slots = slots_for(base)
-    single, pair = counted(base.join(wanted, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target")), slots)
+    # texts meet their flag by a shuffle at every size, as labels grow with the corpus
+    single, pair = counted(base.join(wanted.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target")), slots)
     totals = single.sum(axis=0, dtype=np.float64)
     model = spark.sparkContext.broadcast((single, pair, totals))  # at most 16 bytes a slot, twice
 
