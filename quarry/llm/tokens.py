@@ -46,9 +46,10 @@ def byte_letters() -> dict[int, str]:
 
 
 class TextEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes. ``limit`` bounds each cache."""
+    """Ids of texts as little-endian unsigned 32-bit bytes. Each cache holds up to ``limit`` entries and
+    the ``limit`` before them, from which what comes again is taken over."""
 
-    def __init__(self, path: str, style: str, limit: int = 500_000):
+    def __init__(self, path: str, style: str, limit: int = 350_000):
         from tokenizers import Tokenizer
 
         assert sys.byteorder == "little" and array("I").itemsize == 4
@@ -61,6 +62,8 @@ class TextEncoder:
         self.letters = byte_letters()
         self.chunks: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_chunks: dict[bytes, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
 
     def by_library(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -69,11 +72,14 @@ class TextEncoder:
         """The ids of a piece that the pattern does not split further."""
         got = self.pieces.get(piece)
         if got is None:
-            mapped = piece if piece.isalnum() and piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            got = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+            got = self.old_pieces.get(piece)
             if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            self.pieces[piece] = got
+                self.old_pieces, self.pieces = self.pieces, {}
+            if got is not None:
+                self.pieces[piece] = got
+                return got
+            mapped = piece if piece.isalnum() and piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            self.pieces[piece] = got = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         return got
 
     def of_chunk(self, text: str) -> bytes:
@@ -98,12 +104,13 @@ class TextEncoder:
         return b"".join(map(self.of_piece, pieces)) if len(pieces) > 1 else self.of_piece(pieces[0]) if pieces else b""
 
     def fill(self, chunks: list[bytes], lead: str) -> None:
-        known = self.chunks
-        if len(known) >= self.limit:
-            known.clear()
+        if len(self.chunks) >= self.limit:
+            self.old_chunks, self.chunks = self.chunks, {}
+        known, before = self.chunks, self.old_chunks.get
         for c in set(chunks):
             if c not in known:
-                known[c] = self.of_chunk(lead + c.decode("utf-8", "replace"))
+                got = before(c)
+                known[c] = self.of_chunk(lead + c.decode("utf-8", "replace")) if got is None else got
 
     def ids(self, text: bytes) -> bytes:
         """The ids of one whole text, without an end id."""
