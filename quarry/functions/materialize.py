@@ -15,6 +15,7 @@ re-executes the shared subtree once per branch.
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark import StorageLevel
@@ -23,7 +24,14 @@ from pyspark.sql import DataFrame
 from ..session import ensure_checkpoint_dir
 
 
-_LIVE: list[DataFrame] = []
+#: Caches of the pass under way in this thread; passes of other threads keep theirs.
+_LIVE = threading.local()
+
+
+def _held() -> list[DataFrame]:
+    if not hasattr(_LIVE, "frames"):
+        _LIVE.frames = []
+    return _LIVE.frames
 
 
 def persist(df: DataFrame) -> DataFrame:
@@ -31,13 +39,21 @@ def persist(df: DataFrame) -> DataFrame:
     the next ``cut`` (the stage result is then durable parquet, so nothing needs it any more; a
     released intermediate used again is simply recomputed)."""
     p = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _LIVE.append(p)
+    _held().append(p)
     return p
 
 
 def release() -> None:
-    while _LIVE:
-        _LIVE.pop().unpersist()
+    while _held():
+        _held().pop().unpersist()
+
+
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write an intermediate of a long pass and read it back: the plan ends there, so plans of passes that
+    use it several times do not multiply. Caches stay as they are."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quarry/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -40,20 +40,39 @@ def dense_position(df: DataFrame, keys: list[str], order: str, out: str,
 
 
 def asof_last(df: DataFrame, keys: list[str], pos: str, kind: str, val: str, out: str,
-              chunk_rows: int = DEFAULT_CHUNK) -> DataFrame:
+              chunk_rows: int = DEFAULT_CHUNK, chunk_by: Column | None = None) -> DataFrame:
     """Skew-safe as-of: for every row, the last non-null ``val`` among rows of the same ``keys`` that
     come before it or are the row itself in (``pos``, ``kind``) order. Same two-level scheme as
     ``running_sum``: a window inside (keys, chunk of positions), then, for rows with nothing in their
-    own chunk, the last value of the earlier chunks (a window over one summary row per chunk)."""
+    own chunk, the last value of the earlier chunks (a window over one summary row per chunk).
+    ``chunk_by`` gives the chunk of a row where ``pos`` is no number; it must not fall as ``pos`` grows."""
     chunk = "__achunk"
-    d = df.withColumn(chunk, F.floor(F.col(pos) / F.lit(chunk_rows)))
+    d_chunk = F.floor(F.col(pos) / F.lit(chunk_rows)) if chunk_by is None else chunk_by
+    d = df.withColumn(chunk, d_chunk)
     w_in = Window.partitionBy(*keys, chunk).orderBy(pos, kind).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("__local", F.last(val, ignorenulls=True).over(w_in))
-    summ = d.filter(F.col(val).isNotNull()).groupBy(*keys, chunk).agg(
-        F.max_by(val, F.struct(pos, kind)).alias("__clast"))
     # one row per (keys, chunk) present: the last value of the nearest earlier chunk holding values
-    chunks = d.select(*keys, chunk).distinct().join(summ, [*keys, chunk], "left")
+    known = F.when(F.col(val).isNotNull(), F.struct(pos, kind))
+    chunks = df.withColumn(chunk, d_chunk).groupBy(*keys, chunk).agg(F.max_by(val, known).alias("__clast"))
     w_c = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("__carry", F.last("__clast", ignorenulls=True).over(w_c)).drop("__clast")
     d = d.join(chunks, [*keys, chunk], "left")
     return d.withColumn(out, F.coalesce(F.col("__local"), F.col("__carry"))).drop(chunk, "__local", "__carry")
+
+
+def next_line(starts: DataFrame, events: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """For every row of ``starts`` (keys, line): the first line after it at which ``events`` (keys, line)
+    has a row with the same keys, or null. Lines are looked at backwards, so this is an as-of."""
+    first = keys + ["line"]
+    u = starts.select(*first, F.lit(0).alias("__kind"), F.lit(None).cast("int").alias("__at")) \
+        .unionByName(events.select(*first, F.lit(1).alias("__kind"), F.col("line").cast("int").alias("__at")))
+    found = asof_last(u.withColumn("__pos", -F.col("line")), keys, "__pos", "__kind", "__at", out)
+    return found.filter("__kind = 0").select(*first, out)
+
+
+def path_ranges(paths: DataFrame, ranges: int = 256) -> Column:
+    """The number of a row's path range, from a bounded sample of the paths: rows of one range lie
+    together in path order."""
+    rows = paths.select("path").distinct().orderBy(F.xxhash64("path")).limit(ranges).collect()
+    bounds = sorted(r["path"] for r in rows)
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<string>"), lambda b: b <= F.col("path")))

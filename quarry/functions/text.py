@@ -74,6 +74,19 @@ def has_annotation(annotations: Column, marker: str) -> Column:
     return F.coalesce(F.exists(annotations, lambda a: F.contains(a, F.lit(marker))), F.lit(False))
 
 
+def unmatched_braces(text: Column) -> Column:
+    """struct(closes, opens): the braces of a line that have no partner on it, as in ``} else {``."""
+    opens, closes = count_char(text, "{"), count_char(text, "}")
+    walk = F.aggregate(
+        F.split(F.regexp_replace(text, "[^{}]", ""), ""), F.struct(F.lit(0).alias("d"), F.lit(0).alias("low")),
+        lambda a, c: F.struct((a["d"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)).alias("d"),
+                              F.least(a["low"], a["d"] + F.when(c == "}", -1).otherwise(0)).alias("low")),
+        lambda a: F.struct((-a["low"]).alias("closes"), (a["d"] - a["low"]).alias("opens")))
+    zero = F.lit(0)
+    return F.when(closes == 0, F.struct(zero.alias("closes"), opens.cast("int").alias("opens"))) \
+        .when(opens == 0, F.struct(closes.cast("int").alias("closes"), zero.alias("opens"))).otherwise(walk)
+
+
 def strip_ws(c: Column) -> Column:
     """Python str.strip(): remove surrounding whitespace (ASCII, see D24)."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")
@@ -86,18 +99,19 @@ def clean_template(text: Column) -> Column:
 
 def clean_option(value: Column) -> Column:
     """Strip double then single quotes; empty -> null."""
-    return F.nullif(F.regexp_replace(F.regexp_replace(value, r'^"+|"+$', ""), r"^'+|'+$", ""), F.lit(""))
+    return nullif_empty(F.regexp_replace(F.regexp_replace(value, r'^"+|"+$', ""), r"^'+|'+$", ""))
 
 
 def nullif_empty(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+    return F.when(c != "", c)  # not nullif(): its shared-expression nodes make large plans slow to analyse
 
 
 # T4 (dead in the analysed tool, offered as an operator): scanner tokens in scanner order. A token is
 # a '#' comment to the end of the line, a /* */ comment, a triple-quoted string (may span lines), a
 # quoted string with backslash escapes ending at its quote or at the end of the line, or plain text.
+# Possessive runs keep the matcher's stack flat however long a literal is.
 MASK_TOKEN_RE = (r"(?s)#[^\n]*|/\*.*?(?:\*/|$)|\"\"\".*?(?:\"\"\"|$)|'\'\'.*?(?:'\'\'|$)"
-                 r"|\"(?:\\[^\n]|[^\"\\\n])*\"?|'(?:\\[^\n]|[^'\\\n])*'?|[^#/\"']+|.")
+                 r"|\"[^\"\\\n]*+(?:\\[^\n][^\"\\\n]*+)*+\"?|'[^'\\\n]*+(?:\\[^\n][^'\\\n]*+)*+'?|[^#/\"']++|.")
 
 
 def mask_source(text: Column) -> Column:

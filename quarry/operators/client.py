@@ -5,19 +5,22 @@ calls are found with regexes over the file text (one row per file, so the work p
 by the file size), and their line numbers come from newline counts of the text before them, summed
 with the skew-safe prefix sum. Functions (for the enclosing component) are found per line and their
 blocks closed with the same level-as-of used for schema containers.
+
+Definitions and requests have a ``key`` (path and place in the file): several can share a line, so
+joins use the key and ``fullname`` (path:line) is for output.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.materialize import persist
-from ..functions.prefix import running_sum
+from ..functions.materialize import stored
+from ..functions.prefix import asof_last, next_line, path_ranges, running_sum
 from ..sources.files import to_lines
 from . import imports as I
-from .schema import _close_events, latest_per_level, with_depth
+from .schema import latest_per_level, with_depth
 
 # FIXED VALUES: names that mark a GraphQL client file, the hook names and their request types,
 # operation types and definition types, option names.
@@ -38,12 +41,32 @@ FIELD_RE = r"\b([a-z][a-zA-Z0-9_]*)\s*[{\(]"
 ALIAS_RE = r"([a-zA-Z_][a-zA-Z0-9_]*)\s*:\s*([a-zA-Z_][a-zA-Z0-9_]*)\s*[\(\{]"
 
 _ID = r"[A-Za-z_$][A-Za-z0-9_$]*"
-GQL_SPLIT_RE = r"(?<![A-Za-z0-9_$])gql\s*`"
-HOOK_SPLIT_RE = r"(?<![A-Za-z0-9_$])(?:useQuery|useLazyQuery|useMutation|useSubscription)\s*\("
-HOOK_NAME_RE = r"(?<![A-Za-z0-9_$])(useQuery|useLazyQuery|useMutation|useSubscription)\s*\("
+_TYPE_ARGS = r"(?:\s*<[^;()]*>)?"
+_HOOKS = "useQuery|useLazyQuery|useMutation|useSubscription"
+GQL_SPLIT_RE = r"(?<![A-Za-z0-9_$])gql" + _TYPE_ARGS + r"\s*(?:\(\s*)?`"
+HOOK_SPLIT_RE = r"(?<![A-Za-z0-9_$])(?:" + _HOOKS + ")" + _TYPE_ARGS + r"\s*\("
+HOOK_NAME_RE = r"(?<![A-Za-z0-9_$])(" + _HOOKS + ")" + _TYPE_ARGS + r"\s*\("
+# the clause of an import statement, which may span lines: import React, {\n  useQuery,\n} from "x"
+IMPORT_CLAUSE_RE = r"(?<![A-Za-z0-9_$.])import\s+([^;'\"`()=]*?)\s*from\s*['\"]"
+CLIENT_NAME_RE = r"(?<![A-Za-z0-9_$])(?:" + "|".join(CLIENT_IMPORT_NAMES) + r")(?![A-Za-z0-9_$])"
+# variable that a template is assigned to: declared with a type, or assigned
+TYPED_RE = r"(?:const|let|var)\s+(" + _ID + r")\s*:[^=;\n]*=\s*$"
+ASSIGNED_RE = r"(" + _ID + r")\s*=\s*$"
+# an options object after the first argument; nested objects up to four deep, then those inside it
+_FLAT = r"[^{}]*+"
+_NEST = _FLAT
+for _ in range(4):
+    _NEST = r"[^{}]*+(?:\{" + _NEST + r"\}[^{}]*+)*+"
+OPTIONS_RE = r"^[^,)]*,\s*\{(" + _NEST + r")\}"
+NESTED_RE = r"\{" + _NEST + r"\}"
+_WRAP = r"(?:" + _ID + r"(?:\." + _ID + r")*" + _TYPE_ARGS + r"\(\s*)*"
+_PARAMS = r"\((?:[^()]|\([^()]*\))*\)"
 FUNC_RES = [
-    r"^\s*(?:export\s+)?(?:default\s+)?(?:async\s+)?function\s*\*?\s*(" + _ID + r")\s*\(",
-    r"^\s*(?:export\s+)?(?:const|let|var)\s+(" + _ID + r")\s*=\s*(?:async\s+)?(?:function\b|\([^)]*\)\s*=>|" + _ID + r"\s*=>)",
+    r"^\s*(?:export\s+)?(?:default\s+)?(?:async\s+)?function\s*\*?\s*(" + _ID + r")\s*" + _TYPE_ARGS + r"\(",
+    r"^\s*(?:export\s+)?(?:const|let|var)\s+(" + _ID + r")\s*(?::[^=]+)?=\s*" + _WRAP + r"(?:async\s+)?(?:function\b|"
+    + _PARAMS + r"\s*(?::[^={]+)?=>|" + _ID + r"\s*=>|\([^()]*$)",
+    r"^\s*(?:(?:static|async|public|private|protected|override|get|set)\s+)*\*?\s*"
+    r"(?!(?:if|for|while|switch|catch|function|return|with|do|else|constructor)\b)(" + _ID + r")\s*\([^()]*\)\s*(?::[^={;]+)?\{\s*$",
 ]
 
 
@@ -58,11 +81,18 @@ def _type_map(pairs) -> Column:
     return F.create_map(*items)
 
 
+def _key(kind: str) -> Column:
+    """Unique key of a definition or request: its path and place in the file."""
+    return F.concat_ws("#", F.col("path"), F.lit(kind), F.col("pos").cast("string")).alias("key")
+
+
 def client_files(files: DataFrame) -> DataFrame:
-    """Keep files importing any of the client names (each file once)."""
-    imps = I.extract_imports(to_lines(files))
-    hit = imps.filter(F.col("name").isin(CLIENT_IMPORT_NAMES)).select("path").distinct()
-    return files.join(hit, "path", "left_semi")
+    """Keep files importing any of the client names (each file once): by an import clause of the
+    text, which may span lines, or by any other import form of I1."""
+    clauses = F.regexp_extract_all(F.col("content"), F.lit(IMPORT_CLAUSE_RE), 1)
+    by_clause = files.filter(F.exists(clauses, lambda c: c.rlike(CLIENT_NAME_RE))).select("path")
+    by_line = I.extract_imports(to_lines(files)).filter(F.col("name").isin(CLIENT_IMPORT_NAMES)).select("path")
+    return files.join(by_clause.union(by_line).distinct(), "path", "left_semi")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -115,8 +145,8 @@ def templates(files: DataFrame) -> DataFrame:
     parts = running_sum(parts, ["path"], "pos", _nl(F.col("piece")), "nl_before", inclusive=False)
     parts = parts.filter((F.col("pos") > 0) & F.col("piece").rlike("^[^`]*`"))
     line = (F.col("nl_before") + 1).cast("int")
-    assigned = T.nullif_empty(F.regexp_extract(F.col("prev"), r"(" + _ID + r")\s*=\s*$", 1))
-    in_call = T.nullif_empty(F.regexp_extract(F.col("prev"), r"(" + _ID + r")\s*\(\s*$", 1))
+    assigned = F.coalesce(*[T.nullif_empty(F.regexp_extract(F.col("prev"), r, 1)) for r in (TYPED_RE, ASSIGNED_RE)])
+    in_call = T.nullif_empty(F.regexp_extract(F.col("prev"), r"(" + _ID + r")" + _TYPE_ARGS + r"\s*\(\s*$", 1))
     var = F.coalesce(assigned, in_call, F.concat(F.lit("anonymous_gql_"), F.col("path"), F.lit(":"), line.cast("string")))
     body = F.regexp_extract(F.col("piece"), "^([^`]*)`", 1)
     return parts.select("path", F.col("pos").cast("int").alias("pos"), line.alias("line"), var.alias("name"),
@@ -124,13 +154,13 @@ def templates(files: DataFrame) -> DataFrame:
 
 
 def client_definitions(files: DataFrame) -> DataFrame:
-    """Definition rows (path, pos, line, name, type, fullname, op struct, raw_text)."""
+    """Definition rows (key, path, pos, line, name, type, fullname, op struct, raw_text)."""
     t = templates(files).filter(F.col("text") != "")
     # the text is read by many conditional expressions, which common-subexpression elimination does
     # not share; the generator makes the (stripped) text and the header test a computed column once
     t = t.select("*", F.explode(F.array(F.struct(T.strip_ws(F.col("text")).alias("s")))).alias("__t"))
     t = t.withColumn("op", parse_operation(F.col("__t.s"))).filter(F.col("op").isNotNull()).drop("__t")
-    return t.select("path", "pos", "line", "name",
+    return t.select(_key("d"), "path", "pos", "line", "name",
                     F.element_at(_type_map(DEF_TYPES), F.col("op.type")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
                     "op", F.col("text").alias("raw_text"))
@@ -139,28 +169,28 @@ def client_definitions(files: DataFrame) -> DataFrame:
 def definition_properties(defs: DataFrame) -> DataFrame:
     """One row per saved property; absent lists give no row, operationName is always saved."""
     p = "GraphQL_Client_Definition."
-    base = defs.select("fullname", F.explode(F.array(
+    base = defs.select("key", "fullname", F.explode(F.array(
         F.struct(F.lit(p + "operationName").alias("prop"), F.col("op.operationName").alias("value")),
         F.struct(F.lit(p + "rawQueryText").alias("prop"), F.col("raw_text").alias("value")),
         F.struct(F.lit(p + "variables").alias("prop"),
                  F.when(F.size("op.variables") > 0, T.join_list(F.col("op.variables"))).alias("value")),
         F.struct(F.lit(p + "fieldsSelected").alias("prop"),
                  F.when(F.size("op.fieldsSelected") > 0, T.join_list(F.col("op.fieldsSelected"))).alias("value")),
-    )).alias("x")).select("fullname", "x.*")
+    )).alias("x")).select("key", "fullname", "x.*")
     base = base.filter(F.col("value").isNotNull() | (F.col("prop") == p + "operationName"))
-    aliases = defs.select("fullname", F.explode("op.aliases").alias("k", "value")) \
-        .select("fullname", F.concat(F.lit(p + "alias."), F.col("k")).alias("prop"), "value")
+    aliases = defs.select("key", "fullname", F.explode("op.aliases").alias("k", "value")) \
+        .select("key", "fullname", F.concat(F.lit(p + "alias."), F.col("k")).alias("prop"), "value")
     return base.unionByName(aliases)
 
 
 def request_properties(reqs: DataFrame) -> DataFrame:
     """S9 for requests: hookType always, fetchPolicy / errorPolicy when present."""
     p = "GraphQL_Hook_Request."
-    return reqs.select("fullname", F.explode(F.array(
+    return reqs.select("key", "fullname", F.explode(F.array(
         F.struct(F.lit(p + "hookType").alias("prop"), F.col("hook").alias("value")),
         F.struct(F.lit(p + "fetchPolicy").alias("prop"), F.col("fetch_policy").alias("value")),
         F.struct(F.lit(p + "errorPolicy").alias("prop"), F.col("error_policy").alias("value")))).alias("x")) \
-        .select("fullname", "x.*").filter(F.col("value").isNotNull())
+        .select("key", "fullname", "x.*").filter(F.col("value").isNotNull())
 
 
 # ---------------------------------------------------------------------------------------------
@@ -182,36 +212,53 @@ def hook_calls(files: DataFrame) -> DataFrame:
     line = (F.col("nl") + 1).cast("int")
     a = F.col("args")
     query = T.nullif_empty(F.regexp_extract(a, r"^\s*(" + _ID + r")", 1))
-    opts = F.regexp_extract(a, r"^[^,)]*,\s*(\{[^}]*\})", 1)
+    # only the object's own options count, not those of objects inside it
+    opts = F.regexp_replace(F.regexp_extract(a, OPTIONS_RE, 1), NESTED_RE, "")
     fetch = T.clean_option(F.regexp_extract(opts, r"fetchPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
     error = T.clean_option(F.regexp_extract(opts, r"errorPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
     return h.select("path", F.col("pos").cast("int").alias("pos"), line.alias("line"), "hook", query.alias("query_name"),
                     fetch.alias("fetch_policy"), error.alias("error_policy"))
 
 
-def functions_in(files: DataFrame) -> DataFrame:
+def functions_in(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Named functions with their block: (path, name, fullname, start_line, end_line, level, proper),
-    plus the lines with depth."""
-    name = F.coalesce(*[T.nullif_empty(F.regexp_extract(F.col("text"), r, 1)) for r in FUNC_RES])
-    lines = persist(with_depth(to_lines(files).withColumn("fname", name), keep_text=False))
+    plus the lines with depth.
+
+    The block is the first brace that the header line leaves open, at the lowest depth that the line
+    reaches; braces paired on the line (destructured parameters) do not count. A header whose
+    parameters or arrow end on a later line takes the next line that leaves a brace open at its depth:
+    after an arrow only a line that begins with it, after open parameters one that ends in ``) {`` or
+    ``=> {``."""
+    txt = F.col("text")
+    name = F.coalesce(*[T.nullif_empty(F.regexp_extract(txt, r, 1)) for r in FUNC_RES])
+    more = T.count_char(txt, "(") - T.count_char(txt, ")")
+    waits = F.when(txt.rlike(r"=>\s*$"), "arrow").when(more > 0, "params").when(txt.rlike(r"\)\s*$") & txt.contains("function"), "arrow")
+    lines = to_lines(files).withColumn("fname", name).withColumn("un", T.unmatched_braces(txt)) \
+        .withColumn("waits", F.when(F.col("fname").isNotNull() & (F.col("un.opens") == 0), waits)) \
+        .withColumn("begins", F.when(txt.rlike(r"^\s*\{"), "arrow").when(txt.rlike(r"(?:\)|=>)\s*(?::[^{]*)?\{\s*$"), "params"))
+    lines = with_depth(lines, keep_text=False).withColumn("low", F.col("depth_prev") - F.col("un.closes"))
+    lines = stored(lines, "client-lines")
     fn = lines.filter(F.col("fname").isNotNull())
-    fn = fn.withColumn("level", F.col("depth") - F.col("opens") + 1)
-    proper = fn.filter((F.col("opens") > 0) & (F.col("opens") != F.col("closes")))
-    ev = proper.select("path", "level", "line", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("cl")) \
-        .unionByName(_close_events(lines).select("path", "level", "line", F.lit(0).alias("kind"),
-                                                 F.col("line").cast("int").alias("cl")))
-    w = Window.partitionBy("path", "level").orderBy(F.col("line").desc(), F.col("kind").desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    closed = ev.withColumn("close_line", F.min("cl").over(w)).filter("kind = 1").select("path", "line", "close_line")
+    openers = lines.filter((F.col("un.opens") > 0) & F.col("begins").isNotNull()) \
+        .select("path", F.col("low").alias("depth"), F.col("begins").alias("waits"), "line")
+    waiting = fn.filter(F.col("waits").isNotNull()).select("path", "depth", "waits", "line")
+    body = next_line(waiting, openers, ["path", "depth", "waits"], "body_line")
+    fn = fn.join(body.select("path", "line", "body_line"), ["path", "line"], "left")
+    near = (F.col("waits") == "params") | (F.col("body_line") <= F.col("line") + 2)
+    fn = fn.withColumn("body_line", F.when(F.col("un.opens") > 0, F.col("line")).when(near, F.col("body_line"))) \
+        .withColumn("level", F.when(F.col("un.opens") > 0, F.col("low") + 1).otherwise(F.col("depth") + 1)) \
+        .withColumn("proper", F.col("body_line").isNotNull())
+    fn = stored(fn, "client-headers")
+    closes = lines.filter(F.col("un.closes") > 0).select("path", F.explode(F.sequence(F.col("low") + 1, F.col("depth_prev"))).alias("level"), "line")
+    closed = next_line(fn.filter("proper").select("path", "level", F.col("body_line").alias("line")).distinct(), closes,
+                       ["path", "level"], "close_line").withColumnRenamed("line", "body_line")
     n_lines = lines.groupBy("path").agg(F.max("line").alias("n_lines"))
-    fn = fn.join(closed, ["path", "line"], "left").join(n_lines, "path", "left")
-    end = F.when((F.col("opens") > 0) & (F.col("opens") != F.col("closes")),
-                 F.coalesce(F.col("close_line"), F.col("n_lines"))).otherwise(F.col("line"))
-    proper_c = (F.col("opens") > 0) & (F.col("opens") != F.col("closes"))
-    return fn.select("path", F.col("fname").alias("name"),
-                     F.concat(F.col("path"), F.lit("."), F.col("fname")).alias("fullname"),
-                     F.col("line").alias("start_line"), end.alias("end_line"), "level",
-                     proper_c.alias("proper")), lines
+    fn = fn.join(closed, ["path", "level", "body_line"], "left").join(n_lines, "path", "left")
+    end = F.when(F.col("proper"), F.coalesce(F.col("close_line"), F.col("n_lines"))).otherwise(F.col("line"))
+    fn = fn.select("path", F.col("fname").alias("name"),
+                   F.concat(F.col("path"), F.lit("."), F.col("fname")).alias("fullname"),
+                   F.col("line").alias("start_line"), end.alias("end_line"), "level", "proper")
+    return stored(fn, "client-functions"), lines
 
 
 def enclosing_function(points: DataFrame, funcs: DataFrame, lines_d: DataFrame) -> DataFrame:
@@ -219,9 +266,7 @@ def enclosing_function(points: DataFrame, funcs: DataFrame, lines_d: DataFrame)
     function starting on the line itself, else the open function of the highest level (level as-of,
     no range join)."""
     proper = funcs.filter(F.col("proper"))
-    lo = proper.groupBy("path").agg(F.min("level").alias("lo"))
-    pts = points.join(lines_d.select("path", "line", "depth_prev"), ["path", "line"], "left")
-    pr = pts.join(lo, "path").select("path", "line", "lo", F.col("depth_prev").alias("hi"))
+    pr = points.join(lines_d.select("path", "line", F.col("depth_prev").alias("hi")), ["path", "line"], "left")
     cont = proper.select("path", "level", F.col("start_line").alias("line"),
                          F.struct(F.col("start_line").alias("start"), "end_line", "fullname").alias("c"))
     hit = latest_per_level(pr, cont).filter(F.col("h.end_line") >= F.col("line"))
@@ -237,7 +282,7 @@ def requests(files: DataFrame) -> DataFrame:
     funcs, lines_d = functions_in(files)
     enc = enclosing_function(h.select("path", "line").distinct(), funcs, lines_d)
     h = h.join(enc, ["path", "line"], "left").filter(F.col("parent").isNotNull())
-    return h.select("path", "pos", "line", F.concat(F.col("hook"), F.lit(":"), F.col("query_name")).alias("name"),
+    return h.select(_key("r"), "path", "pos", "line", F.concat(F.col("hook"), F.lit(":"), F.col("query_name")).alias("name"),
                     F.element_at(_type_map(HOOK_TYPES), F.col("hook")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
                     "hook", "query_name", "fetch_policy", "error_policy", "parent")
@@ -250,25 +295,23 @@ def requests(files: DataFrame) -> DataFrame:
 def definition_lookup(reqs: DataFrame, defs: DataFrame) -> DataFrame:
     """A hook in file k sees the last definition with its name in files 1..k (path order; in file
     k all definitions come before the hooks). Both sides are first reduced to one row per
-    (name, path), so the window per name holds at most one row per file."""
-    d = defs.groupBy("name", "path").agg(F.max_by("fullname", "pos").alias("def_fullname"))
+    (name, path). A name can be in any number of files, so the as-of runs inside ranges of paths and
+    over one row per (name, range). C16: the same lookup by upper-case name flags case-only mismatches."""
+    reqs = stored(reqs, "requests")
+    d = stored(defs.groupBy("name", "path").agg(F.max_by(F.struct("fullname", "key"), "pos").alias("d")), "definition-names")
     k = reqs.select(F.col("query_name").alias("name"), "path").distinct()
-    u = d.select("name", "path", F.lit(0).alias("phase"), "def_fullname") \
-        .unionByName(k.select("name", "path", F.lit(1).alias("phase"), F.lit(None).cast("string").alias("def_fullname")))
-    w = Window.partitionBy("name").orderBy("path", "phase").rowsBetween(Window.unboundedPreceding, 0)
-    seen = u.withColumn("hit", F.last("def_fullname", ignorenulls=True).over(w)).filter("phase = 1") \
-        .select(F.col("name").alias("query_name"), "path", "hit")
-    # C16 diagnostics: a visible definition whose name differs only by case
-    du = defs.groupBy(F.upper("name").alias("uname"), "path").agg(F.lit(1).alias("x"))
-    ku = reqs.select(F.upper("query_name").alias("uname"), "path").distinct()
-    u2 = du.select("uname", "path", F.lit(0).alias("phase"), F.lit(1).alias("x")) \
-        .unionByName(ku.select("uname", "path", F.lit(1).alias("phase"), F.lit(None).cast("int").alias("x")))
-    w2 = Window.partitionBy("uname").orderBy("path", "phase").rowsBetween(Window.unboundedPreceding, 0)
-    ci = u2.withColumn("ci", F.max("x").over(w2)).filter("phase = 1").select("uname", "path", "ci")
-    out = reqs.join(seen, ["query_name", "path"], "left").withColumn("uname", F.upper("query_name")) \
-        .join(ci, ["uname", "path"], "left").drop("uname")
-    return out.withColumn("definition", F.col("hit")) \
-        .withColumn("case_mismatch", F.col("hit").isNull() & F.coalesce(F.col("ci") == 1, F.lit(False))) \
+    none = F.lit(None).cast(d.schema["d"].dataType).alias("d")
+    exact = d.select("name", "path", F.lit(0).alias("phase"), "d").unionByName(k.select("name", "path", F.lit(1).alias("phase"), none))
+    loose = d.groupBy(F.upper("name").alias("name"), "path").agg(F.first("d").alias("d")).select("name", "path", F.lit(0).alias("phase"), "d") \
+        .unionByName(k.select(F.upper("name").alias("name"), "path").distinct().select("name", "path", F.lit(1).alias("phase"), none))
+    both = exact.withColumn("by_case", F.lit(True)).unionByName(loose.withColumn("by_case", F.lit(False)))
+    seen = asof_last(both, ["by_case", "name"], "path", "phase", "d", "hit", chunk_by=path_ranges(k)).filter("phase = 1")
+    hits = seen.filter("by_case").select(F.col("name").alias("query_name"), "path", "hit")
+    near = seen.filter("not by_case").select(F.col("name").alias("uname"), "path", F.col("hit").isNotNull().alias("ci"))
+    out = reqs.join(hits, ["query_name", "path"], "left").withColumn("uname", F.upper("query_name")) \
+        .join(near, ["uname", "path"], "left").drop("uname")
+    return out.withColumn("definition", F.col("hit.fullname")).withColumn("definition_key", F.col("hit.key")) \
+        .withColumn("case_mismatch", F.col("hit").isNull() & F.coalesce(F.col("ci"), F.lit(False))) \
         .drop("hit", "ci")
 
 
@@ -276,10 +319,12 @@ def client_links(looked_up: DataFrame) -> DataFrame:
     """C14 + C15: callLink component -> request (with bookmark), useLink request -> definition."""
     call = looked_up.select(F.lit("callLink").alias("link_type"), F.col("parent").alias("caller"),
                             F.col("fullname").alias("callee"), "path", "line",
-                            T.link_bookmark(F.col("path"), F.col("line")).alias("bookmark"))
+                            T.link_bookmark(F.col("path"), F.col("line")).alias("bookmark"),
+                            F.col("parent").alias("caller_key"), F.col("key").alias("callee_key"))
     use = looked_up.filter(F.col("definition").isNotNull()).select(
         F.lit("useLink").alias("link_type"), F.col("fullname").alias("caller"), F.col("definition").alias("callee"),
-        "path", "line", F.lit(None).cast(call.schema["bookmark"].dataType).alias("bookmark"))
+        "path", "line", F.lit(None).cast(call.schema["bookmark"].dataType).alias("bookmark"),
+        F.col("key").alias("caller_key"), F.col("definition_key").alias("callee_key"))
     return call.unionByName(use)
 
 
@@ -302,7 +347,7 @@ def definitions_from_calls(calls: DataFrame) -> DataFrame:
                    F.concat(F.lit("anonymous_gql_"), F.col("path"), F.lit(":"), F.col("line").cast("string"))).alias("name"),
         T.clean_template(F.col("arg0")).alias("text"))
     g = g.filter(F.col("text") != "").withColumn("op", parse_operation(F.col("text"))).filter(F.col("op").isNotNull())
-    return g.select("path", "pos", "line", "name", F.element_at(_type_map(DEF_TYPES), F.col("op.type")).alias("type"),
+    return g.select(_key("d"), "path", "pos", "line", "name", F.element_at(_type_map(DEF_TYPES), F.col("op.type")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
                     "op", F.col("text").alias("raw_text"))
 
@@ -315,7 +360,7 @@ def requests_from_calls(calls: DataFrame) -> DataFrame:
     opts = F.coalesce(F.col("arg1_text"), F.lit(""))
     fetch = T.clean_option(F.regexp_extract(opts, r"fetchPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
     error = T.clean_option(F.regexp_extract(opts, r"errorPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
-    return h.select("path", "pos", "line", F.concat(F.col("callee"), F.lit(":"), F.col("arg0")).alias("name"),
+    return h.select(_key("r"), "path", "pos", "line", F.concat(F.col("callee"), F.lit(":"), F.col("arg0")).alias("name"),
                     F.element_at(_type_map(HOOK_TYPES), F.col("callee")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
                     F.col("callee").alias("hook"), F.col("arg0").alias("query_name"),

@@ -25,11 +25,6 @@ IMPORT_PATTERNS = [
 _TWO_GROUPS = {0, 2, 3}
 
 
-def _java(p: str) -> str:
-    # Python's \w is Unicode-aware; Java's is ASCII (documented limit D24).
-    return p
-
-
 def extract_imports(lines: DataFrame) -> DataFrame:
     """imports(path, line, name, source, statement) in statement order."""
     txt = F.col("text")
@@ -45,10 +40,10 @@ def extract_imports(lines: DataFrame) -> DataFrame:
     marks = marks.withColumn("__in_block", F.coalesce(F.last("__mark", ignorenulls=True).over(w), F.lit(0)) == 1)
     # a header line is skipped; a closer line is skipped only while inside a block
     skip = header | (F.col("__in_block") & closer)
-    which = F.coalesce(*[F.when(txt.rlike(_java(p)), F.lit(i)) for i, p in enumerate(IMPORT_PATTERNS)])
+    which = F.coalesce(*[F.when(txt.rlike(p), F.lit(i)) for i, p in enumerate(IMPORT_PATTERNS)])
     m = marks.filter(~skip).withColumn("__k", which).filter(F.col("__k").isNotNull())
-    g1 = F.coalesce(*[F.when(F.col("__k") == i, F.regexp_extract(txt, _java(p), 1)) for i, p in enumerate(IMPORT_PATTERNS)])
-    g2 = F.coalesce(*[F.when(F.col("__k") == i, F.regexp_extract(txt, _java(p), 2))
+    g1 = F.coalesce(*[F.when(F.col("__k") == i, F.regexp_extract(txt, p, 1)) for i, p in enumerate(IMPORT_PATTERNS)])
+    g2 = F.coalesce(*[F.when(F.col("__k") == i, F.regexp_extract(txt, p, 2))
                       for i, p in enumerate(IMPORT_PATTERNS) if i in _TWO_GROUPS])
     two = F.col("__k").isin(*_TWO_GROUPS)
     m = m.select("path", "line", txt.alias("statement"), two.alias("two"), g1.alias("g1"), g2.alias("g2"))

@@ -47,10 +47,10 @@ def schema_index(objects: DataFrame) -> DataFrame:
 def definition_fields(defs: DataFrame) -> DataFrame:
     """Selected fields of each definition (stored list form split back, T7)."""
     stored = F.when(F.size("op.fieldsSelected") > 0, T.join_list(F.col("op.fieldsSelected")))
-    d = defs.select("fullname", "name", "type", stored.alias("fields_selected"),
+    d = defs.select("key", "fullname", "name", "type", stored.alias("fields_selected"),
                     F.element_at(_map(DEF_TYPE_OP), F.col("type")).alias("op"))
     return d.filter(F.col("fields_selected").isNotNull()) \
-        .select("fullname", "name", "type", "op", F.posexplode(T.split_list(F.col("fields_selected"))).alias("k", "field_name"))
+        .select("key", "fullname", "name", "type", "op", F.posexplode(T.split_list(F.col("fields_selected"))).alias("k", "field_name"))
 
 
 def definition_field_links(defs: DataFrame, index: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def definition_field_links(defs: DataFrame, index: DataFrame) -> DataFrame:
     df = definition_fields(defs)
     j = df.join(index, ["op", "field_name"], "inner")
     return j.select(F.lit("useLink").alias("link_type"), F.col("fullname").alias("caller"),
-                    F.col("field_fullname").alias("callee"), "op", "field_name")
+                    F.col("field_fullname").alias("callee"), "op", "field_name", F.col("key").alias("caller_key"))
 
 
 def missing_fields(defs: DataFrame, index: DataFrame) -> DataFrame:

@@ -67,11 +67,11 @@ def objects_by_category(typed: DataFrame) -> DataFrame:
 
 def property_inventory(typed: DataFrame, props: DataFrame) -> DataFrame:
     """For each object type and declared property, how many objects carry a value.
-    ``typed(fullname, type)``, ``props(fullname, prop, value)``."""
+    ``typed(key, type)``, ``props(key, prop, value)``: objects are told apart by key, as fullnames repeat."""
     spark = typed.sparkSession
     decl = declared_properties_by_type(spark)
-    have = props.filter(F.col("value").isNotNull()).join(typed, "fullname") \
-        .groupBy("type", "prop").agg(F.count_distinct("fullname").alias("n"))
+    have = props.filter(F.col("value").isNotNull()).join(typed, "key") \
+        .groupBy("type", "prop").agg(F.count_distinct("key").alias("n"))
     present = typed.select("type").distinct()
     grid = F.broadcast(decl).join(present, "type", "left_semi")
     return grid.join(have, ["type", "prop"], "left") \

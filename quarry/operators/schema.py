@@ -18,13 +18,13 @@ Plan, per file but without any per-file loop:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.patterns import DEFAULT_PATTERNS, PatternSet, classifier_branches
-from ..functions.materialize import persist
-from ..functions.prefix import running_sum
+from ..functions.materialize import stored
+from ..functions.prefix import asof_last, next_line, running_sum
 from ..sources.files import brace_counts
 
 ROOT_PARENTS = ("Program", "file")
@@ -115,7 +115,7 @@ def build_nodes(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS):
 
     Returns (lines with depth, nodes, closed containers).
     """
-    d = persist(with_depth(classify(lines, ps), keep_text=False))
+    d = stored(with_depth(classify(lines, ps), keep_text=False), "classified")
     nodes = d.filter(F.col("pattern_key").isNotNull()).select(
         "path", "line", "pattern_key", "name", "receiver", "obj_type", "expected_parent", "opens", "closes",
         "depth", "depth_prev")
@@ -126,28 +126,21 @@ def build_nodes(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS):
 
     proper = nodes.filter(F.col("is_container") & ~F.col("single_line"))
     # --- pass 1: close line of each proper container = next close event at its level --------
-    ev = proper.select("path", "level", "line", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("cl")) \
-        .unionByName(closes.select("path", "level", "line", F.lit(0).alias("kind"),
-                                   F.col("line").cast("int").alias("cl")))
-    w_next = Window.partitionBy("path", "level").orderBy(F.col("line").desc(), F.col("kind").desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    closed = ev.withColumn("close_line", F.min("cl").over(w_next)).filter(F.col("kind") == 1) \
-        .select("path", "level", F.col("line").alias("start"), "close_line")
+    closed = next_line(proper.select("path", "level", "line"), closes, ["path", "level"], "close_line") \
+        .withColumnRenamed("line", "start")
     return d, nodes, closed
 
 
 def latest_per_level(probes: DataFrame, cont: DataFrame) -> DataFrame:
-    """As-of per (path, level): probes(path, line, lo, hi), cont(path, level, line, c) ->
-    (path, line, h) with h = the latest container of each level in [lo, hi] that started strictly
-    before the probe line. Containers of one level never overlap, so h is the only candidate of its
-    level that can still be open; callers filter on its close/end line."""
-    pr = probes.filter(F.col("hi") >= F.col("lo")) \
-        .select("path", "line", F.explode(F.sequence(F.col("lo"), F.col("hi"))).alias("level"))
+    """As-of per (path, level): probes(path, line, hi), cont(path, level, line, c) -> (path, line, h) with h
+    = the latest container of each level up to hi that started strictly before the probe line. Only levels
+    that hold a container in the file are probed. Containers of one level never overlap, so h is the only
+    candidate of its level that can still be open; callers filter on its close/end line."""
+    levels = cont.select("path", "level").distinct()
+    pr = probes.join(levels, "path").filter(F.col("level") <= F.col("hi")).select("path", "line", "level")
     u = pr.select("path", "level", "line", F.lit(0).alias("kind"), F.lit(None).cast(cont.schema["c"].dataType).alias("c")) \
         .unionByName(cont.select("path", "level", "line", "c").withColumn("kind", F.lit(1)))
-    w_prev = Window.partitionBy("path", "level").orderBy("line", "kind") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    return u.withColumn("h", F.last("c", ignorenulls=True).over(w_prev)).filter(F.col("kind") == 0) \
+    return asof_last(u, ["path", "level"], "line", "kind", "c", "h").filter(F.col("kind") == 0) \
         .filter(F.col("h").isNotNull()).select("path", "line", "h")
 
 
@@ -162,8 +155,7 @@ def _stack_rule(stack: Column, expected: Column, upto: Column) -> Column:
         .otherwise(F.coalesce(best_typed, upto))
 
 
-def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS,
-                    probes: DataFrame | None = None) -> dict[str, DataFrame]:
+def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS) -> dict[str, DataFrame]:
     """objects(path, type, name, fullname, parent_fullname, start_line, end_line, guid,
     order_key, pattern_key, bookmark). ``files_n_lines(path, n_lines)`` gives Program rows.
 
@@ -179,15 +171,11 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
         "end_line",
         F.when(F.col("is_container") & ~F.col("single_line"), F.coalesce(F.col("close_line"), F.col("n_lines")))
         .otherwise(F.col("line")))
-    nodes = persist(nodes)
+    nodes = stored(nodes, "nodes")
 
     # --- pass 2: containers open at each probed line ------------------------------------------
     proper = nodes.filter(F.col("is_container") & ~F.col("single_line"))
-    lo = proper.groupBy("path").agg(F.min("level").alias("lo"))
-    probe_lines = nodes.select("path", "line", "depth_prev")
-    if probes is not None:
-        probe_lines = probe_lines.unionByName(probes.select("path", "line", "depth_prev")).dropDuplicates(["path", "line"])
-    pr = probe_lines.join(lo, on="path", how="inner").select("path", "line", "lo", F.col("depth_prev").alias("hi"))
+    pr = nodes.select("path", "line", F.col("depth_prev").alias("hi"))
     cont = proper.select("path", "level", "line",
                          F.struct(F.col("line").alias("start"), "close_line", "end_line", "name", "obj_type",
                                   "expected_parent").alias("c"))
@@ -238,8 +226,10 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
                     .otherwise(F.concat(F.col("parent_fullname"), F.lit("."), F.col("name")))) \
         .withColumn("order_key", F.concat(F.col("chain.starts"), F.array(F.col("line"))))
 
-    w_first = Window.partitionBy("path", "fullname").orderBy("order_key")
-    n = persist(n.withColumn("is_registered", F.row_number().over(w_first) == 1))
+    n = stored(n, "node-paths")
+    first = n.groupBy("path", "fullname").agg(F.min("order_key").alias("__first"))  # pre-aggregated, no window
+    n = n.join(first, ["path", "fullname"], "left").withColumn("is_registered", F.col("order_key").eqNullSafe(F.col("__first"))).drop("__first")
+    n = stored(n, "node-paths")
 
     typ = F.concat(F.lit("GraphQL"), F.col("obj_type"))
     objs = n.filter("is_registered").select(
@@ -254,7 +244,7 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     objs = objs.withColumn("guid", T.guid(F.col("type"), F.col("path"), F.col("fullname"),
                                           F.when(F.col("type") == "GraphQLProgram", F.lit(0))
                                           .otherwise(F.col("start_line"))))
-    return {"objects": objs, "nodes": n, "lines": d, "per_line": per_line, "persisted": [d, nodes, n]}
+    return {"objects": objs, "nodes": n, "lines": d, "per_line": per_line}
 
 
 def objects_of(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS) -> DataFrame:

@@ -84,23 +84,26 @@ idx AS (SELECT t.op, f.name AS field_name, arg_max(f.fullname, f.path) AS field_
 CLIENT = """
 ordr AS (SELECT o_orderkey AS ok, o_custkey AS c,
                 row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS j FROM orders),
-ordf AS (SELECT *, (j - 1) // 1000 AS chunk, (j - 1) % 1000 AS t, ok % 11 <> 10 AS inside FROM ordr),
+ordf AS (SELECT *, 0 AS chunk, j - 1 AS t, ok % 11 <> 10 AS inside FROM ordr),
 ordh AS (SELECT *, row_number() OVER (PARTITION BY c, chunk, inside ORDER BY ok) - 1 AS h FROM ordf),
 cfiles0 AS (SELECT c_custkey AS c, 0 AS chunk FROM customer UNION SELECT DISTINCT c, chunk FROM ordf),
 cfiles AS (SELECT f.c, f.chunk, printf('web/c%07d-%04d.jsx', f.c, f.chunk) AS path,
                   count(o.ok) AS n, count(o.ok) FILTER (WHERE o.inside) AS n_in, f.c % 10 <> 7 AS apollo
            FROM cfiles0 f LEFT JOIN ordf o ON o.c = f.c AND o.chunk = f.chunk GROUP BY f.c, f.chunk),
-lines_of AS (SELECT l_orderkey AS ok, list(DISTINCT printf('p%d', l_partkey) ORDER BY printf('p%d', l_partkey)) AS fields,
-                    arg_min(l_partkey, l_linenumber * 100000000000 + l_partkey) AS first_pk
-             FROM lineitem GROUP BY l_orderkey),
+lrow AS (SELECT l_orderkey AS ok, l_partkey AS pk, CAST(l_quantity AS BIGINT) AS qty,
+                row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS rn FROM lineitem),
+lines_of AS (SELECT ok, list(DISTINCT printf('p%d', pk) ORDER BY printf('p%d', pk)) AS fields, arg_min(pk, rn) AS first_pk,
+                    string_agg(CASE WHEN rn = 1 AND ok % 5 = 0 THEN printf('a%d: ', pk) ELSE '' END || printf('p%d(q: %d)', pk, qty),
+                               ' ' ORDER BY rn) AS ftxt
+             FROM lrow GROUP BY ok),
 ordx AS (SELECT o.*, f.path, f.n, f.n_in, f.apollo,
                 CASE WHEN o.ok % 10 = 3 THEN printf('SHARED_%d', o.ok % 4) ELSE printf('Q_%d', o.ok) END AS dname,
                 CASE o.ok % 3 WHEN 0 THEN 'query' WHEN 1 THEN 'mutation' ELSE 'subscription' END AS op,
                 CASE WHEN o.ok % 8 = 5 THEN 'useLazyQuery'
                      ELSE CASE o.ok % 3 WHEN 0 THEN 'useQuery' WHEN 1 THEN 'useMutation' ELSE 'useSubscription' END
                 END AS hook,
-                CASE WHEN o.inside THEN 3 + 5 * f.n + 1 + o.h ELSE 3 + 5 * f.n + 3 + f.n_in + o.h END AS hline,
-                l.fields, l.first_pk
+                CASE WHEN o.inside THEN 3 + 5 * f.n + 2 + o.h ELSE 3 + 5 * f.n + 4 + f.n_in + o.h END AS hline,
+                l.fields, l.first_pk, l.ftxt
          FROM ordh o JOIN cfiles f ON f.c = o.c AND f.chunk = o.chunk LEFT JOIN lines_of l ON l.ok = o.ok),
 cdefs AS (
   SELECT path, 3 + 5 * t AS line, dname AS name,
@@ -109,14 +112,21 @@ cdefs AS (
          path || ':' || CAST(3 + 5 * t AS VARCHAR) AS fullname, printf('Order%d', ok) AS operation_name,
          CASE WHEN ok % 4 = 0 THEN '$id, $n' WHEN ok % 4 = 1 THEN '$id' ELSE '' END AS variables,
          array_to_string(fields, ', ') AS fields_selected, fields AS field_list,
-         CASE WHEN ok % 5 = 0 THEN 1 ELSE 0 END AS n_aliases, ok, c, first_pk
+         CASE WHEN ok % 5 = 0 THEN 1 ELSE 0 END AS n_aliases, ok, c, first_pk, 'd' || ok AS dkey,
+         printf('%s Order%d%s {', op, ok, CASE WHEN ok % 4 = 0 THEN '($id: ID!, $n: Int)' WHEN ok % 4 = 1 THEN '($id: ID!)' ELSE '' END)
+           || chr(10) || '    ' || ftxt || chr(10) || '  }' AS raw
   FROM ordx WHERE apollo AND fields IS NOT NULL
   UNION ALL
   SELECT path, hline, hook, 'GraphQLClientQuery', path || ':' || CAST(hline AS VARCHAR), NULL, '', '',
-         CAST([] AS VARCHAR[]), 0, ok, c, NULL
+         CAST([] AS VARCHAR[]), 0, ok, c, NULL, 'i' || ok, 'query { ping }'
   FROM ordx WHERE apollo AND ok % 13 = 6
 ),
 creqs AS (
+  SELECT path, hline AS line, ok, c, 'useQuery' AS hook, dname AS query_name, 'GraphQLQueryRequest' AS type,
+         path || ':' || CAST(hline AS VARCHAR) AS fullname, printf('%s.Customer%d', path, c) AS parent,
+         CAST(NULL AS VARCHAR) AS fetch_policy, CAST(NULL AS VARCHAR) AS error_policy, 's' || ok AS rkey
+  FROM ordx WHERE apollo AND inside AND ok % 17 = 5
+  UNION ALL
   SELECT path, hline AS line, ok, c, hook,
          CASE WHEN ok % 13 = 6 THEN 'gql' WHEN ok % 7 = 2 THEN printf('Q_%d', ok + 1)
               WHEN ok % 7 = 5 THEN printf('q_%d', ok) ELSE dname END AS query_name,
@@ -125,13 +135,14 @@ creqs AS (
          path || ':' || CAST(hline AS VARCHAR) AS fullname,
          printf('%s.Customer%d', path, c) AS parent,
          CASE WHEN ok % 4 = 0 THEN 'cache-first' WHEN ok % 4 = 1 THEN 'network-only' END AS fetch_policy,
-         CASE WHEN ok % 4 = 1 THEN 'all' END AS error_policy
+         CASE WHEN ok % 4 = 1 THEN 'all' END AS error_policy, 'r' || ok
   FROM ordx WHERE apollo AND inside
 ),
-cdd AS (SELECT name, path, arg_max(fullname, line) AS def_fullname FROM cdefs GROUP BY name, path),
+cdd AS (SELECT name, path, arg_max(fullname, line) AS def_fullname, arg_max(dkey, line) AS def_key FROM cdefs GROUP BY name, path),
 creql AS (SELECT r.*,
                  (SELECT arg_max(d.def_fullname, d.path) FROM cdd d WHERE d.name = r.query_name AND d.path <= r.path)
                    AS definition,
+                 (SELECT arg_max(d.def_key, d.path) FROM cdd d WHERE d.name = r.query_name AND d.path <= r.path) AS dkey,
                  (SELECT count(*) FROM cdd d WHERE upper(d.name) = upper(r.query_name) AND d.path <= r.path) AS n_ci
           FROM creqs r)
 """
@@ -283,9 +294,10 @@ SELECT r.restrict_to_class, r.name,
 FROM req r
 """
 ORACLE["resolve_suffix"] = S + """
-, req AS (SELECT DISTINCT path AS context_path, rt || '.' || printf('p%d', pk) AS name FROM fld),
+, req AS (SELECT DISTINCT path AS context_path, string_split(parent_fullname, '.')[-1] || '.' || name AS name FROM obj WHERE type = 'GraphQLField'),
+tails AS (SELECT fullname, array_to_string(string_split(fullname, '.')[-2:], '.') AS tail FROM obj),
 cand AS (SELECT r.context_path, r.name, o.fullname, starts_with(o.fullname, r.context_path || '.') AS in_file
-         FROM req r JOIN obj o ON ends_with(o.fullname, '.' || r.name) OR ends_with(o.fullname, ':' || r.name)),
+         FROM req r JOIN tails o ON o.tail = r.name),
 agg AS (SELECT context_path, name, count(*) AS n_all, count(*) FILTER (WHERE in_file) AS n_file,
                max(fullname) FILTER (WHERE in_file) AS f_file, max(fullname) AS f_any FROM cand GROUP BY ALL)
 SELECT r.context_path, r.name,
@@ -333,6 +345,7 @@ SELECT fullname, query_name, n_ci > 0 AS case_mismatch FROM creql WHERE definiti
 """
 ORACLE["definition_properties"] = SC + """
 SELECT fullname, 'GraphQL_Client_Definition.operationName' AS prop, operation_name AS value FROM cdefs
+UNION ALL SELECT fullname, 'GraphQL_Client_Definition.rawQueryText', raw FROM cdefs
 UNION ALL SELECT fullname, 'GraphQL_Client_Definition.variables', variables FROM cdefs WHERE variables <> ''
 UNION ALL SELECT fullname, 'GraphQL_Client_Definition.fieldsSelected', fields_selected FROM cdefs WHERE fields_selected <> ''
 UNION ALL SELECT fullname, 'GraphQL_Client_Definition.alias.' || printf('a%d', first_pk), printf('p%d', first_pk)
@@ -387,14 +400,14 @@ JOIN idx i ON i.op = df.op AND i.field_name = df.field_name
 """
 ORACLE["request_fields"] = SC + """
 SELECT r.fullname AS request, r.definition, d.type AS definition_type, nullif(d.fields_selected, '') AS fields_selected
-FROM creql r LEFT JOIN cdefs d ON d.fullname = r.definition
+FROM creql r LEFT JOIN cdefs d ON d.dkey = r.dkey
 """
 ORACLE["first_use_target"] = SC + """
 SELECT fullname AS request, definition AS target FROM creql WHERE definition IS NOT NULL
 """
 ORACLE["resolver_verdicts"] = SCB + """
 , rv AS (SELECT r.fullname AS request, r.definition, d.type AS dtype, d.field_list[1] AS field
-         FROM creql r LEFT JOIN cdefs d ON d.fullname = r.definition),
+         FROM creql r LEFT JOIN cdefs d ON d.dkey = r.dkey),
 mn AS (SELECT name, count(*) AS n_methods,
               count(*) FILTER (WHERE controller_ok AND contains(array_to_string(annotations, chr(1)), '@QueryMapping')) AS okq,
               count(*) FILTER (WHERE controller_ok AND contains(array_to_string(annotations, chr(1)), '@MutationMapping')) AS okm,
@@ -412,15 +425,54 @@ FROM j
 ORACLE["method_index"] = SB + """
 SELECT name AS method_name, CAST(count(*) AS BIGINT) AS n_methods FROM kb WHERE type = 'JV_METHOD' GROUP BY name
 """
-ORACLE["full_stack_trace"] = SCB + f"""
-, df AS (SELECT fullname, {DEF_OP} AS op, unnest(field_list) AS field_name FROM cdefs),
-dfl AS (SELECT df.fullname AS definition, i.field_fullname AS field FROM df
+TRACE = f"""
+, df AS (SELECT dkey, {DEF_OP} AS op, unnest(field_list) AS field_name FROM cdefs),
+dfl AS (SELECT df.dkey, i.field_fullname AS field FROM df
         JOIN idx i ON i.op = df.op AND i.field_name = df.field_name),
-pf AS (SELECT field_fullname AS field, min(fullname) AS method, count(*) AS n_methods FROM kstat
-       WHERE status = 'linked' GROUP BY field_fullname)
-SELECT r.parent AS component, r.fullname AS request, r.definition, dfl.field, pf.method,
-       CAST(coalesce(pf.n_methods, 0) AS BIGINT) AS n_methods
-FROM creql r LEFT JOIN dfl ON dfl.definition = r.definition LEFT JOIN pf ON pf.field = dfl.field
+fm AS (SELECT field_fullname AS field, fullname AS method FROM kstat WHERE status = 'linked'),
+tr AS (SELECT r.parent AS component, r.fullname AS request, r.definition, dfl.field
+       FROM creql r LEFT JOIN dfl ON dfl.dkey = r.dkey)
+"""
+ORACLE["full_stack_trace"] = SCB + TRACE + """
+SELECT tr.*, CAST(coalesce((SELECT count(*) FROM fm WHERE fm.field = tr.field), 0) AS BIGINT) AS n_methods FROM tr
+"""
+ORACLE["trace_methods"] = SCB + TRACE + """
+SELECT field, method FROM fm WHERE field IN (SELECT field FROM tr)
+"""
+ORACLE["component_stack"] = SCB + TRACE + """
+, top AS (SELECT parent FROM creqs GROUP BY parent ORDER BY count(*) DESC, parent LIMIT 1)
+SELECT tr.component, tr.request, tr.definition, tr.field, fm.method FROM tr JOIN top ON top.parent = tr.component
+LEFT JOIN fm ON fm.field = tr.field
+"""
+ORACLE["search_objects"] = SC + """
+SELECT fullname, name, operation_name, nullif(fields_selected, '') AS fields_selected FROM cdefs WHERE type = 'GraphQLClientQuery'
+"""
+ORACLE["link_bookmarks"] = S + """
+SELECT caller, target AS callee, path AS bm_path, CAST(line AS BIGINT) AS bm_line, CAST(1 AS BIGINT) AS bm_col,
+       CAST(line AS BIGINT) AS bm_end_line, CAST(-1 AS BIGINT) AS bm_end_col FROM res WHERE target IS NOT NULL
+"""
+ORACLE["resolve_file"] = S + """
+, req AS (SELECT DISTINCT path AS context_path, callee AS name FROM refs),
+cand AS (SELECT r.context_path, r.name, count(o.fullname) AS n, max(o.fullname) AS f FROM req r
+         LEFT JOIN obj o ON o.name = r.name AND o.path = r.context_path AND o.fullname <> o.path GROUP BY ALL)
+SELECT context_path, name, CASE WHEN n = 1 THEN f END AS target FROM cand
+"""
+ORACLE["object_order"] = S + """
+SELECT o.fullname, CASE WHEN p.type = 'GraphQLProgram' THEN CAST(o.start_line AS VARCHAR)
+                        WHEN o.type = 'GraphQLField' AND starts_with(o.name, 'x')  -- in the type's extension, a block of its own
+                        THEN CAST(o.start_line - 1 AS VARCHAR) || '/' || CAST(o.start_line AS VARCHAR)
+                        ELSE CAST(coalesce(p.start_line, 0) AS VARCHAR) || '/' || CAST(o.start_line AS VARCHAR) END AS order_key
+FROM obj o LEFT JOIN obj p ON p.fullname = o.parent_fullname WHERE o.type <> 'GraphQLProgram'
+"""
+ORACLE["methods_by_name"] = SB + """
+SELECT name AS method_name, fullname AS method_fullname FROM kb WHERE type = 'JV_METHOD'
+"""
+ORACLE["resolver_methods"] = SCB + """
+SELECT d.type AS definition_type, d.field AS field, g.fullname AS method, g.controller_ok,
+       g.controller_ok AND contains(array_to_string(g.annotations, chr(1)),
+         CASE d.type WHEN 'GraphQLClientQuery' THEN '@QueryMapping' WHEN 'GraphQLClientMutation' THEN '@MutationMapping'
+                     ELSE '@SubscriptionMapping' END) AS valid
+FROM (SELECT DISTINCT type, field_list[1] AS field FROM cdefs WHERE len(field_list) > 0) d JOIN kgate g ON g.name = d.field
 """
 
 # ---------------------------------------------------------------- reports
@@ -489,9 +541,14 @@ SELECT path, CAST(line AS BIGINT) AS line, name, source FROM imp
 ORACLE["import_map"] = _with(IMPORTS) + """
 SELECT path, name, arg_max(source, line) AS source FROM imp GROUP BY path, name
 """
-ORACLE["masked_text"] = """
-SELECT CAST(page_id AS BIGINT) AS page_id, CAST(length(html) AS BIGINT) AS n_chars,
-       CAST(length(html) - length(replace(html, chr(10), '')) AS BIGINT) AS n_newlines FROM pages
+# the same tokens by DuckDB's engine, which needs no possessive runs; a masked token keeps its newlines
+ORACLE["masked_text"] = r"""
+WITH tok AS (SELECT page_id, regexp_extract_all(html,
+  '(?s)#[^\n]*|/\*.*?(?:\*/|$)|"{3}.*?(?:"{3}|$)|''{3}.*?(?:''{3}|$)|"(?:\\[^\n]|[^"\\\n])*"?|''(?:\\[^\n]|[^''\\\n])*''?|[^#/"'']+|.') AS t
+  FROM pages)
+SELECT CAST(page_id AS BIGINT) AS page_id,
+       array_to_string(list_transform(t, lambda x: CASE WHEN regexp_matches(x, '^(#|/\*|"|'')') THEN regexp_replace(x, '[^\n]', ' ', 'g') ELSE x END), '') AS masked
+FROM tok
 """
 
 # ---------------------------------------------------------------- handlers

@@ -165,7 +165,7 @@ def resolve_class(spark, d):
 def resolve_suffix(spark, d):
     a = analysis_for(spark, d)
     o = a.objects()
-    roots = o.filter((F.col("type") == "GraphQLField") & F.col("name").startswith("p")) \
+    roots = o.filter(F.col("type") == "GraphQLField") \
         .select("path", F.concat(T.short_name(F.col("parent_fullname")), F.lit("."), F.col("name")).alias("qname"))
     req = _requests(roots, "qname", ctx="path")
     return R.generic_resolve(req, o).select("context_path", "name", "target")
@@ -215,8 +215,7 @@ def operation_aliases(spark, d):
 
 @query("definition_properties")
 def definition_properties(spark, d):
-    p = C.definition_properties(_defs(spark, d))
-    return p.filter(F.col("prop") != "GraphQL_Client_Definition.rawQueryText")
+    return C.definition_properties(_defs(spark, d)).select("fullname", "prop", "value")
 
 
 @query("hook_requests")
@@ -327,7 +326,8 @@ def request_fields(spark, d):
 def first_use_target(spark, d):
     a = analysis_for(spark, d)
     use = a.client_links().filter(F.col("link_type") == "useLink")
-    return use.groupBy(F.col("caller").alias("request")).agg(F.min("callee").alias("target"))
+    return use.groupBy("caller_key").agg(F.first("caller").alias("request"), F.min_by("callee", F.struct("path", "line")).alias("target")) \
+        .select("request", "target")
 
 
 @query("resolver_verdicts")
@@ -341,10 +341,40 @@ def method_index(spark, d):
     return G.method_index(analysis_for(spark, d).backend())
 
 
+@query("methods_by_name")
+def methods_by_name(spark, d):
+    """The methods themselves, a row each under their name."""
+    return G.methods_by_name(analysis_for(spark, d).backend())
+
+
 @query("full_stack_trace")
 def full_stack_trace(spark, d):
     a = analysis_for(spark, d)
-    return G.full_stack_trace(a.requests(), a.definition_field_links(), a.field_method_links())
+    return G.full_stack_trace(a.requests(), a.definition_field_links(), a.field_method_links()).drop("request_key")
+
+
+@query("trace_methods")
+def trace_methods(spark, d):
+    """G8, the far end of the trace: every backend method of every field that a request reaches."""
+    a = analysis_for(spark, d)
+    trace = G.full_stack_trace(a.requests(), a.definition_field_links(), a.field_method_links())
+    return G.trace_methods(trace, a.field_method_links())
+
+
+@query("component_stack")
+def component_stack(spark, d):
+    """G8 written out in full for chosen components: here the one with the most requests."""
+    a = analysis_for(spark, d)
+    trace = G.full_stack_trace(a.requests(), a.definition_field_links(), a.field_method_links())
+    seed = a.requests().groupBy(F.col("parent").alias("component")).count().orderBy(F.desc("count"), "component").limit(1)
+    return G.expand_trace(trace, a.field_method_links(), components=seed).drop("request_key", "n_methods")
+
+
+@query("resolver_methods")
+def resolver_methods(spark, d):
+    """G5 in full: every method named like a first field and whether it passes for a type of definition."""
+    a = analysis_for(spark, d)
+    return G.resolver_methods(a.definitions(), a.backend())
 
 
 # ---------------------------------------------------------------- reports
@@ -390,10 +420,42 @@ def objects_by_category(spark, d):
 def property_inventory(spark, d):
     a = analysis_for(spark, d)
     props = C.definition_properties(a.definitions()).unionByName(C.request_properties(a.requests()))
-    typed = a.definitions().select("fullname", "type").unionByName(a.requests().select("fullname", "type"))
+    typed = a.definitions().select("key", "type").unionByName(a.requests().select("key", "type"))
     return A.property_inventory(typed, props)
 
 
+@query("search_objects")
+def search_objects(spark, d):
+    """Every query definition with its saved properties attached."""
+    a = analysis_for(spark, d)
+    found = G.search_objects(a.definitions().select("key", "fullname", "name", "type"), C.definition_properties(a.definitions()),
+                             type_="GraphQLClientQuery")
+    return found.select("fullname", "name", F.element_at("properties", "GraphQL_Client_Definition.operationName").alias("operation_name"),
+                        F.try_element_at("properties", F.lit("GraphQL_Client_Definition.fieldsSelected")).alias("fields_selected"))
+
+
+@query("link_bookmarks")
+def link_bookmarks(spark, d):
+    """T6 on links: where a schema link's reference stands."""
+    links = analysis_for(spark, d).schema_links()
+    return links.select("caller", "callee", F.col("bookmark.path").alias("bm_path"), *[F.col(f"bookmark.{c}").cast("bigint").alias(f"bm_{c}")
+                        for c in ("line", "col", "end_line", "end_col")])
+
+
+@query("resolve_file")
+def resolve_file(spark, d):
+    """Names looked up in one file only."""
+    a = analysis_for(spark, d)
+    return R.generic_resolve(_requests(a.references(), "callee", ctx="path", rtf=True), a.objects()).select("context_path", "name", "target")
+
+
+@query("object_order")
+def object_order(spark, d):
+    """The pre-order key of every object, as its containers' lines and its own."""
+    o = analysis_for(spark, d).objects().filter("type <> 'GraphQLProgram'")
+    return o.select("fullname", F.array_join(F.col("order_key").cast("array<string>"), "/").alias("order_key"))
+
+
 # ---------------------------------------------------------------- imports (I1-I4), masking (T4)
 @query("imports")
 def imports(spark, d):
@@ -409,9 +471,7 @@ def import_map(spark, d):
 def masked_text(spark, d):
     pages = read_table(spark, d, "pages")
     m = T.mask_source(F.col("html"))
-    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), m.alias("m")).select(
-        "page_id", F.length("m").cast("bigint").alias("n_chars"),
-        (F.length("m") - F.length(F.replace(F.col("m"), F.lit("\n"), F.lit("")))).cast("bigint").alias("n_newlines"))
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), m.alias("masked"))
 
 
 # ---------------------------------------------------------------- handlers

@@ -36,12 +36,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared checkpoint folder; set a scratch one only when none is set (tests)."""
+    """Use the cluster's shared checkpoint folder. A scratch one is made only on a local master (tests);
+    on a cluster executors could not see it, so a missing setting is an error there."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)

@@ -132,37 +132,42 @@ def schema_corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def lines_to_files(lines: DataFrame) -> DataFrame:
-    """Assemble whole-file text from lines (used only to exercise the files -> lines path in tests)."""
+    """Assemble whole-file text from lines: one source file is one row."""
     return lines.groupBy("path").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]),
                      "\n").alias("content"))
 
 
 # ----------------------------------------------------------------------------------------------
-# Client corpus — one file per (customer, block of 1000 orders) ``web/c<7 digits>-<4 digits>.jsx``
+# Client corpus — one file per customer ``web/c<7 digits>-0000.jsx``, whatever the number of its orders
 # ----------------------------------------------------------------------------------------------
-#   1   import line (c % 10 = 7: a React-only import, so the file is not a GraphQL client file)
-#   2   (empty)
+#   1-2          import (c % 10 = 7: a React-only import, so the file is not a GraphQL client file):
+#                c % 4 = 1 over two lines, c % 4 = 2 default and named, else named on one line
 #   per order t (orderkey order), 5 lines from 3 + 5t:
-#       const <NAME> = gql`            NAME = SHARED_<ok % 4> when ok % 10 = 3, else Q_<ok>
-#         <op> Order<ok><vars> {       op by ok % 3: query, mutation, subscription
-#           <fields>                   p<pk>(q: <qty>) per lineitem by line number; the first one
-#         }                            is aliased as a<pk>: p<pk>(...) when ok % 5 = 0
-#       `;
-#   export default function Customer<c>() {
-#     const r<ok> = <hook>(<arg><opts>);    one per order unless ok % 11 = 10
-#     return null;
-#   }
+#       const <NAME><type> = gql<open>`  NAME = SHARED_<ok % 4> when ok % 10 = 3, else Q_<ok>
+#         <op> Order<ok><vars> {         op by ok % 3: query, mutation, subscription
+#           <fields>                     p<pk>(q: <qty>) per lineitem by line number; the first one
+#         }                              is aliased as a<pk>: p<pk>(...) when ok % 5 = 0
+#       `<close>;                        type: ": DocumentNode" when ok % 6 = 1; "(" and ")" when ok % 6 = 2
+#   component header and the line after it, by c % 3:
+#       0  export default function Customer<c>({ id }) {
+#            const pick = ({ id }) => { return id; };
+#       1  export const Customer<c>: React.FC<Props> = () => {
+#            const pick = ({ id }) => { return id; };
+#       2  const Customer<c> = ({ id }) =>
+#          {
+#     const r<ok> = <hook><args>(<arg><opts>);    one per order unless ok % 11 = 10; args:
+#     return null;                                "<Data, { id: string }>" when ok % 9 = 4; when
+#   }                                             ok % 17 = 5 a second call on the line, useQuery(NAME)
 #   const t<ok> = <hook>(<arg><opts>);      orders with ok % 11 = 10: outside any function
 # vars: ok % 4 = 0 -> ($id: ID!, $n: Int); ok % 4 = 1 -> ($id: ID!); else none.
 # hook: ok % 8 = 5 -> useLazyQuery, else by ok % 3: useQuery, useMutation, useSubscription.
 # arg: ok % 13 = 6 -> inline gql`query { ping }`; ok % 7 = 2 -> Q_<ok + 1>; ok % 7 = 5 -> q_<ok>;
 #      else NAME.
 # opts: ok % 4 = 0 -> , { fetchPolicy: "cache-first" };
-#       ok % 4 = 1 -> , { fetchPolicy: 'network-only', errorPolicy: "all" }; else none.
+#       ok % 4 = 1 -> , { variables: { id: { in: [1] } }, fetchPolicy: 'network-only', errorPolicy: "all" }; else none.
 
-CLIENT_FILE_ORDERS = 1000
-APOLLO_IMPORT = 'import { gql, useQuery, useLazyQuery, useMutation, useSubscription } from "@apollo/client";'
+APOLLO_NAMES = "gql, useQuery, useLazyQuery, useMutation, useSubscription"
 REACT_IMPORT = 'import React from "react";'
 
 
@@ -182,8 +187,7 @@ def client_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.format_string("p%d(q: %d)", x["pk"], x["qty"]))), " ")
     o = orders.join(flds, "ok", "left").withColumn("fields", F.coalesce(field_txt, F.lit("")))
     o = dense_position(o, ["c"], "ok", "j")  # 1-based rank of the order within its customer
-    o = o.withColumn("chunk", F.floor((F.col("j") - 1) / CLIENT_FILE_ORDERS)) \
-        .withColumn("t", (F.col("j") - 1) % CLIENT_FILE_ORDERS)
+    o = o.withColumn("t", F.col("j") - 1)
     name = F.when(ok % 10 == 3, F.format_string("SHARED_%d", ok % 4)).otherwise(F.format_string("Q_%d", ok))
     op = F.element_at(F.array(F.lit("query"), F.lit("mutation"), F.lit("subscription")), (ok % 3 + 1).cast("int"))
     vars_ = F.when(ok % 4 == 0, F.lit("($id: ID!, $n: Int)")).when(ok % 4 == 1, F.lit("($id: ID!)")).otherwise(F.lit(""))
@@ -193,49 +197,55 @@ def client_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(ok % 7 == 2, F.format_string("Q_%d", ok + 1)) \
         .when(ok % 7 == 5, F.format_string("q_%d", ok)).otherwise(name)
     opts = F.when(ok % 4 == 0, F.lit(', { fetchPolicy: "cache-first" }')) \
-        .when(ok % 4 == 1, F.lit(", { fetchPolicy: 'network-only', errorPolicy: \"all\" }")).otherwise(F.lit(""))
+        .when(ok % 4 == 1, F.lit(", { variables: { id: { in: [1] } }, fetchPolicy: 'network-only', errorPolicy: \"all\" }")).otherwise(F.lit(""))
     return o.withColumn("name", name).withColumn("op", op).withColumn("vars", vars_).withColumn("hook", hook) \
         .withColumn("arg", arg).withColumn("opts", opts).withColumn("inside", ok % 11 != 10)
 
 
 def client_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """files(path, content) of the client corpus; each file is bounded by CLIENT_FILE_ORDERS orders."""
+    """files(path, content) of the client corpus."""
     customers = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("c"))
     o = client_order_rows(spark, sf_dir)
-    files = customers.withColumn("chunk", F.lit(0).cast("long")) \
-        .unionByName(o.select("c", "chunk").distinct()).distinct()
-    files = files.withColumn("path", F.format_string("web/c%07d-%04d.jsx", F.col("c"), F.col("chunk")))
-    per_file = o.groupBy("c", "chunk").agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("inside").cast("int")).alias("n_in"))
-    files = files.join(per_file, ["c", "chunk"], "left").fillna(0, ["n", "n_in"])
-    # ranks of inside / outside hooks inside a file (bounded by CLIENT_FILE_ORDERS rows per file)
-    w = Window.partitionBy("c", "chunk", "inside").orderBy("ok")
-    o = o.withColumn("h", F.row_number().over(w) - 1)
-    snip = o.join(files.select("c", "chunk", "path", "n", "n_in"), ["c", "chunk"])
+    per_file = o.groupBy("c").agg(F.count("*").alias("n"), F.sum(F.col("inside").cast("int")).alias("n_in"))
+    files = customers.join(per_file, "c", "left").fillna(0, ["n", "n_in"]) \
+        .withColumn("path", F.format_string("web/c%07d-0000.jsx", F.col("c")))
+    # ranks of inside / outside hooks inside a file
+    o = dense_position(o, ["c", "inside"], "ok", "h").withColumn("h", F.col("h") - 1)
+    snip = o.join(files.select("c", "path", "n", "n_in"), "c")
+    ok, c = F.col("ok"), F.col("c")
     base = 3 + 5 * F.col("t")
-    fstart = 3 + 5 * F.col("n")
-    tmpl = snip.select("path", F.explode(F.array(
-        F.struct(base.alias("line"), F.format_string("const %s = gql`", F.col("name")).alias("text")),
-        F.struct((base + 1).alias("line"), F.format_string("  %s Order%d%s {", F.col("op"), F.col("ok"), F.col("vars")).alias("text")),
-        F.struct((base + 2).alias("line"), F.concat(F.lit("    "), F.col("fields")).alias("text")),
-        F.struct((base + 3).alias("line"), F.lit("  }").alias("text")),
-        F.struct((base + 4).alias("line"), F.lit("`;").alias("text")))).alias("x")).select("path", "x.*")
-    call = F.format_string("%s(%s%s);", F.col("hook"), F.col("arg"), F.col("opts"))
-    hooks = snip.select("path", F.when(F.col("inside"), fstart + 1 + F.col("h"))
-                        .otherwise(fstart + 3 + F.col("n_in") + F.col("h")).alias("line"),
-                        F.when(F.col("inside"), F.format_string("  const r%d = %s", F.col("ok"), call))
-                        .otherwise(F.format_string("const t%d = %s", F.col("ok"), call)).alias("text"))
-    imp = F.when(F.col("c") % 10 == 7, F.lit(REACT_IMPORT)).otherwise(F.lit(APOLLO_IMPORT))
     fs = 3 + 5 * F.col("n")
+    typed = F.when(ok % 6 == 1, F.lit(": DocumentNode")).otherwise(F.lit(""))
+    opened = F.when(ok % 6 == 2, F.lit("(")).otherwise(F.lit(""))
+    closed = F.when(ok % 6 == 2, F.lit(")")).otherwise(F.lit(""))
+
+    def line(at, text):
+        return F.struct(at.cast("long").alias("line"), text.alias("text"))
+
+    tmpl = snip.select("path", F.explode(F.array(
+        line(base, F.format_string("const %s%s = gql%s`", F.col("name"), typed, opened)),
+        line(base + 1, F.format_string("  %s Order%d%s {", F.col("op"), ok, F.col("vars"))),
+        line(base + 2, F.concat(F.lit("    "), F.col("fields"))),
+        line(base + 3, F.lit("  }")),
+        line(base + 4, F.concat(F.lit("`"), closed, F.lit(";"))))).alias("x")).select("path", "x.*")
+    args = F.when(ok % 9 == 4, F.lit("<Data, { id: string }>")).otherwise(F.lit(""))
+    again = F.when(ok % 17 == 5, F.format_string(", s%d = useQuery(%s)", ok, F.col("name"))).otherwise(F.lit(""))
+    call = F.format_string("%s%s(%s%s)", F.col("hook"), args, F.col("arg"), F.col("opts"))
+    hooks = snip.select("path", F.when(F.col("inside"), fs + 2 + F.col("h")).otherwise(fs + 4 + F.col("n_in") + F.col("h")).alias("line"),
+                        F.when(F.col("inside"), F.format_string("  const r%d = %s%s;", ok, call, again))
+                        .otherwise(F.format_string("const t%d = %s;", ok, call)).alias("text"))
+    named = F.lit("{ " + APOLLO_NAMES + " }")
+    first = F.when(c % 10 == 7, F.lit(REACT_IMPORT)).when(c % 4 == 1, F.lit("import React, {")) \
+        .otherwise(F.concat(F.when(c % 4 == 2, F.lit("import React, ")).otherwise(F.lit("import ")), named, F.lit(' from "@apollo/client";')))
+    second = F.when((c % 10 != 7) & (c % 4 == 1), F.lit("  " + APOLLO_NAMES + ' } from "@apollo/client";')).otherwise(F.lit(""))
+    header = F.when(c % 3 == 0, F.format_string("export default function Customer%d({ id }) {", c)) \
+        .when(c % 3 == 1, F.format_string("export const Customer%d: React.FC<Props> = () => {", c)) \
+        .otherwise(F.format_string("const Customer%d = ({ id }) =>", c))
+    after = F.when(c % 3 == 2, F.lit("{")).otherwise(F.lit("  const pick = ({ id }) => { return id; };"))
     frame = files.select("path", F.explode(F.array(
-        F.struct(F.lit(1).cast("long").alias("line"), imp.alias("text")),
-        F.struct(F.lit(2).cast("long").alias("line"), F.lit("").alias("text")),
-        F.struct(fs.cast("long").alias("line"), F.format_string("export default function Customer%d() {", F.col("c")).alias("text")),
-        F.struct((fs + 1 + F.col("n_in")).cast("long").alias("line"), F.lit("  return null;").alias("text")),
-        F.struct((fs + 2 + F.col("n_in")).cast("long").alias("line"), F.lit("}").alias("text")))).alias("x")).select("path", "x.*")
-    lines = frame.unionByName(tmpl.select("path", F.col("line").cast("long"), "text")) \
-        .unionByName(hooks.select("path", F.col("line").cast("long"), "text"))
+        line(F.lit(1), first), line(F.lit(2), second), line(fs, header), line(fs + 1, after),
+        line(fs + 2 + F.col("n_in"), F.lit("  return null;")), line(fs + 3 + F.col("n_in"), F.lit("}")))).alias("x")).select("path", "x.*")
+    lines = frame.unionByName(tmpl).unionByName(hooks.select("path", F.col("line").cast("long"), "text"))
     return lines_to_files(lines.withColumn("line", F.col("line").cast("int")))
 
 

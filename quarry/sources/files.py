@@ -25,10 +25,18 @@ def decode(content: Column) -> Column:
 def scan_folder(spark: SparkSession, root: str, extensions: list[str] | None = DEFAULT_EXTENSIONS) -> DataFrame:
     """S1+S2+S4: read every file under ``root`` (recursive) whose extension is in ``extensions``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if extensions:  # other files are left out when the folder is listed, so they are never opened
+        reader = reader.option("pathGlobFilter", extension_glob(extensions))
     df = reader.load(root).select(F.col("path"), decode(F.col("content")).alias("content"))
     return filter_extensions(df, extensions)
 
 
+def extension_glob(extensions: list[str]) -> str:
+    """A file-name glob for the extensions in any case: ``*.{[gG][qQ][lL]}``."""
+    either = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e.lstrip(".")) for e in extensions]
+    return "*.{" + ",".join(either) + "}"
+
+
 def from_table(df: DataFrame, path_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("content"))
 

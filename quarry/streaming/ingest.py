@@ -6,14 +6,17 @@ per-file pass (schema objects) depends on one file only, so it runs per micro-ba
 ``foreachBatch`` and appended to an objects table. The cross-file pass (name resolution, links)
 needs the barrier, so ``finish`` runs it as a batch job over everything ingested.
 A file re-delivered in a later batch is re-analysed; readers keep its latest batch
-(``latest_objects``).
+(``latest_objects``). Each batch also records which text it analysed, so the barrier reads the same
+delivery of every path as the objects came from. Of two deliveries of a path in one batch the one with
+the greater text counts, a fixed if arbitrary choice, as a batch has no order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.materialize import release, stored
 from ..operators import resolve as R
 from ..operators import schema as S
 from ..sources.files import file_line_counts, filter_extensions, to_lines
@@ -23,9 +26,13 @@ FILES_SCHEMA = "path string, content string"
 
 def _per_batch(objects_dir: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        files = filter_extensions(batch.select("path", "content"))
-        objs = S.extract_objects(to_lines(files), file_line_counts(files))["objects"]
-        objs.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(objects_dir)
+        files = filter_extensions(batch.select("path", "content")).groupBy("path").agg(F.max("content").alias("content"))
+        # a batch that is run again after a failure replaces what it wrote before
+        files.write.mode("overwrite").parquet(f"{objects_dir}/files/batch_id={batch_id}")
+        kept = batch.sparkSession.read.schema(FILES_SCHEMA).parquet(f"{objects_dir}/files/batch_id={batch_id}")
+        objs = S.extract_objects(to_lines(kept), file_line_counts(kept))["objects"]
+        objs.write.mode("overwrite").parquet(f"{objects_dir}/objects/batch_id={batch_id}")
+        release()
     return run
 
 
@@ -37,21 +44,28 @@ def start(spark: SparkSession, source_dir: str, objects_dir: str, checkpoint_dir
     return w.start()
 
 
+def _latest(df: DataFrame) -> DataFrame:
+    last = df.groupBy("path").agg(F.max("batch_id").alias("batch_id"))
+    return df.join(last, ["path", "batch_id"], "left_semi").drop("batch_id")
+
+
 def latest_objects(spark: SparkSession, objects_dir: str) -> DataFrame:
-    objs = spark.read.parquet(objects_dir)
-    last = objs.groupBy("path").agg(F.max("batch_id").alias("batch_id"))
-    return objs.join(last, ["path", "batch_id"], "left_semi").drop("batch_id")
+    return _latest(spark.read.parquet(f"{objects_dir}/objects"))
+
+
+def latest_files(spark: SparkSession, objects_dir: str) -> DataFrame:
+    """The delivery of every path that its latest objects came from."""
+    return _latest(spark.read.parquet(f"{objects_dir}/files"))
 
 
-def finish(spark: SparkSession, source_dir: str, objects_dir: str) -> DataFrame:
-    """The barrier pass: references of every ingested file resolved against all objects."""
-    files = spark.read.schema(FILES_SCHEMA).parquet(source_dir)
-    w = Window.partitionBy("path")
-    files = filter_extensions(files).withColumn("_n", F.count("*").over(w))
+def finish(spark: SparkSession, objects_dir: str) -> DataFrame:
+    """The barrier pass: references of every ingested file resolved against all objects. Node tables are
+    not kept per batch, so the callers of references need the schema pass over all files once more."""
+    files = latest_files(spark, objects_dir)
+    lines = to_lines(files)
+    nodes = S.extract_objects(lines, file_line_counts(files))["nodes"]
     objs = latest_objects(spark, objects_dir)
-    lines = to_lines(files.drop("_n"))
-    refs = R.type_references(lines)
-    # callers need the node table of the per-file pass; recompute it for the referencing lines only
-    r = S.extract_objects(lines, file_line_counts(files.drop("_n")), probes=None)
-    refs = R.reference_callers(refs, r["nodes"], objs)
-    return R.schema_links(R.resolve_references(refs, objs))
+    refs = R.reference_callers(R.type_references(lines), nodes, objs)
+    links = stored(R.schema_links(R.resolve_references(refs, objs)), "stream-links")
+    release()
+    return links

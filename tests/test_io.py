@@ -6,6 +6,8 @@ import tempfile
 from pyspark.sql import functions as F
 
 from conftest import files_df
+from quarry.functions import materialize as M
+from quarry.functions.text import mask_source
 from quarry.sources.files import filter_extensions, scan_folder, split_lines
 from quarry.sources.sinks import write_links, write_objects
 from quarry.streaming import ingest
@@ -59,5 +61,31 @@ def test_streaming_per_file_pass_then_barrier(spark):
     q.awaitTermination()
     o = ingest.latest_objects(spark, objs)
     assert o.filter("type = 'GraphQLProgram'").count() == 2
-    links = sorted((r["caller"], r["callee"]) for r in ingest.finish(spark, src, objs).collect())
-    assert links == [("s1.graphqls.Query.a", "s1.graphqls.In"), ("s2.graphqls.T.b", "s1.graphqls.In")]
+    want = [("s1.graphqls.Query.a", "s1.graphqls.In"), ("s2.graphqls.T.b", "s1.graphqls.In")]
+    assert sorted((r["caller"], r["callee"]) for r in ingest.finish(spark, objs).collect()) == want
+    # a path delivered again, with another text: as if only the new text had ever been there
+    changed = "type T {\n  other: Int\n  b(y: In): Int\n  c(z: In): Int\n}\n"
+    files_df(spark, [("s2.graphqls", changed)]).write.mode("append").parquet(src)
+    ingest.start(spark, src, objs, ckpt).awaitTermination()
+    M.release()
+    streamed = ingest.finish(spark, objs)
+    assert not M._held()  # the barrier leaves no cache behind
+    batch = Analysis(spark, schema_files=files_df(spark, [("s1.graphqls", SCHEMA), ("s2.graphqls", changed)]), materialize=False)
+    both = [sorted((r["caller"], r["callee"], r["line"]) for r in df.collect()) for df in (streamed, batch.schema_links())]
+    assert both[0] == both[1] and len(both[0]) == 3
+
+
+def test_scan_lists_only_the_extensions(spark):
+    root = tempfile.mkdtemp(prefix="quarry-glob-")
+    for name in ("a.GraphQL", "b.txt"):
+        with open(os.path.join(root, name), "w") as f:
+            f.write("type X {\n}\n")
+    assert [os.path.basename(f) for f in scan_folder(spark, root).inputFiles()] == ["a.GraphQL"]
+
+
+def test_mask_long_literals(spark):
+    texts = ['a "' + "x" * 1_000_000 + '" b', "a '" + "\\'" * 400_000 + "' b", "# c\nd", 'e """f\ng""" h', "no literal"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(mask_source(F.col("t"))).collect()]
+    assert [g.replace(" ", "") for g in got] == ["ab", "ab", "\nd", "e\nh", "noliteral"]
+    assert [len(g) for g in got] == [len(t) for t in texts]
