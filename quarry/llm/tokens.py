@@ -49,7 +49,7 @@ class TextEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes. Each cache holds up to ``limit`` entries and
     the ``limit`` before them, from which what comes again is taken over."""
 
-    def __init__(self, path: str, style: str, limit: int = 350_000):
+    def __init__(self, path: str, style: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         assert sys.byteorder == "little" and array("I").itemsize == 4
