@@ -118,7 +118,68 @@ def test_backend_links_and_summary(spark, lib):
 def test_full_stack_trace(lib):
     from quarry.operators import lineage as G
     a = lib
-    t = sorted(tuple(r) for r in G.full_stack_trace(a.requests(), a.definition_field_links(),
-                                                    a.field_method_links()).collect())
-    assert t == [(J + ".Library", J + ":17", J + ":4", P + ".Query.books", "x.BookController.books", 1),
-                 (J + ".Library", J + ":18", J + ":10", P + ".Mutation.addBook", None, 0)]
+    trace = G.full_stack_trace(a.requests(), a.definition_field_links(), a.field_method_links())
+    t = sorted(tuple(r) for r in trace.drop("request_key").collect())
+    assert t == [(J + ".Library", J + ":17", J + ":4", P + ".Query.books", 1),
+                 (J + ".Library", J + ":18", J + ":10", P + ".Mutation.addBook", 0)]
+    assert [tuple(r) for r in G.trace_methods(trace, a.field_method_links()).collect()] == [(P + ".Query.books", "x.BookController.books")]
+
+
+def test_trace_reaches_every_method(spark):
+    from quarry.operators import lineage as G
+    reqs = spark.createDataFrame([("C", "f:1", "f#r#0", "f:9", "f#d#1"), ("C", "f:1", "f#r#1", "f:9", "f#d#2"), ("D", "f:2", "f#r#2", None, None)],
+                                 "parent string, fullname string, key string, definition string, definition_key string")
+    dfl = spark.createDataFrame([("f#d#1", "Query.a"), ("f#d#2", "Query.b")], "caller_key string, callee string")
+    fml = spark.createDataFrame([("Query.a", "m1"), ("Query.a", "m2"), ("Query.b", "m3"), ("Query.z", "m4")], "caller string, callee string")
+    trace = G.full_stack_trace(reqs, dfl, fml)
+    assert sorted((r["request_key"], r["field"], r["n_methods"]) for r in trace.collect()) == [
+        ("f#r#0", "Query.a", 2), ("f#r#1", "Query.b", 1), ("f#r#2", None, 0)]
+    assert sorted(tuple(r) for r in G.trace_methods(trace, fml).collect()) == [("Query.a", "m1"), ("Query.a", "m2"), ("Query.b", "m3")]
+    one = spark.createDataFrame([("C",)], "component string")
+    assert sorted((r["request_key"], r["method"]) for r in G.expand_trace(trace, fml, components=one).collect()) == [
+        ("f#r#0", "m1"), ("f#r#0", "m2"), ("f#r#1", "m3")]
+    up = spark.createDataFrame([("m3",)], "method string")
+    assert [(r["component"], r["request_key"]) for r in G.expand_trace(trace, fml, methods=up).collect()] == [("C", "f#r#1")]
+
+
+ORDINARY = """import React, {
+  useQuery,
+  gql,
+} from "@apollo/client";
+const Q: DocumentNode = gql(`query A { users(id: 1) { x } }`); const Q2 = gql`query B { b(x: 1) }`;
+export default function App({ id }) {
+  const pick = ({ id }) => { return id; };
+  const r = useQuery<Data, Vars>(Q, { variables: { id: { in: [1] } }, fetchPolicy: 'network-only' }), s = useQuery(Q2);
+}
+const top = useQuery(Q);
+const Page: React.FC<{ a: string }> = () => {
+  if (x) { y(); } else {
+    useQuery(Q);
+  }
+  return null;
+};
+const useThing = () =>
+{
+  useQuery(Q2);
+};
+export const Wide = memo((
+  a,
+  b
+) => {
+  useQuery(Q);
+});
+class K extends C {
+  render() {
+    useQuery(Q);
+  }
+}
+"""
+
+
+def test_client_pass_on_ordinary_code(spark):
+    a = Analysis(spark, client_files=files_df(spark, [("a.jsx", ORDINARY)]), materialize=False)
+    assert sorted((r["name"], r["key"], r["line"]) for r in a.definitions().collect()) == [("Q", "a.jsx#d#1", 5), ("Q2", "a.jsx#d#2", 5)]
+    got = [(r["line"], r["query_name"], r["parent"], r["fetch_policy"], r["definition_key"]) for r in a.requests().orderBy("line", "pos").collect()]
+    p = "a.jsx."
+    assert got == [(8, "Q", p + "App", "network-only", "a.jsx#d#1"), (8, "Q2", p + "App", None, "a.jsx#d#2"), (13, "Q", p + "Page", None, "a.jsx#d#1"),
+                   (19, "Q2", p + "useThing", None, "a.jsx#d#2"), (25, "Q", p + "Wide", None, "a.jsx#d#1"), (29, "Q", p + "render", None, "a.jsx#d#1")]
