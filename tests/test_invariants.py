@@ -55,7 +55,7 @@ def test_plans_have_no_pairs_or_python(spark, q):
 
 # lines and what they must be classified as, written by hand from the pattern catalogue's priority order
 CLASSIFIED = [
-    ("type Foo {", "type_def", "Foo"), ("  TYPE foo implements Bar {", "type_def", "foo"), ("extend type Foo {", "type_extend", "Foo"),
+    ("type Foo {", "type_def", "Foo"), ("  TYPE foo implements Bar {", "type_def_implements", "foo"), ("extend type Foo {", "type_extend", "Foo"),
     ("input In {", "input_def", "In"), ("enum Kind {", "enum_def", "Kind"), ("interface Node {", "interface_def", "Node"),
     ("scalar Date", "scalar_def", "Date"), ("directive @a on FIELD", "enum_value_directive", "directive"),
     ("", None, None), ("}", None, None), ("{", None, None), ("# type Foo {", None, None),
