@@ -184,3 +184,25 @@ def test_disclosing_terms(spark):
 
 def test_masked_overlaps():
     assert sanitise.masked("ab cd ef", [(1, 0, 5), (0, 3, 5), (4, 6, 8)]) == "<IP> <TERM>"
+
+
+def test_cross_entropy_counts_real_words(spark):
+    """Words and pairs far beyond the old slots of a small corpus keep counts of their own."""
+    rows = [(i, " ".join(f"w{(i * 7919 + j * j) % 90_000}x" for j in range(1500))) for i in range(160)] + [(160, None), (161, "w1x")]
+    target = {i for i in range(160) if i % 4 == 0}
+    words = [(t or "").split() for _, t in rows]
+    one, two = [Counter(), Counter()], [Counter(), Counter()]
+    for (d, _), ws in zip(rows, words):
+        for m in (0, 1) if d in target else (1,):
+            one[m].update(ws)
+            two[m].update(zip(ws, ws[1:]))
+    n, size = [sum(c.values()) for c in one], max(len(one[1]), xent.LEAST_SLOTS)
+    assert len(one[1]) > xent.LEAST_SLOTS
+    got = {r["doc_id"]: r for r in xent.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
+    for (d, _), ws in zip(rows, words):
+        for m, name in enumerate(("target_loss", "background_loss")):
+            scale, loss = 1.0 if m == 0 else n[0] / n[1], 0.0
+            for v, w in zip([None, *ws], ws):
+                share = (one[m][w] * scale + xent.ADD) / (n[m] * scale + xent.ADD * size)
+                loss -= math.log((two[m][v, w] * scale + xent.PRIOR * share) / (one[m][v] * scale + xent.PRIOR))
+            assert abs(got[d][name] - loss / max(1, len(ws))) < 1e-6
