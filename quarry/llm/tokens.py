@@ -8,7 +8,8 @@ text before any merge, so the ids of a text are the ids of its chunks, one after
   text splits before such spaces.
 
 A chunk of plain Latin characters is split by the tokenizer's own pattern and each piece goes to the
-library's merge model; any other chunk goes through the library's whole ``encode``.
+library's merge model; any other chunk goes through the library's whole ``encode``. So does a whole text that
+holds the string of an added token, which the library finds before it splits.
 """
 
 from __future__ import annotations
@@ -55,11 +56,11 @@ class TextEncoder:
         assert sys.byteorder == "little" and array("I").itemsize == 4
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.whole.model
         self.style, self.limit = style, limit
         self.pattern = regex.compile(WORDS_PATTERN if style == "words" else SPACED_PATTERN)
         self.letters = byte_letters()
+        self.added = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.whole.get_added_tokens_decoder().values()) or b"(?!)")
         self.chunks: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.old_chunks: dict[bytes, bytes] = {}
@@ -85,13 +86,13 @@ class TextEncoder:
     def of_chunk(self, text: str) -> bytes:
         if self.style == "words":
             if text.isascii():
+                if not PLAIN.fullmatch(text):  # as it stands: lower case could make an added string of it
+                    return self.by_library(text)
                 text = text.lower()
                 if text.isalpha():
                     return self.of_piece(text)
                 if text[:-1].isalpha() and text[-1] in ".,":
                     return self.of_piece(text[:-1]) + self.of_piece(text[-1])
-                if not PLAIN.fullmatch(text):
-                    return self.by_library(text)
             elif PLAIN.fullmatch(text):
                 text = unicodedata.normalize("NFC", text).lower()
             else:
@@ -114,6 +115,8 @@ class TextEncoder:
 
     def ids(self, text: bytes) -> bytes:
         """The ids of one whole text, without an end id."""
+        if self.added.search(text):
+            return self.by_library(text.decode("utf-8", "replace"))
         if self.style == "words":
             chunks = text.split()
             return self.joined(chunks, "")

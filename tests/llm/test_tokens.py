@@ -24,6 +24,16 @@ def test_chunks_encode_like_whole_texts(name, style):
         assert enc.ids(text.encode()) == enc.by_library(text), repr(text)
 
 
+@pytest.mark.parametrize("name, style", [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaced")])
+def test_added_tokens_encode_like_the_library(name, style):
+    fresh, enc, rng = Tokenizer.from_file(tokenizer_path(name)), TextEncoder(tokenizer_path(name), style, limit=500), random.Random(3)
+    bits = [*BITS, "<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "\x01", "\x7f"]
+    texts = ["a <|endoftext|> b", "<|ENDOFTEXT|>\x01", "<|startoftext|>a<|endoftext|>", *("".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(4000))]
+    assert fresh.token_to_id("<|endoftext|>") in np.frombuffer(enc.ids(texts[0].encode()), "<u4")
+    for text in texts:
+        assert np.frombuffer(enc.ids(text.encode()), "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 @pytest.mark.parametrize("n, top", [(0, 1), (1, 5), (511, 100), (512, 49408), (5000, 300), (3000, 70000)])
 def test_wavelet_shard(n, top):
     rng = np.random.default_rng(n)
