@@ -89,14 +89,17 @@ def checked(rows: list, limit: int, what: str) -> list:
 
 
 def few_of_each(rows: DataFrame, key: str, most: int, keys: int) -> DataFrame:
-    """At most ``most`` rows of each value of ``key`` (at most ``keys`` values), those with the smallest hash of
-    text, a text once for each value. Rows are thinned by hash before any shuffle, to about three times as
-    many as wanted, so neither a frequent value nor a frequent text meets in one task."""
-    found = checked(rows.groupBy(key).agg(F.count("*").alias("n")).limit(keys + 1).collect(), keys, f"values of {key}")
+    """At most ``most`` different texts of each value of ``key`` (at most ``keys`` values), those with the smallest
+    hash, each once; all of a value that has fewer. Rows are thinned by hash before texts meet, to about three
+    times as many texts as wanted, and copies count as one, so neither a frequent value nor a frequent text
+    meets in one task or thins out the others."""
+    rows = rows.select(key, "text")
+    different = rows.select(key, F.xxhash64("text").alias("hash_")).distinct()
+    found = checked(different.groupBy(key).agg(F.count("*").alias("n")).limit(keys + 1).collect(), keys, f"values of {key}")
     span = 1 << 40
     rates = rows.sparkSession.createDataFrame([(r[key], min(span, span * 3 * most // r["n"])) for r in found], f"{key} {dict(rows.dtypes)[key]}, below_ long")
     thin = rows.withColumn("order_", F.pmod(F.xxhash64("text"), F.lit(span))).join(F.broadcast(rates), key).filter(F.col("order_") < F.col("below_")).drop("below_")
-    once = thin.dropDuplicates([key, "order_"])
+    once = thin.distinct()
     return once.selectExpr("*", f"row_number() over (partition by {key} order by order_, text) as nth_").filter(F.col("nth_") <= most).drop("nth_")
 
 

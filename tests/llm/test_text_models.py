@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import langmix, sanitise, toxcnn, xent
+from quarry.llm.common import few_of_each
 
 from .conftest import ALL_IDS, ROWS, ids
 
@@ -52,6 +53,17 @@ def test_language_of_odd_texts(edge, nothing):
     assert langmix.identify(nothing).count() == 0 == langmix.recognised(nothing).count()
 
 
+def test_copies_do_not_thin_out_texts(spark):
+    """A label of few texts with many copies keeps all of them, next to one with many texts."""
+    rows = spark.range(6000).selectExpr("concat('text ', id % 30) as text", "'aa' as lang")
+    rows = rows.union(spark.range(3000).selectExpr("concat('other ', id) as text", "'bb' as lang"))
+    got = few_of_each(rows, "lang", 40, 10).groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("texts")).collect()
+    assert {r["lang"]: (r["n"], r["texts"]) for r in got} == {"aa": (30, 30), "bb": (40, 40)}
+    docs = spark.range(4000).selectExpr("id as doc_id", "concat(if(id % 2000 < 1980, 'wort ', 'word '), id % 3) as text", "if(id % 2000 < 1980, 'de', 'en') as lang")
+    labels, _ = langmix.trained(docs.select("lang", "text"), 5)
+    assert labels == ["de", "en"]
+
+
 def test_em_finds_proportions():
     rng = np.random.default_rng(1)
     model = np.log(np.array([[0.7, 0.1], [0.2, 0.2], [0.1, 0.7]], np.float32))
