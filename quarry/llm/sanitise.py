@@ -5,18 +5,20 @@ Terms can give an entity away even where it is masked, so the corpus tells how m
 N documents, of which n_e hold entity e, n_t term t and n_et both (t within ``WINDOW`` words of e),
 
     information of e    IC(e)     = -log(n_e / N)
-    disclosure by t     PMI(t; e) = log(n_et * N / (n_e * n_t))
+    disclosure by t     PMI(t; e) = log(n_et * (1 - DISCOUNT / texts) * N / (n_e * n_t))
 
-A term whose PMI reaches ``GENERALISE_AT`` of IC(e) is generalised in the documents that hold e, one that
-reaches ``REMOVE_AT`` is removed, wherever it stands in them. At least ``SUPPORT`` different texts must show
-the pair, since one text proves nothing about its rare words. Documents without an entity stay as they are.
+where ``texts`` is the number of different texts that show the pair. A pair seen in few texts is thus believed
+less, but entities of a single text have disclosing terms too: the fewer other documents hold a term, the more
+it gives away. A term whose PMI reaches ``GENERALISE_AT`` of IC(e) is generalised in the documents that hold e,
+one that reaches ``REMOVE_AT`` is removed, wherever it stands in them. Documents without an entity stay as they
+are.
 
 The entities, their counts and the pairs come from one scan, written once; pairs and term counts are plain
 aggregations over all documents, joined by key.
 
 Defined results: a null text is empty; spans are in code points, end exclusive, and do not change the base
 spans; an empty or clean text has no span; null doc_ids stay null; copies count as documents but not as
-support; repeated rows get equal results; an empty table gives an empty result.
+different texts; repeated rows get equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, packed_row, slices, table, texts_of
 
 WINDOW = 8
-SUPPORT = 3
+DISCOUNT = 0.5
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 #: Kinds in the order of reports, and what stands for each in sanitised text.
@@ -137,26 +139,26 @@ def scan(docs: DataFrame, carry: bool) -> DataFrame:
     return table(map_batches(docs.select(*source), run, shape), "entities", compression="zstd")
 
 
-def disclosing(docs: DataFrame, pairs: DataFrame, support: int, generalise_at: float, remove_at: float) -> DataFrame:
+def disclosing(docs: DataFrame, pairs: DataFrame, discount: float, generalise_at: float, remove_at: float) -> DataFrame:
     """(entity, term, kind) of the terms that reveal an entity too strongly, over the whole corpus."""
     total = docs.count()
-    together = pairs.groupBy("entity", "term", "digest").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).filter(F.col("texts") >= support)
+    together = pairs.groupBy("entity", "term", "digest").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts"))
     holders = pairs.groupBy("entity", "part", "pos").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("n_e"))
     asked = table(together.join(holders, "entity"), "together")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({TERM})"), F.lit(1)))).alias("term"))
     frequency = words.groupBy("term").agg(F.count("*").alias("n_t"))  # counted before it meets the pairs
     scored = asked.join(frequency, "term")
     information = -F.log(F.col("n_e") / F.lit(total))
-    mutual = F.log(F.col("n_et") * F.lit(float(total)) / (F.col("n_e") * F.col("n_t")))
+    mutual = F.log(F.col("n_et") * (1 - F.lit(discount) / F.col("texts")) * F.lit(float(total)) / (F.col("n_e") * F.col("n_t")))
     scored = scored.withColumn("share", F.when(information > 0, mutual / information).otherwise(0.0)).filter(F.col("share") >= generalise_at)
     return scored.select("entity", "term", F.when(F.col("share") >= remove_at, 5).otherwise(4).alias("kind"))
 
 
-def spans(docs: DataFrame, carry: bool = False, support: int = SUPPORT, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
+def spans(docs: DataFrame, carry: bool = False, discount: float = DISCOUNT, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT) -> DataFrame:
     """(doc_id, base, added and, with ``carry``, row) of every document."""
     found = scan(docs, carry)
     pairs = found.filter("size(pairs) > 0").select("part", "pos", "digest", F.explode("pairs").alias("p")).select("part", "pos", "digest", "p.*")
-    strong = table(disclosing(docs, pairs, support, generalise_at, remove_at), "disclosing")
+    strong = table(disclosing(docs, pairs, discount, generalise_at, remove_at), "disclosing")
     added = pairs.join(strong, ["entity", "term"]).select("part", "pos", "kind", F.explode("places").alias("at"))
     added = added.groupBy("part", "pos", "at").agg(F.max("kind").alias("kind"))  # a term may reveal several entities
     added = added.groupBy("part", "pos").agg(F.collect_list(F.struct("kind", "at.start", "at.end")).alias("added"))  # at most the terms of one document

@@ -194,6 +194,21 @@ def test_disclosing_terms(spark):
     assert "zorblat" not in clean[0] and "<EMAIL>" in clean[0] and clean[10] == rows[10][1]
 
 
+def test_disclosing_terms_of_the_given_documents(docs):
+    """Entities of one text have disclosing terms: rare words near them, never words that many documents hold."""
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    held = Counter(w for t in texts.values() for w in set(sanitise.WORDS.findall(t.lower())))
+    added = {}
+    for r in sanitise.report(docs).collect():
+        found = [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)]
+        base = [s for s in found if s[0] in sanitise.KINDS[:4]]
+        added[r["doc_id"]] = [texts[r["doc_id"]][a:b].lower() for k, a, b in found if k in sanitise.KINDS[4:]]
+        assert base or not found
+        assert [(k, a, b) for k, a, b in base] == [(sanitise.KINDS[k], a, b) for k, a, b in sanitise.base_spans(texts[r["doc_id"]])]
+    terms = [w for found in added.values() for w in found]
+    assert terms and max(held[w] for w in terms) <= 4
+
+
 def test_masked_overlaps():
     assert sanitise.masked("ab cd ef", [(1, 0, 5), (0, 3, 5), (4, 6, 8)]) == "<IP> <TERM>"
 
