@@ -1,4 +1,4 @@
-"""The ten numbered queries: each applies its operator, with production parameters, to a whole table."""
+"""The numbered queries: each applies its operator, with production parameters, to a whole table."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langmix, mixing, packing, sanitise, simhash, topk, toxcnn, wavelet, xent
+from . import grace, langmix, merkle, mixing, packing, sanitise, simhash, topk, toxcnn, wavelet, xent
 from .common import read_table
 
 
@@ -52,6 +52,10 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.duplicate_report(read_table(spark, sf_dir, "documents"))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_token_output": wavelet_token_output,
     "op2_simhash_near_dedup": simhash_near_dedup,
@@ -63,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_cross_entropy": lm_cross_entropy,
     "op9_best_fit_packing": best_fit_packing,
     "op10_exact_dedup": exact_dedup,
+    "op12_merkle_manifest": merkle_manifest,
 }
