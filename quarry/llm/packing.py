@@ -46,10 +46,10 @@ def pieces_of(docs: DataFrame, path: str, capacity: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, enc, seen = TaskContext.get().partitionId(), encoder(path, "spaced"), [0] * (capacity + 1)
-        for batch in slices(batches, limit=2 << 20):
+        for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                ids = enc.ids(text) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.many(texts_of(batch))):
+                ids += end
                 total = len(ids) // 4
                 stop, piece, start = total % capacity or capacity, 0, 0
                 while start < total:

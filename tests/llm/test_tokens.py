@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from quarry.llm import packing, wavelet
-from quarry.llm.tokens import TextEncoder, tokenizer_path
+from quarry.llm.tokens import PieceEncoder, TextEncoder, tokenizer_path
 
 from .conftest import ROWS
 
@@ -22,6 +22,9 @@ def test_chunks_encode_like_whole_texts(name, style):
     for _ in range(4000):
         text = "".join(rng.choice(BITS) for _ in range(rng.randrange(14)))
         assert enc.ids(text.encode()) == enc.by_library(text), repr(text)
+    texts = ["", *("".join(rng.choice(BITS) for _ in range(rng.randrange(14))) for _ in range(3000)), ""]
+    assert enc.many([t.encode() for t in texts]) == [enc.by_library(t) for t in texts]
+    assert enc.many([]) == [] and enc.many([b""]) == [b""]
 
 
 @pytest.mark.parametrize("name, style", [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaced")])
@@ -34,6 +37,16 @@ def test_added_tokens_encode_like_the_library(name, style):
         assert np.frombuffer(enc.ids(text.encode()), "<u4").tolist() == fresh.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_pieces_encode_like_the_library():
+    enc, rng = PieceEncoder(tokenizer_path("piece_bpe_32k.model"), limit=500), random.Random(5)
+    bits = [*BITS, "▁", "<s>", "<0x41>", "\x00", "   ", "the", " of"]
+    for _ in range(4000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(14)))
+        assert np.frombuffer(enc.ids(text.encode()), "<u4").tolist() == enc.whole.encode(text), repr(text)
+    texts = ["", *("".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(3000)), ""]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.many([t.encode() for t in texts])] == enc.whole.encode(texts)
+
+
 @pytest.mark.parametrize("n, top", [(0, 1), (1, 5), (511, 100), (512, 49408), (5000, 300), (3000, 70000)])
 def test_wavelet_shard(n, top):
     rng = np.random.default_rng(n)
