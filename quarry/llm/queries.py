@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grace, langmix, merkle, mixing, packing, sanitise, simhash, topk, toxcnn, wavelet, xent
+from . import align, grace, langmix, merkle, mixing, nbsvm, packing, sanitise, simhash, topk, toxcnn, wavelet, xent
 from .common import read_table
 
 
@@ -52,10 +52,18 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.duplicate_report(read_table(spark, sf_dir, "documents"))
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
 
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_wavelet_token_output": wavelet_token_output,
     "op2_simhash_near_dedup": simhash_near_dedup,
@@ -67,5 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_cross_entropy": lm_cross_entropy,
     "op9_best_fit_packing": best_fit_packing,
     "op10_exact_dedup": exact_dedup,
+    "op11_quality_classifier": quality_classifier,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_cross_tokenizer_alignment": cross_tokenizer_alignment,
 }
