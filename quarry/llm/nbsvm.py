@@ -63,7 +63,7 @@ def runs_of(x: np.ndarray, ends: np.ndarray, most: int, kind: int) -> Iterator[t
     code = np.full(len(x), kind, np.uint64)
     for n in range(1, most + 1):
         # the run that ends at an item, from the run one shorter that ends there and the item before that
-        code = code * np.uint64(0x100000001B3) + np.concatenate((np.zeros(n - 1, np.uint64), x[: len(x) - n + 1]))
+        code = code * np.uint64(0x100000001B3) + np.concatenate((np.zeros(n - 1, np.uint64), x))[: len(x)]
         own = np.flatnonzero(left >= n - 1)
         yield mixed(code[own] + np.uint64(n << 60)), own
 
