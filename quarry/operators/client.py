@@ -1,10 +1,9 @@
 """Client operation extraction.
 
-Input is ``files(path, content)`` of client sources. The analysed tool walks a JavaScript AST; here
-calls are found with regexes over the file text (one row per file, so the work per row is bounded
-by the file size), and their line numbers come from newline counts of the text before them, summed
-with the skew-safe prefix sum. Functions (for the enclosing component) are found per line and their
-blocks closed with the same level-as-of used for schema containers.
+Input is ``files(path, content)`` of client sources. The analysed tool walks a JavaScript AST; here one lexical scan
+per file (``functions.lexer``) finds hook calls, tagged templates and the bodies that may be functions', each with
+the code before it and the places of the bodies around it. Names, options and operations are expressions over these
+rows, and the enclosing component is a join by place.
 
 Definitions and requests have a ``key`` (path and place in the file): several can share a line, so
 joins use the key and ``fullname`` (path:line) is for output.
@@ -12,15 +11,19 @@ joins use the key and ``fullname`` (path:line) is for output.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.lexer import Event, scan
 from ..functions.materialize import stored
-from ..functions.prefix import asof_last, next_line, path_ranges, running_sum
+from ..functions.prefix import asof_last, path_ranges
+from ..functions.shipping import map_rows
 from ..sources.files import to_lines
 from . import imports as I
-from .schema import latest_per_level, with_depth
 
 # FIXED VALUES: names that mark a GraphQL client file, the hook names and their request types,
 # operation types and definition types, option names.
@@ -42,36 +45,50 @@ ALIAS_RE = r"([a-zA-Z_][a-zA-Z0-9_]*)\s*:\s*([a-zA-Z_][a-zA-Z0-9_]*)\s*[\(\{]"
 
 _ID = r"[A-Za-z_$][A-Za-z0-9_$]*"
 _TYPE_ARGS = r"(?:\s*<[^;()]*>)?"
-_HOOKS = "useQuery|useLazyQuery|useMutation|useSubscription"
-GQL_SPLIT_RE = r"(?<![A-Za-z0-9_$])gql" + _TYPE_ARGS + r"\s*(?:\(\s*)?`"
-HOOK_SPLIT_RE = r"(?<![A-Za-z0-9_$])(?:" + _HOOKS + ")" + _TYPE_ARGS + r"\s*\("
-HOOK_NAME_RE = r"(?<![A-Za-z0-9_$])(" + _HOOKS + ")" + _TYPE_ARGS + r"\s*\("
 # the clause of an import statement, which may span lines: import React, {\n  useQuery,\n} from "x"
 IMPORT_CLAUSE_RE = r"(?<![A-Za-z0-9_$.])import\s+([^;'\"`()=]*?)\s*from\s*['\"]"
 CLIENT_NAME_RE = r"(?<![A-Za-z0-9_$])(?:" + "|".join(CLIENT_IMPORT_NAMES) + r")(?![A-Za-z0-9_$])"
 # variable that a template is assigned to: declared with a type, or assigned
 TYPED_RE = r"(?:const|let|var)\s+(" + _ID + r")\s*:[^=;\n]*=\s*$"
 ASSIGNED_RE = r"(" + _ID + r")\s*=\s*$"
-# an options object after the first argument; nested objects up to four deep, then those inside it
-_FLAT = r"[^{}]*+"
-_NEST = _FLAT
-for _ in range(4):
-    _NEST = r"[^{}]*+(?:\{" + _NEST + r"\}[^{}]*+)*+"
-OPTIONS_RE = r"^[^,)]*,\s*\{(" + _NEST + r")\}"
-NESTED_RE = r"\{" + _NEST + r"\}"
-_WRAP = r"(?:" + _ID + r"(?:\." + _ID + r")*" + _TYPE_ARGS + r"\(\s*)*"
-_PARAMS = r"\((?:[^()]|\([^()]*\))*\)"
+_WRAP = r"(?:" + _ID + r"(?:\." + _ID + r")*" + _TYPE_ARGS + r"(?:\(\))?\(\s*)*"
+_ARROW = _TYPE_ARGS + r"\s*\(\)\s*(?::[^;=]*)?=>|" + _ID + r"\s*=>"
+_TYPED = r"(?::[^=]*(?:=>[^=]*)*)?"
+# the name of the function that a head ends in (closed brackets of a head are empty)
 FUNC_RES = [
-    r"^\s*(?:export\s+)?(?:default\s+)?(?:async\s+)?function\s*\*?\s*(" + _ID + r")\s*" + _TYPE_ARGS + r"\(",
-    r"^\s*(?:export\s+)?(?:const|let|var)\s+(" + _ID + r")\s*(?::[^=]+)?=\s*" + _WRAP + r"(?:async\s+)?(?:function\b|"
-    + _PARAMS + r"\s*(?::[^={]+)?=>|" + _ID + r"\s*=>|\([^()]*$)",
-    r"^\s*(?:(?:static|async|public|private|protected|override|get|set)\s+)*\*?\s*"
-    r"(?!(?:if|for|while|switch|catch|function|return|with|do|else|constructor)\b)(" + _ID + r")\s*\([^()]*\)\s*(?::[^={;]+)?\{\s*$",
+    r"(?<![A-Za-z0-9_$])function\s*\*?\s*(" + _ID + r")" + _TYPE_ARGS + r"\s*\(\)\s*(?::[^;=]*)?$",
+    r"(?<![A-Za-z0-9_$])(?:const|let|var)\s+(" + _ID + r")\s*" + _TYPED + r"=\s*" + _WRAP + r"(?:async\s*)?(?:"
+    + _ARROW + r"|function\s*\*?" + _TYPE_ARGS + r"\s*\(\)\s*(?::[^;=]*)?)\s*$",
+    r"(?:^|[;{}.\s])#?(" + _ID + r")\s*" + _TYPED + r"=\s*(?:async\s*)?(?:" + _ARROW + r")\s*$",
+    r"(?:^|[;,{}\n])\s*(?:(?:static|async|public|private|protected|override|get|set)\s+)*\*?\s*#?"
+    r"(?!(?:if|for|while|switch|catch|function|return|with|do|else|constructor)\b)(" + _ID + r")" + _TYPE_ARGS + r"\s*\(\)\s*(?::[^={;]*)?$",
 ]
+EVENTS = "path string, kind string, pos int, line int, name string, head string, text string, options string, bodies array<int>"
+
+
+def client_events(files: DataFrame) -> DataFrame:
+    """What the lexical scan of each file finds: the bodies that may be functions' (kind ``body``), hook calls
+    (``hook``) and tagged templates (``gql``), with the code before them and the bodies around them. Braces, calls and
+    templates in strings, comments and regular expressions are none of these."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                found = scan(content.as_py() or "")
+                if found:
+                    columns = [pa.array([path] * len(found), pa.string()), *map(pa.array, zip(*found))]
+                    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), *[pa.string()] * 4, pa.list_(pa.int32())]
+                    yield pa.RecordBatch.from_arrays([c.cast(k) for c, k in zip(columns, kinds)], ["path", *Event._fields])
 
-def _nl(c: Column) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit("")))
+    return stored(map_rows(files.select("path", "content"), run, EVENTS), "client-events")
+
+
+def functions(events: DataFrame) -> DataFrame:
+    """Named functions: path, body (place of the body), name, fullname, line."""
+    head = F.col("head")
+    name = F.coalesce(*[T.nullif_empty(F.regexp_extract(head, r, 1)) for r in FUNC_RES])
+    found = events.filter("kind = 'body'").select("path", F.col("pos").alias("body"), "line", name.alias("name")).filter(F.col("name").isNotNull())
+    return found.withColumn("fullname", F.concat("path", F.lit("."), "name"))
 
 
 def _type_map(pairs) -> Column:
@@ -135,27 +152,19 @@ def parse_operation(text: Column) -> Column:
 # Templates -> definitions
 # ---------------------------------------------------------------------------------------------
 
-def templates(files: DataFrame) -> DataFrame:
-    """Every gql`…` template with its line, variable name and text. The file is split at each
-    ``gql``` tag; piece i+1 starts with template i, piece i ends with what precedes it."""
-    pieces = F.split(F.col("content"), GQL_SPLIT_RE)
-    prev = F.concat(F.array(F.lit("")), F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(1))))
-    parts = files.select("path", F.posexplode(F.arrays_zip(pieces.alias("piece"), prev.alias("prev"))).alias("pos", "m"))
-    parts = parts.select("path", "pos", F.col("m.piece").alias("piece"), F.col("m.prev").alias("prev"))
-    parts = running_sum(parts, ["path"], "pos", _nl(F.col("piece")), "nl_before", inclusive=False)
-    parts = parts.filter((F.col("pos") > 0) & F.col("piece").rlike("^[^`]*`"))
-    line = (F.col("nl_before") + 1).cast("int")
-    assigned = F.coalesce(*[T.nullif_empty(F.regexp_extract(F.col("prev"), r, 1)) for r in (TYPED_RE, ASSIGNED_RE)])
-    in_call = T.nullif_empty(F.regexp_extract(F.col("prev"), r"(" + _ID + r")" + _TYPE_ARGS + r"\s*\(\s*$", 1))
+def templates(events: DataFrame) -> DataFrame:
+    """Every gql`…` template with its line, variable name and text."""
+    head, line = F.col("head"), F.col("line")
+    assigned = F.coalesce(*[T.nullif_empty(F.regexp_extract(head, r, 1)) for r in (TYPED_RE, ASSIGNED_RE)])
+    in_call = T.nullif_empty(F.regexp_extract(head, r"(" + _ID + r")" + _TYPE_ARGS + r"\s*\(\s*$", 1))
     var = F.coalesce(assigned, in_call, F.concat(F.lit("anonymous_gql_"), F.col("path"), F.lit(":"), line.cast("string")))
-    body = F.regexp_extract(F.col("piece"), "^([^`]*)`", 1)
-    return parts.select("path", F.col("pos").cast("int").alias("pos"), line.alias("line"), var.alias("name"),
-                        T.clean_template(body).alias("text"))
+    return events.filter("kind = 'gql'").select("path", "pos", "line", var.alias("name"), T.clean_template(F.col("text")).alias("text"))
 
 
-def client_definitions(files: DataFrame) -> DataFrame:
-    """Definition rows (key, path, pos, line, name, type, fullname, op struct, raw_text)."""
-    t = templates(files).filter(F.col("text") != "")
+def client_definitions(files: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Definition rows (key, path, pos, line, name, type, fullname, op struct, raw_text). ``events``: those of
+    ``client_events``, if they are there already."""
+    t = templates(client_events(files) if events is None else events).filter(F.col("text") != "")
     # the text is read by many conditional expressions, which common-subexpression elimination does
     # not share; the generator makes the (stripped) text and the header test a computed column once
     t = t.select("*", F.explode(F.array(F.struct(T.strip_ws(F.col("text")).alias("s")))).alias("__t"))
@@ -197,91 +206,29 @@ def request_properties(reqs: DataFrame) -> DataFrame:
 # Hooks -> requests
 # ---------------------------------------------------------------------------------------------
 
-def hook_calls(files: DataFrame) -> DataFrame:
-    """(path, pos, line, hook, query_name, fetch_policy, error_policy). The file is split at
-    each hook call; piece i+1 holds the arguments of hook i."""
-    c = F.col("content")
-    pieces = F.split(c, HOOK_SPLIT_RE)
-    names = F.regexp_extract_all(c, F.lit(HOOK_NAME_RE), 1)
-    nxt = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1)))
-    h = files.select("path", F.posexplode(F.arrays_zip(pieces.alias("gap"), names.alias("hook"), nxt.alias("args")))
-                     .alias("pos", "m"))
-    h = h.select("path", "pos", F.col("m.gap").alias("gap"), F.col("m.hook").alias("hook"), F.col("m.args").alias("args"))
-    h = running_sum(h, ["path"], "pos", _nl(F.col("gap")), "nl")
-    h = h.filter(F.col("hook").isNotNull())
-    line = (F.col("nl") + 1).cast("int")
-    a = F.col("args")
-    query = T.nullif_empty(F.regexp_extract(a, r"^\s*(" + _ID + r")", 1))
-    # only the object's own options count, not those of objects inside it
-    opts = F.regexp_replace(F.regexp_extract(a, OPTIONS_RE, 1), NESTED_RE, "")
-    fetch = T.clean_option(F.regexp_extract(opts, r"fetchPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
-    error = T.clean_option(F.regexp_extract(opts, r"errorPolicy\s*:\s*([\"'][^\"']*[\"'])", 1))
-    return h.select("path", F.col("pos").cast("int").alias("pos"), line.alias("line"), "hook", query.alias("query_name"),
-                    fetch.alias("fetch_policy"), error.alias("error_policy"))
-
-
-def functions_in(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Named functions with their block: (path, name, fullname, start_line, end_line, level, proper),
-    plus the lines with depth.
-
-    The block is the first brace that the header line leaves open, at the lowest depth that the line
-    reaches; braces paired on the line (destructured parameters) do not count. A header whose
-    parameters or arrow end on a later line takes the next line that leaves a brace open at its depth:
-    after an arrow only a line that begins with it, after open parameters one that ends in ``) {`` or
-    ``=> {``."""
-    txt = F.col("text")
-    name = F.coalesce(*[T.nullif_empty(F.regexp_extract(txt, r, 1)) for r in FUNC_RES])
-    more = T.count_char(txt, "(") - T.count_char(txt, ")")
-    waits = F.when(txt.rlike(r"=>\s*$"), "arrow").when(more > 0, "params").when(txt.rlike(r"\)\s*$") & txt.contains("function"), "arrow")
-    lines = to_lines(files).withColumn("fname", name).withColumn("un", T.unmatched_braces(txt)) \
-        .withColumn("waits", F.when(F.col("fname").isNotNull() & (F.col("un.opens") == 0), waits)) \
-        .withColumn("begins", F.when(txt.rlike(r"^\s*\{"), "arrow").when(txt.rlike(r"(?:\)|=>)\s*(?::[^{]*)?\{\s*$"), "params"))
-    lines = with_depth(lines, keep_text=False).withColumn("low", F.col("depth_prev") - F.col("un.closes"))
-    lines = stored(lines, "client-lines")
-    fn = lines.filter(F.col("fname").isNotNull())
-    openers = lines.filter((F.col("un.opens") > 0) & F.col("begins").isNotNull()) \
-        .select("path", F.col("low").alias("depth"), F.col("begins").alias("waits"), "line")
-    waiting = fn.filter(F.col("waits").isNotNull()).select("path", "depth", "waits", "line")
-    body = next_line(waiting, openers, ["path", "depth", "waits"], "body_line")
-    fn = fn.join(body.select("path", "line", "body_line"), ["path", "line"], "left")
-    near = (F.col("waits") == "params") | (F.col("body_line") <= F.col("line") + 2)
-    fn = fn.withColumn("body_line", F.when(F.col("un.opens") > 0, F.col("line")).when(near, F.col("body_line"))) \
-        .withColumn("level", F.when(F.col("un.opens") > 0, F.col("low") + 1).otherwise(F.col("depth") + 1)) \
-        .withColumn("proper", F.col("body_line").isNotNull())
-    fn = stored(fn, "client-headers")
-    closes = lines.filter(F.col("un.closes") > 0).select("path", F.explode(F.sequence(F.col("low") + 1, F.col("depth_prev"))).alias("level"), "line")
-    closed = next_line(fn.filter("proper").select("path", "level", F.col("body_line").alias("line")).distinct(), closes,
-                       ["path", "level"], "close_line").withColumnRenamed("line", "body_line")
-    n_lines = lines.groupBy("path").agg(F.max("line").alias("n_lines"))
-    fn = fn.join(closed, ["path", "level", "body_line"], "left").join(n_lines, "path", "left")
-    end = F.when(F.col("proper"), F.coalesce(F.col("close_line"), F.col("n_lines"))).otherwise(F.col("line"))
-    fn = fn.select("path", F.col("fname").alias("name"),
-                   F.concat(F.col("path"), F.lit("."), F.col("fname")).alias("fullname"),
-                   F.col("line").alias("start_line"), end.alias("end_line"), "level", "proper")
-    return stored(fn, "client-functions"), lines
-
-
-def enclosing_function(points: DataFrame, funcs: DataFrame, lines_d: DataFrame) -> DataFrame:
-    """C17: innermost named function whose block contains the line (start <= line <= end): the
-    function starting on the line itself, else the open function of the highest level (level as-of,
-    no range join)."""
-    proper = funcs.filter(F.col("proper"))
-    pr = points.join(lines_d.select("path", "line", F.col("depth_prev").alias("hi")), ["path", "line"], "left")
-    cont = proper.select("path", "level", F.col("start_line").alias("line"),
-                         F.struct(F.col("start_line").alias("start"), "end_line", "fullname").alias("c"))
-    hit = latest_per_level(pr, cont).filter(F.col("h.end_line") >= F.col("line"))
-    inner = hit.groupBy("path", "line").agg(F.max_by("h.fullname", "h.start").alias("p_open"))
-    own = funcs.select("path", F.col("start_line").alias("line"), F.col("fullname").alias("p_own"))
-    out = points.join(own, ["path", "line"], "left").join(inner, ["path", "line"], "left")
-    return out.select("path", "line", F.coalesce("p_own", "p_open").alias("parent"))
-
-
-def requests(files: DataFrame) -> DataFrame:
+def hook_calls(events: DataFrame) -> DataFrame:
+    """(path, pos, line, hook, query_name, fetch_policy, error_policy, bodies). Only the options object's own
+    options count: objects and functions inside it are empty brackets in ``options``."""
+    query = T.nullif_empty(F.regexp_extract("text", r"^\s*(" + _ID + r")", 1))
+    own = r"(?:^|[\s,'\"])%s['\"]?\s*:\s*([\"'][^\"']*[\"'])"
+    fetch, error = (T.clean_option(F.regexp_extract("options", own % name, 1)).alias(c) for name, c in zip(OPTION_NAMES, ("fetch_policy", "error_policy")))
+    return events.filter("kind = 'hook'").select("path", "pos", "line", F.col("name").alias("hook"), query.alias("query_name"), fetch, error, "bodies")
+
+
+def enclosed(points: DataFrame, funcs: DataFrame) -> DataFrame:
+    """C17: points(path, pos, bodies, …) with ``parent``, the fullname of the innermost named function around them; a
+    point outside named functions goes. One join by place: a point asks for each body around it."""
+    rest = [c for c in points.columns if c not in ("path", "pos", "bodies")]
+    asked = points.select("path", "pos", *rest, F.posexplode("bodies").alias("nth", "body"))
+    found = asked.join(funcs.select("path", "body", F.col("fullname").alias("parent")), ["path", "body"])
+    inner = found.groupBy("path", "pos").agg(F.min_by(F.struct(*rest, "parent"), "nth").alias("x"))
+    return inner.select("path", "pos", "x.*")
+
+
+def requests(files: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Request rows; dropped when the first argument has no name or no enclosing function."""
-    h = hook_calls(files).filter(F.col("query_name").isNotNull())
-    funcs, lines_d = functions_in(files)
-    enc = enclosing_function(h.select("path", "line").distinct(), funcs, lines_d)
-    h = h.join(enc, ["path", "line"], "left").filter(F.col("parent").isNotNull())
+    events = client_events(files) if events is None else events
+    h = enclosed(hook_calls(events).filter(F.col("query_name").isNotNull()), functions(events))
     return h.select(_key("r"), "path", "pos", "line", F.concat(F.col("hook"), F.lit(":"), F.col("query_name")).alias("name"),
                     F.element_at(_type_map(HOOK_TYPES), F.col("hook")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),

@@ -137,6 +137,13 @@ creqs AS (
          CASE WHEN ok % 4 = 0 THEN 'cache-first' WHEN ok % 4 = 1 THEN 'network-only' END AS fetch_policy,
          CASE WHEN ok % 4 = 1 THEN 'all' END AS error_policy, 'r' || ok
   FROM ordx WHERE apollo AND inside
+  UNION ALL
+  SELECT path, 3 + 5 * n + 4 + n, NULL, c, x.hook, x.q, x.type, path || ':' || CAST(3 + 5 * n + 4 + n AS VARCHAR),
+         path || '.' || x.fn, NULL, NULL, 'b' || x.fn
+  FROM (SELECT *, unnest(CASE c % 4 WHEN 2 THEN [{'hook': 'useMutation', 'q': 'SHARED_2', 'type': 'GraphQLMutationRequest', 'fn': 'load'}]
+                         ELSE [{'hook': 'useQuery', 'q': 'SHARED_0', 'type': 'GraphQLQueryRequest', 'fn': printf('A%d', c)},
+                               {'hook': 'useLazyQuery', 'q': 'SHARED_1', 'type': 'GraphQLLazyQueryRequest', 'fn': printf('B%d', c)}] END) AS x
+        FROM cfiles WHERE apollo AND c % 4 >= 2)
 ),
 cdd AS (SELECT name, path, arg_max(fullname, line) AS def_fullname, arg_max(dkey, line) AS def_key FROM cdefs GROUP BY name, path),
 creql AS (SELECT r.*,

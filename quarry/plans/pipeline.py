@@ -109,12 +109,15 @@ class Analysis:
     def client_files(self) -> DataFrame:
         return self._get("client_files", lambda: self._cut(C.client_files(self.client_input())))
 
+    def client_events(self) -> DataFrame:
+        return self._get("client_events", lambda: C.client_events(self.client_files()))
+
     def definitions(self) -> DataFrame:
-        return self._get("definitions", lambda: self._cut(C.client_definitions(self.client_files())))
+        return self._get("definitions", lambda: self._cut(C.client_definitions(self.client_files(), self.client_events())))
 
     def requests(self) -> DataFrame:
         def build():
-            reqs = C.requests(self.client_files())
+            reqs = C.requests(self.client_files(), self.client_events())
             return self._cut(C.definition_lookup(reqs, self.definitions()))
         return self._get("requests", build)
 

@@ -157,17 +157,26 @@ def lines_to_files(lines: DataFrame) -> DataFrame:
 #       2  const Customer<c> = ({ id }) =>
 #          {
 #     const r<ok> = <hook><args>(<arg><opts>);    one per order unless ok % 11 = 10; args:
+#     (each of these second lines ends in a decoy by c % 5: a brace in a string, a brace and a hook in a line
+#     comment, a brace and a template in a block comment, a brace in a regular expression, none)
 #     return null;                                "<Data, { id: string }>" when ok % 9 = 4; when
 #   }                                             ok % 17 = 5 a second call on the line, useQuery(NAME)
 #   const t<ok> = <hook>(<arg><opts>);      orders with ok % 11 = 10: outside any function
+#   and a last line when c % 4 = 2 or 3:
+#       2  class K<c> { load = async () => { useMutation(SHARED_2) } }
+#       3  function A<c>(){ return useQuery(SHARED_0) } function B<c>(){ return useLazyQuery(SHARED_1) }
 # vars: ok % 4 = 0 -> ($id: ID!, $n: Int); ok % 4 = 1 -> ($id: ID!); else none.
 # hook: ok % 8 = 5 -> useLazyQuery, else by ok % 3: useQuery, useMutation, useSubscription.
 # arg: ok % 13 = 6 -> inline gql`query { ping }`; ok % 7 = 2 -> Q_<ok + 1>; ok % 7 = 5 -> q_<ok>;
 #      else NAME.
 # opts: ok % 4 = 0 -> , { fetchPolicy: "cache-first" };
-#       ok % 4 = 1 -> , { variables: { id: { in: [1] } }, fetchPolicy: 'network-only', errorPolicy: "all" }; else none.
+#       ok % 4 = 1 -> , { variables: { a: { b: { c: { d: { e: [1] } } } } }, fetchPolicy: 'network-only',
+#       onError: (e) => { log({ errorPolicy: "none" }); }, errorPolicy: "all" }; else none.
 
 APOLLO_NAMES = "gql, useQuery, useLazyQuery, useMutation, useSubscription"
+DEEP_OPTIONS = (", { variables: { a: { b: { c: { d: { e: [1] } } } } }, fetchPolicy: 'network-only', "
+                "onError: (e) => { log({ errorPolicy: \"none\" }); }, errorPolicy: \"all\" }")
+DECOYS = [' const brace = "}";', " // } useQuery(NOPE)", " /* } gql`query Nope { nope }` */", " const close = /}/;", ""]
 REACT_IMPORT = 'import React from "react";'
 
 
@@ -197,7 +206,7 @@ def client_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(ok % 7 == 2, F.format_string("Q_%d", ok + 1)) \
         .when(ok % 7 == 5, F.format_string("q_%d", ok)).otherwise(name)
     opts = F.when(ok % 4 == 0, F.lit(', { fetchPolicy: "cache-first" }')) \
-        .when(ok % 4 == 1, F.lit(", { variables: { id: { in: [1] } }, fetchPolicy: 'network-only', errorPolicy: \"all\" }")).otherwise(F.lit(""))
+        .when(ok % 4 == 1, F.lit(DEEP_OPTIONS)).otherwise(F.lit(""))
     return o.withColumn("name", name).withColumn("op", op).withColumn("vars", vars_).withColumn("hook", hook) \
         .withColumn("arg", arg).withColumn("opts", opts).withColumn("inside", ok % 11 != 10)
 
@@ -242,10 +251,14 @@ def client_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(c % 3 == 1, F.format_string("export const Customer%d: React.FC<Props> = () => {", c)) \
         .otherwise(F.format_string("const Customer%d = ({ id }) =>", c))
     after = F.when(c % 3 == 2, F.lit("{")).otherwise(F.lit("  const pick = ({ id }) => { return id; };"))
+    after = F.concat(after, F.element_at(F.array(*[F.lit(x) for x in DECOYS]), (c % 5 + 1).cast("int")))
+    last = F.when(c % 4 == 2, F.format_string("class K%d { load = async () => { useMutation(SHARED_2) } }", c)) \
+        .when(c % 4 == 3, F.format_string("function A%d(){ return useQuery(SHARED_0) } function B%d(){ return useLazyQuery(SHARED_1) }", c, c))
+    bundle = files.filter(c % 4 >= 2).select("path", (fs + 4 + F.col("n")).cast("long").alias("line"), last.alias("text"))
     frame = files.select("path", F.explode(F.array(
         line(F.lit(1), first), line(F.lit(2), second), line(fs, header), line(fs + 1, after),
         line(fs + 2 + F.col("n_in"), F.lit("  return null;")), line(fs + 3 + F.col("n_in"), F.lit("}")))).alias("x")).select("path", "x.*")
-    lines = frame.unionByName(tmpl).unionByName(hooks.select("path", F.col("line").cast("long"), "text"))
+    lines = frame.unionByName(tmpl).unionByName(hooks.select("path", F.col("line").cast("long"), "text")).unionByName(bundle)
     return lines_to_files(lines.withColumn("line", F.col("line").cast("int")))
 
 

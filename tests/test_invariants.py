@@ -103,7 +103,7 @@ def test_entry_and_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() >= 0
-    assert df.columns == ["component", "request", "definition", "field", "method", "n_methods"]
+    assert df.columns == ["component", "request", "definition", "field", "n_methods"]
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
 
