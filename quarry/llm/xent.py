@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, slices, table, texts_of
 
 SLICE = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 LEAST_BUCKETS = 64
 LEAST_SLOTS = 1 << 16
 PRIOR = 20.0
@@ -117,8 +117,8 @@ def answered(asking: DataFrame, buckets: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, data in zip(batch.column("slice").to_pylist(), batch.column("body").to_pylist()):
-                _, target, sizes, vocabulary, ids = opened(data)
+            for name, data in zip(batch.column("slice").to_pylist(), batch.column("body")):
+                _, target, sizes, vocabulary, ids = opened(data.as_buffer())
                 n, own = len(vocabulary), np.repeat(target, sizes)
                 pairs, code, order, ends = keys_of(sizes, vocabulary, ids, buckets)
                 words = pa.array(vocabulary, pa.binary())
@@ -149,7 +149,8 @@ def answered(asking: DataFrame, buckets: int) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
             keys = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(texts))])
             coded = keys.dictionary_encode()
-            code, fresh = coded.indices.to_numpy(), sum(b" " not in k for k in coded.dictionary.to_pylist())
+            code, fresh = coded.indices.to_numpy(), pc.sum(pc.equal(pc.find_substring(coded.dictionary, pattern=b" "), -1)).as_py()
+            del keys, texts, coded
             sums = [np.bincount(code, np.concatenate(x)).astype(np.int64)[code] for x in (target, every)]
             ends = np.cumsum([len(x) for x in lengths])
             bodies = [packed(*(x[b - len(one) : b] for x in sums)) for b, one in zip(ends.tolist(), lengths)]
@@ -185,13 +186,13 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, answers in zip(batch.column("body").to_pylist(), batch.column("answers").to_pylist()):
-                doc_ids, _, sizes, vocabulary, ids = opened(data)
+            for data, answers in zip(batch.column("body"), batch.column("answers")):  # one slice at a time
+                doc_ids, _, sizes, vocabulary, ids = opened(data.as_buffer())
                 n = len(vocabulary)
                 pairs, code, order, _ = keys_of(sizes, vocabulary, ids, buckets)
                 found = np.zeros((n + len(pairs), 2))
                 if len(found):
-                    parts = [opened(a["body"]) for a in sorted(answers, key=lambda a: a["bucket"])]
+                    parts = [opened(a["body"]) for a in sorted(answers.as_py(), key=lambda a: a["bucket"])]
                     found[order] = np.stack([np.concatenate(x) for x in zip(*parts)], axis=1)
                 # a document's first token has no word before it: it weighs like the prior
                 inside = (code >= 0)[:, None]
