@@ -23,17 +23,19 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, slices, table, texts_of
-from .tokens import byte_level_bytes, bytes_of, encoder, piece_encoder, tokenizer_path
+from .tokens import PieceEncoder, TextEncoder, byte_level_bytes, bytes_of, tokenizer_path
+from .xent import opened, packed
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
-SLICE = 4 << 20
+SLICE = 1 << 20
+#: Entries of a word cache; there are six of them in a worker.
+CACHED = 100_000
 
 
 def gallop(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -77,7 +79,7 @@ class Aligner:
     """The two tokenizers and what their ids stand for."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = encoder(path_a, "spaced", plain_added=True), piece_encoder(path_b)
+        self.a, self.b = TextEncoder(path_a, "spaced", CACHED, plain_added=True), PieceEncoder(path_b, CACHED)
         bytes_a, bytes_b = byte_level_bytes(path_a), self.b.token_bytes()
         self.n_b = len(bytes_b)
         self.spelt = tuple(pa.array(x, pa.binary()) for x in (bytes_a, bytes_b))
@@ -143,17 +145,15 @@ def sliced(docs: DataFrame, path_a: str, path_b: str, limit: int) -> DataFrame:
                 groups, spelling, pairs = both.aligned(a, b)
                 n_a.append(len(a)), n_b.append(len(b)), n_groups.append(groups), spellings.append(spelling), links.append(pairs)
             pairs, code, many = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
-            body = zstandard.ZstdCompressor(level=1).compress(code.astype("<u4").tobytes())
-            whole = lambda x: pa.array([x], pa.list_(pa.int64()))
+            said = [sha256(x).digest() if x else b"" for x in both.spell(spellings)]
+            body = packed(batch.column("doc_id").to_pylist(), n_a, n_b, n_groups, [len(x) for x in links], said, code.astype(np.uint32))
             yield pa.RecordBatch.from_pydict({
-                "slice": pa.array([part << 32 | number], pa.int64()), "doc_id": whole(batch.column("doc_id").to_pylist()),
-                "n_a": whole(n_a), "n_b": whole(n_b), "n_groups": whole(n_groups), "n_links": whole([len(x) for x in links]),
-                "groups_sha256": pa.array([[sha256(x).hexdigest() if x else "" for x in both.spell(spellings)]], pa.list_(pa.string())),
-                "pairs": whole(pairs), "many": whole(many), "body": pa.array([body], pa.binary()),
+                "slice": pa.array([part << 32 | number], pa.int64()), "pairs": pa.array([pairs], pa.list_(pa.int64())),
+                "many": pa.array([many], pa.list_(pa.int64())), "body": pa.array([body], pa.binary()),
             })
             number += 1
 
-    shape = "slice long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, pairs array<long>, many array<long>, body binary"
+    shape = "slice long, pairs array<long>, many array<long>, body binary"
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return table(map_batches(source, run, shape), "aligned")
 
@@ -169,8 +169,8 @@ def pair_counts(cut: DataFrame, n_b: int) -> tuple[DataFrame, DataFrame]:
     return asked.select("slice", "pairs"), judged
 
 
-def streamed(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[dict, list[np.ndarray]]]:
-    """Rows sorted by slice, a slice's own row (``body`` is not null) before its answers: (that row, the answers'
+def streamed(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[bytes, list[np.ndarray]]]:
+    """Rows sorted by slice, a slice's own row (``body`` is not null) before its answers: (that body, the answers'
     columns) of each slice in turn."""
     head, held = None, []
 
@@ -186,7 +186,7 @@ def streamed(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
             if place < batch.num_rows:
                 if head is not None:
                     yield head, joined()
-                head, held = batch.slice(place, 1).to_pylist()[0], []
+                head, held = batch.column("body")[place].as_py(), []
             at = place + 1
     if head is not None:
         yield head, joined()
@@ -197,20 +197,18 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     text in a slice."""
     path_a, path_b = path_a or tokenizer_path(TOKENIZER_A), path_b or tokenizer_path(TOKENIZER_B)
     cut = sliced(docs, path_a, path_b, limit)
-    asked, judged = pair_counts(cut, piece_encoder(path_b).whole.get_piece_size())
+    asked, judged = pair_counts(cut, aligner(path_a, path_b).n_b)
     answers = asked.join(judged.hint("merge"), "pairs")
     whole = cut.drop("pairs", "many").unionByName(answers, allowMissingColumns=True)
     whole = whole.repartition("slice").sortWithinPartitions("slice", F.col("pairs").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for head, (total, best) in streamed(batches, ["total", "best"]):
-            code = np.frombuffer(zstandard.ZstdDecompressor().decompress(head["body"]), "<u4")
-            ends = np.cumsum([0, *head["n_links"]])
+            doc_ids, n_a, n_b, n_groups, n_links, said, code = opened(head)
+            ends = np.cumsum([0, *n_links])
             sums = [np.concatenate(([0], np.cumsum(x.astype(np.int64)[code]))) if len(code) else np.zeros(1, np.int64) for x in (best, total)]
             n_best, count_sum = (x[ends[1:]] - x[ends[:-1]] for x in sums)
-            yield pa.RecordBatch.from_pydict({
-                **{c: pa.array(head[c], pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")},
-                "n_best": pa.array(n_best), "count_sum": pa.array(count_sum), "groups_sha256": pa.array(head["groups_sha256"], pa.string()),
-            })
+            own = zip(("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), (doc_ids, n_a, n_b, n_groups, n_links, n_best, count_sum))
+            yield pa.RecordBatch.from_pydict({**{c: pa.array(x, pa.int64()) for c, x in own}, "groups_sha256": pa.array([x.hex() for x in said], pa.string())})
 
     return map_batches(whole, run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
