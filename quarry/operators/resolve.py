@@ -3,7 +3,7 @@
 Every lookup the analysed tool does by scanning a dict or list is an equi-join here:
 
 * caller lookup (R3): the node on the reference line itself, else the innermost registered container
-  from the per-line stack computed in ``schema.extract_objects`` (no range join);
+  around it, both found in ``schema.extract_objects`` (no range join);
 * same-file resolution (R4): equi-join on (path, last name segment);
 * cross-file resolution (R5/R6): symbols pre-aggregated per short name (count + first candidate in
   registration order), so a short name shared by millions of objects is one row before the join;
@@ -38,26 +38,12 @@ def type_references(lines: DataFrame, keep_builtins: bool = False) -> DataFrame:
     return refs
 
 
-def reference_callers(refs: DataFrame, nodes: DataFrame, objects: DataFrame) -> DataFrame:
+def reference_callers(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     """caller = smallest registered object whose [start, end] contains the line (tie: creation
-    order), else the Program (path)."""
-    ref_lines = refs.select("path", "line").distinct()
-    at = ref_lines.join(nodes.select("path", "line", "is_registered", "fullname", "enclosing"),
-                        ["path", "line"], "left")
-    own = at.filter(F.col("is_registered")).select("path", "line", F.col("fullname").alias("caller"))
-    rest = at.filter(~F.coalesce(F.col("is_registered"), F.lit(False)))
-    reg = objects.filter(F.col("type") != "GraphQLProgram").select(
-        "path", F.col("start_line").alias("c_start"), F.col("fullname").alias("c_fullname"), "end_line",
-        "order_key")
-    cand = rest.select("path", "line", F.explode("enclosing").alias("e")) \
-        .select("path", "line", F.col("e.start").alias("c_start")) \
-        .join(reg, ["path", "c_start"], "inner")
-    best = cand.groupBy("path", "line").agg(
-        F.min_by("c_fullname", F.struct(F.col("end_line") - F.col("c_start"), F.col("order_key"))).alias("caller"))
-    resolved = own.unionByName(best)
-    out = ref_lines.join(resolved, ["path", "line"], "left") \
-        .withColumn("caller", F.coalesce(F.col("caller"), F.col("path")))
-    return refs.join(out, ["path", "line"], "left")
+    order), else the Program (path): the registered node of the line itself, or the registered container
+    around it that the schema pass found."""
+    at = nodes.select("path", "line", F.when(F.col("is_registered"), F.col("fullname")).otherwise(F.col("enclosing")).alias("caller"))
+    return refs.join(at, ["path", "line"], "left").withColumn("caller", F.coalesce(F.col("caller"), F.col("path")))
 
 
 def symbols(objects: DataFrame) -> DataFrame:

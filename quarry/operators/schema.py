@@ -8,16 +8,18 @@ Plan, per file but without any per-file loop:
   first later line whose depth is <= m, which is the first later *close event* at level m + 1 (a line
   whose depth falls from a to b emits close events for levels a .. b+1). That is an as-of lookup
   per (path, level), done with a window — no range join;
-* the containers open at a line are, per level, the latest container of that level started before
-  the line and not yet closed: a second as-of per (path, level) on the same partitioning;
-* a node's parent, its ancestors' parents and therefore its full name follow from the array of
-  containers open at its line (the stack at that line), using array functions inside one row;
+* a line in depth n stands in the latest block of level n opened before it: one as-of lookup per node
+  and per block gives the tree of blocks, without a stack per line;
+* a node's parent (the nearest container of the type it expects) and its full name come from that tree
+  by pointer doubling: as many joins as the logarithm of the deepest nesting, none where blocks do not nest;
 * first-wins dedupe per (path, fullname) in pre-order (the pre-order key is the array of ancestor
   start lines, compared lexicographically).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,35 +133,59 @@ def build_nodes(lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS):
     return d, nodes, closed
 
 
-def latest_per_level(probes: DataFrame, cont: DataFrame) -> DataFrame:
-    """As-of per (path, level): probes(path, line, hi), cont(path, level, line, c) -> (path, line, h) with h
-    = the latest container of each level up to hi that started strictly before the probe line. Only levels
-    that hold a container in the file are probed. Containers of one level never overlap, so h is the only
-    candidate of its level that can still be open; callers filter on its close/end line."""
-    levels = cont.select("path", "level").distinct()
-    pr = probes.join(levels, "path").filter(F.col("level") <= F.col("hi")).select("path", "line", "level")
-    u = pr.select("path", "level", "line", F.lit(0).alias("kind"), F.lit(None).cast(cont.schema["c"].dataType).alias("c")) \
-        .unionByName(cont.select("path", "level", "line", "c").withColumn("kind", F.lit(1)))
-    return asof_last(u, ["path", "level"], "line", "kind", "c", "h").filter(F.col("kind") == 0) \
-        .filter(F.col("h").isNotNull()).select("path", "line", "h")
-
-
-def _stack_rule(stack: Column, expected: Column, upto: Column) -> Column:
-    """Index (1-based) in ``stack`` of the parent chosen among the first ``upto`` entries:
-    innermost entry whose type is ``expected``; else the innermost entry; 0 = root."""
-    idxs = F.sequence(F.lit(1), F.greatest(upto, F.lit(1)))
-    typed = F.filter(idxs, lambda j: (j <= upto) & (F.element_at(stack, j)["obj_type"] == expected))
-    best_typed = F.array_max(typed)
-    return F.when(expected.isin(*ROOT_PARENTS) | expected.isNull(), F.lit(0)) \
-        .when(upto <= 0, F.lit(0)) \
-        .otherwise(F.coalesce(best_typed, upto))
+def doubled(tree: DataFrame, rounds: int, merge: dict[str, Callable[[Column, Column], Column]], name: str) -> DataFrame:
+    """Pointer doubling: tree(path, line, level, to_line, to_level, …) in which a row points to another by (line, level).
+    Each round every row takes in the columns of ``merge`` from the row that it points to (own value, other's value) and
+    points where that one does, so ``rounds`` reach ``2 ** rounds`` rows up."""
+    for _ in range(rounds):
+        far = tree.select("path", F.col("line").alias("to_line"), F.col("level").alias("to_level"), F.col("to_line").alias("__line"),
+                          F.col("to_level").alias("__level"), *[F.col(c).alias(f"__{c}") for c in merge])
+        met = tree.filter("to_line is not null").join(far, ["path", "to_line", "to_level"], "left")
+        kept = [c for c in tree.columns if c not in ("to_line", "to_level", *merge)]
+        met = met.select(*kept, F.col("__line").alias("to_line"), F.col("__level").alias("to_level"),
+                         *[F.coalesce(f(F.col(c), F.col(f"__{c}")), F.col(c)).alias(c) for c, f in merge.items()])
+        tree = stored(tree.filter("to_line is null").unionByName(met), name)
+    return tree
+
+
+def enclosing_blocks(d: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes with up_line, up_level and around_line: the block they stand in and the one whose range covers their line;
+    blocks(path, line, level, obj_type, up_line, up_level)).
+
+    A block is a brace level that a line opens: a container's or an unnamed one. A line in depth n stands in the latest
+    block of level n that was opened before it, so each node and each block asks one (path, level) for its latest line:
+    as many rows as nodes and braces, however deep they nest. A node that closes braces stands in what they leave open."""
+    proper = F.col("pattern_key").isNotNull() & (F.col("opens") > 0) & (F.col("opens") != F.col("closes"))
+    own = F.col("depth") - F.col("opens") + 1
+    opened = d.filter((F.col("net") > 0) & ~(proper & (F.col("opens") == 1))).select(
+        "path", "line", "depth_prev", F.when(proper, own).alias("own"), F.explode(F.sequence(F.col("depth_prev") + 1, F.col("depth"))).alias("level"))
+    unnamed = opened.filter(F.col("own").isNull() | (F.col("level") != F.col("own")))
+    same_line = (F.col("level") - 1 > F.col("depth_prev")) | (F.col("level") - 1 == F.coalesce("own", F.col("level")))
+    unnamed = unnamed.select("path", "line", "level", (F.col("level") - 1).alias("up_level"), F.when(same_line, F.col("line")).alias("up_line"))
+    containers = nodes.filter(F.col("is_container") & ~F.col("single_line"))
+    stands, covers = F.least("depth_prev", "depth"), F.col("depth_prev")
+    asked = nodes.select("path", "line", F.explode(F.array_distinct(F.array(stands, covers))).alias("level")) \
+        .unionByName(unnamed.filter("up_line is null").select("path", "line", F.col("up_level").alias("level"))).distinct()
+    starts = containers.select("path", "line", "level").unionByName(unnamed.select("path", "line", "level"))
+    events = asked.select("path", "level", "line", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("at")) \
+        .unionByName(starts.select("path", "level", "line", F.lit(1).alias("kind"), F.col("line").cast("int").alias("at")))
+    found = asof_last(events, ["path", "level"], "line", "kind", "at", "o").filter("kind = 0 and o is not null")
+    found = stored(found.select("path", "line", "level", F.col("o").alias("up_line")), "blocks-around")
+    n = nodes.withColumn("up_level", stands).join(found.withColumnRenamed("level", "up_level"), ["path", "line", "up_level"], "left")
+    closing = nodes.filter("depth < depth_prev").select("path", "line", covers.alias("level")) \
+        .join(found.withColumnRenamed("up_line", "around_line"), ["path", "line", "level"]).select("path", "line", "around_line")
+    n = n.join(closing, ["path", "line"], "left").withColumn("around_line", F.coalesce("around_line", "up_line"))
+    asking = unnamed.filter("up_line is null").drop("up_line").join(found.withColumnRenamed("level", "up_level"), ["path", "line", "up_level"], "left")
+    anonymous = unnamed.filter("up_line is not null").unionByName(asking).withColumn("obj_type", F.lit(None).cast("string"))
+    return n, anonymous
 
 
 def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS) -> dict[str, DataFrame]:
     """objects(path, type, name, fullname, parent_fullname, start_line, end_line, guid,
     order_key, pattern_key, bookmark). ``files_n_lines(path, n_lines)`` gives Program rows.
 
-    Also returns the raw nodes (with is_registered) and the per-line container stacks for R3.
+    Also returns the nodes, with is_registered and, for R3, the fullname of the innermost registered container around
+    those that are not.
     """
     d, nodes, closed = build_nodes(lines, ps)
     n_lines = files_n_lines.select("path", "n_lines")
@@ -170,56 +196,38 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     nodes = nodes.withColumn(
         "end_line",
         F.when(F.col("is_container") & ~F.col("single_line"), F.coalesce(F.col("close_line"), F.col("n_lines")))
-        .otherwise(F.col("line")))
-    nodes = stored(nodes, "nodes")
+        .otherwise(F.col("line"))).drop("close_line", "n_lines")
 
-    # --- pass 2: containers open at each probed line ------------------------------------------
-    proper = nodes.filter(F.col("is_container") & ~F.col("single_line"))
-    pr = nodes.select("path", "line", F.col("depth_prev").alias("hi"))
-    cont = proper.select("path", "level", "line",
-                         F.struct(F.col("line").alias("start"), "close_line", "end_line", "name", "obj_type",
-                                  "expected_parent").alias("c"))
-    hit = latest_per_level(pr, cont)
-    open_now = (F.col("h.close_line").isNull()) | (F.col("h.close_line") > F.col("line"))
-    encl = F.col("h.end_line") >= F.col("line")
-    per_line = hit.groupBy("path", "line").agg(
-        F.array_sort(F.collect_list(F.when(open_now, F.col("h")))).alias("stack"),
-        F.array_sort(F.collect_list(F.when(encl, F.struct(F.col("h.start").alias("start"),
-                                                         F.col("h.end_line").alias("end_line"))))).alias("enclosing"))
-
-    n = nodes.join(per_line, on=["path", "line"], how="left") \
-        .withColumn("stack", F.coalesce(F.col("stack"), F.array().cast(per_line.schema["stack"].dataType))) \
-        .withColumn("k", F.size("stack"))
-    # parent index of every stack entry (computed on the prefix of the stack below it)
-    n = n.withColumn("pidx", F.transform(
-        F.col("stack"), lambda e, i: _stack_rule(F.col("stack"), e["expected_parent"], i)))
-    simple_p = F.when(F.col("expected_parent").isin(*ROOT_PARENTS), F.lit(0)).otherwise(F.col("k"))
-    n = n.withColumn("own_p", F.when(F.col("k") <= 1, simple_p)
-                     .otherwise(_stack_rule(F.col("stack"), F.col("expected_parent"), F.col("k"))))
-    # walk the chain from the node's parent down to the root
-    init = F.struct(F.col("own_p").alias("t"), F.array().cast("array<string>").alias("names"),
-                    F.array().cast("array<int>").alias("starts"))
-
-    def step(acc, j):
-        e = F.element_at(F.col("stack"), j)
-        hit_ = acc["t"] == j
-        return F.struct(
-            F.when(hit_, F.element_at(F.col("pidx"), j)).otherwise(acc["t"]).alias("t"),
-            F.when(hit_, F.concat(F.array(e["name"]), acc["names"])).otherwise(acc["names"]).alias("names"),
-            F.when(hit_, F.concat(F.array(e["start"]), acc["starts"])).otherwise(acc["starts"]).alias("starts"))
-
-    walk = F.aggregate(F.reverse(F.sequence(F.lit(1), F.greatest(F.col("k"), F.lit(1)))), init,
-                       lambda acc, j: F.when(j <= F.col("k"), step(acc, j)).otherwise(acc))
-    # stacks of 0 or 1 entries (almost every line) skip the generic walk
-    e1 = F.element_at(F.col("stack"), 1)
-    one = F.when(F.col("own_p") == 1, F.struct(F.lit(0).alias("t"), F.array(e1["name"]).alias("names"),
-                                               F.array(e1["start"]).alias("starts"))) \
-        .otherwise(F.struct(F.lit(0).alias("t"), F.array().cast("array<string>").alias("names"),
-                            F.array().cast("array<int>").alias("starts")))
-    n = n.withColumn("chain", F.when(F.col("k") == 0, init).when(F.col("k") == 1, one).otherwise(walk))
-    prefix = F.array_join(F.col("chain.names"), ".")
+    # --- the block that each node stands in, and the tree of blocks ---------------------------
+    nodes, unnamed = enclosing_blocks(d, stored(nodes, "nodes"))
+    nodes = stored(nodes, "nodes")
+    is_block = F.col("is_container") & ~F.col("single_line")
+    blocks = nodes.filter(is_block).select("path", "line", "level", "obj_type", "up_line", "up_level").unionByName(unnamed)
+    span = blocks.agg((F.max("level") - F.min("level") + 1).alias("n")).first()["n"] or 1
+    rounds = (int(span) - 1).bit_length()
+    here = F.struct("line", "level")
+    kind = "map<string, struct<line: int, level: bigint>>"
+    # the nearest container of each type on the way up, and the nearest of any type under ''
+    near = F.when(F.col("obj_type").isNotNull(), F.map_from_arrays(F.array(F.col("obj_type"), F.lit("")), F.array(here, here))).otherwise(F.create_map())
+    tree = blocks.select("path", "line", "level", F.col("up_line").alias("to_line"), F.when(F.col("up_line").isNotNull(), F.col("up_level")).alias("to_level"),
+                         near.cast(kind).alias("near"))
+    tree = doubled(tree, rounds, {"near": lambda a, b: F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x, y))}, "block-types")
+
+    # --- parents: the nearest container of the expected type, else the nearest one, else the root ----
+    above = tree.select("path", F.col("line").alias("up_line"), F.col("level").alias("up_level"), "near")
+    n = nodes.join(above, ["path", "up_line", "up_level"], "left")
+    rooted = F.col("expected_parent").isNull() | F.col("expected_parent").isin(*ROOT_PARENTS)
+    n = n.withColumn("p", F.when(~rooted, F.coalesce(F.try_element_at("near", F.col("expected_parent")), F.try_element_at("near", F.lit(""))))) \
+        .withColumn("p_line", F.col("p.line")).withColumn("p_level", F.col("p.level")).drop("near", "p")
+    n = stored(n, "node-parents")
+    chain = n.filter(is_block).select("path", "line", "level", F.col("p_line").alias("to_line"), F.col("p_level").alias("to_level"),
+                                      F.array("name").alias("names"), F.array(F.col("line").cast("int")).alias("starts"))
+    chain = doubled(chain, rounds, {c: lambda a, b: F.concat(b, a) for c in ("names", "starts")}, "block-names")
+    chain = chain.select("path", F.col("line").alias("p_line"), F.col("level").alias("p_level"), F.struct("names", "starts").alias("chain"))
+    none = F.struct(F.array().cast("array<string>").alias("names"), F.array().cast("array<int>").alias("starts"))
+    n = n.join(chain, ["path", "p_line", "p_level"], "left").withColumn("chain", F.coalesce("chain", none)).drop("p_line", "p_level")
     n = n.withColumn("parent_fullname",
-                     F.when(F.size("chain.names") > 0, F.concat(F.col("path"), F.lit("."), prefix))
+                     F.when(F.size("chain.names") > 0, F.concat(F.col("path"), F.lit("."), F.array_join(F.col("chain.names"), ".")))
                      .otherwise(F.col("path"))) \
         .withColumn("fullname", F.when(F.col("receiver").isNotNull(),  # X16: a receiver replaces the prefix
                                        F.concat_ws(".", F.col("path"), F.col("receiver"), F.col("name")))
@@ -231,6 +239,16 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     n = n.join(first, ["path", "fullname"], "left").withColumn("is_registered", F.col("order_key").eqNullSafe(F.col("__first"))).drop("__first")
     n = stored(n, "node-paths")
 
+    # --- R3: the innermost registered container around nodes that are not registered ------------------
+    known = n.filter(is_block).select("path", "line", "level", F.when(F.col("is_registered"), F.col("fullname")).alias("object"))
+    known = blocks.select("path", "line", "level", F.col("up_line").alias("to_line"), F.when(F.col("up_line").isNotNull(), F.col("up_level")).alias("to_level")) \
+        .join(known, ["path", "line", "level"], "left")
+    known = doubled(known, rounds, {"object": lambda a, b: F.coalesce(a, b)}, "block-objects")
+    inner = known.select("path", F.col("line").alias("around_line"), F.col("level").alias("depth_prev"), F.col("object").alias("enclosing"))
+    loose = n.filter("not is_registered").join(inner, ["path", "around_line", "depth_prev"], "left").select(*n.columns, "enclosing")
+    n = n.filter("is_registered").withColumn("enclosing", F.lit(None).cast("string")).unionByName(loose) \
+        .drop("up_line", "up_level", "around_line", "is_container", "single_line", "level")
+
     typ = F.concat(F.lit("GraphQL"), F.col("obj_type"))
     objs = n.filter("is_registered").select(
         "path", typ.alias("type"), "name", "fullname", "parent_fullname", F.col("line").alias("start_line"),
@@ -244,7 +262,7 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     objs = objs.withColumn("guid", T.guid(F.col("type"), F.col("path"), F.col("fullname"),
                                           F.when(F.col("type") == "GraphQLProgram", F.lit(0))
                                           .otherwise(F.col("start_line"))))
-    return {"objects": objs, "nodes": n, "lines": d, "per_line": per_line}
+    return {"objects": objs, "nodes": n, "lines": d}
 
 
 def objects_of(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS) -> DataFrame:

@@ -78,7 +78,7 @@ class Analysis:
         def build():
             lines, files = self.schema_input()
             r = S.extract_objects(lines, files, self.patterns)
-            slim = r["nodes"].drop("stack", "pidx", "own_p", "k", "close_line", "n_lines")
+            slim = r["nodes"]
             if not self._materialize:
                 return {"objects": M.persist(r["objects"]), "nodes": M.persist(slim)}
             objs, nodes = M.cut_many([(r["objects"], "objects"), (slim, "nodes")])
@@ -98,7 +98,7 @@ class Analysis:
     def references(self) -> DataFrame:
         def build():
             refs = R.type_references(self.schema_input()[0])
-            refs = R.reference_callers(refs, self.nodes(), self.objects())
+            refs = R.reference_callers(refs, self.nodes())
             return self._cut(R.resolve_references(refs, self.objects()))
         return self._get("references", build)
 

@@ -65,7 +65,7 @@ def finish(spark: SparkSession, objects_dir: str) -> DataFrame:
     lines = to_lines(files)
     nodes = S.extract_objects(lines, file_line_counts(files))["nodes"]
     objs = latest_objects(spark, objects_dir)
-    refs = R.reference_callers(R.type_references(lines), nodes, objs)
+    refs = R.reference_callers(R.type_references(lines), nodes)
     links = stored(R.schema_links(R.resolve_references(refs, objs)), "stream-links")
     release()
     return links
