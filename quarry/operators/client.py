@@ -116,9 +116,43 @@ def client_files(files: DataFrame) -> DataFrame:
 # Operation parsing (column expressions on the template text)
 # ---------------------------------------------------------------------------------------------
 
-def parse_operation(text: Column) -> Column:
+# FIXED VALUES: tokens of an operation's text: comments, strings, the spread, names, punctuation.
+OP_TOKEN_RE = r"#[^\n]*|\"\"\"(?s:.*?)\"\"\"|\"(?:[^\"\\\n]|\\.)*\"|\.\.\.|[A-Za-z_][A-Za-z0-9_]*|[{}()@:]"
+
+
+def root_fields(text: Column) -> Column:
+    """Every field of the operation's outermost selection set, in order and each once: leaf fields too, the field's
+    own name where it has an alias, nothing of arguments, directives, nested sets or fragment spreads. Fields of an inline
+    fragment in the outermost set are fields of that set. A fold over the tokens keeps the depths of braces and
+    parentheses, how many inline fragments of the outermost set are open, and what the tokens before lead to."""
+    tokens = F.filter(F.regexp_extract_all(text, F.lit(OP_TOKEN_RE), 0), lambda t: ~t.rlike('^[#"]'))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("paren"), F.lit(0).alias("inline"), F.lit("").alias("after"),
+                     F.lit(False).alias("done"), F.array().cast("array<string>").alias("fields"))
+
+    def step(a: Column, t: Column) -> Column:
+        inside, name, after = a["paren"] > 0, t.rlike("^[A-Za-z_]"), a["after"]
+        outer = a["depth"] == 1
+        into = ~inside & (t == "{") & outer & after.isin("...", "fragment")  # an inline fragment's set is no level of its own
+        out = ~inside & (t == "}") & outer & (a["inline"] > 0)
+        depth = a["depth"] + F.when(~inside & (t == "{") & ~into, 1).when(~inside & (t == "}") & ~out, -1).otherwise(0)
+        field = name & ~inside & outer & after.isin("", ":")
+        kept = F.when(after == ":", F.slice(a["fields"], 1, F.greatest(F.size(a["fields"]) - 1, F.lit(0)))).otherwise(a["fields"])
+        leads = F.when(inside | t.isin("(", ")"), after).when(t.isin("...", ":"), t) \
+            .when(t == "@", F.when(after.isin("...", "fragment"), F.lit("...@")).otherwise(F.lit("@"))) \
+            .when((after == "...") & (t == "on"), F.lit("on")).when(name & after.isin("on", "...@"), F.lit("fragment")).otherwise(F.lit(""))
+        return F.when(a["done"], a).otherwise(F.struct(
+            depth.cast("int").alias("depth"), (a["paren"] + F.when(t == "(", 1).when(t == ")", -1).otherwise(0)).cast("int").alias("paren"),
+            (a["inline"] + F.when(into, 1).when(out, -1).otherwise(0)).cast("int").alias("inline"), leads.alias("after"),
+            (~inside & (t == "}") & (depth == 0)).alias("done"), F.when(field, F.concat(kept, F.array(t))).otherwise(a["fields"]).alias("fields")))
+
+    return F.aggregate(tokens, start, step, lambda a: F.array_distinct(a["fields"]))
+
+
+def parse_operation(text: Column, root_fields_exact: bool = False) -> Column:
     """struct(type, operationName, variables, fieldsSelected, aliases) or null when the text is
-    not an operation (C3/C4). ``text`` must already be stripped (see ``client_definitions``)."""
+    not an operation (C3/C4). ``text`` must already be stripped (see ``client_definitions``).
+    ``root_fields_exact`` (D14): fieldsSelected holds every root field, as ``root_fields`` reads them,
+    in place of what the first brace pair shows."""
     t = text
     named = t.rlike(NAMED_OP_RE)
     anon = t.rlike(ANON_OP_RE)
@@ -134,6 +168,8 @@ def parse_operation(text: Column) -> Column:
     plain = F.regexp_extract_all(body, F.lit(FIELD_RE), 1)
     fields = F.array_sort(F.array_distinct(F.concat(F.array_except(plain, aliased), targets)))
     fields = F.when(t.rlike(BODY_RE), fields).otherwise(F.array().cast("array<string>"))
+    if root_fields_exact:
+        fields = F.array_sort(root_fields(t))
     # Alias map over the whole text, last writer wins
     a_keys = F.regexp_extract_all(t, F.lit(ALIAS_RE), 1)
     a_vals = F.regexp_extract_all(t, F.lit(ALIAS_RE), 2)
@@ -161,14 +197,14 @@ def templates(events: DataFrame) -> DataFrame:
     return events.filter("kind = 'gql'").select("path", "pos", "line", var.alias("name"), T.clean_template(F.col("text")).alias("text"))
 
 
-def client_definitions(files: DataFrame, events: DataFrame | None = None) -> DataFrame:
+def client_definitions(files: DataFrame, events: DataFrame | None = None, root_fields_exact: bool = False) -> DataFrame:
     """Definition rows (key, path, pos, line, name, type, fullname, op struct, raw_text). ``events``: those of
     ``client_events``, if they are there already."""
     t = templates(client_events(files) if events is None else events).filter(F.col("text") != "")
     # the text is read by many conditional expressions, which common-subexpression elimination does
     # not share; the generator makes the (stripped) text and the header test a computed column once
     t = t.select("*", F.explode(F.array(F.struct(T.strip_ws(F.col("text")).alias("s")))).alias("__t"))
-    t = t.withColumn("op", parse_operation(F.col("__t.s"))).filter(F.col("op").isNotNull()).drop("__t")
+    t = t.withColumn("op", parse_operation(F.col("__t.s"), root_fields_exact)).filter(F.col("op").isNotNull()).drop("__t")
     return t.select(_key("d"), "path", "pos", "line", "name",
                     F.element_at(_type_map(DEF_TYPES), F.col("op.type")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
@@ -286,14 +322,14 @@ def unmatched_hooks(looked_up: DataFrame) -> DataFrame:
 # (a caller that already has a JavaScript AST enters here instead of the text scan)
 # ---------------------------------------------------------------------------------------------
 
-def definitions_from_calls(calls: DataFrame) -> DataFrame:
+def definitions_from_calls(calls: DataFrame, root_fields_exact: bool = False) -> DataFrame:
     """C2-C8 from pre-parsed ``gql`` calls: arg0 is the template text, assigned_to the variable."""
     g = calls.filter(F.col("callee") == "gql").select(
         "path", "pos", "line",
         F.coalesce(T.nullif_empty(F.col("assigned_to")), T.nullif_empty(F.col("enclosing")),
                    F.concat(F.lit("anonymous_gql_"), F.col("path"), F.lit(":"), F.col("line").cast("string"))).alias("name"),
         T.clean_template(F.col("arg0")).alias("text"))
-    g = g.filter(F.col("text") != "").withColumn("op", parse_operation(F.col("text"))).filter(F.col("op").isNotNull())
+    g = g.filter(F.col("text") != "").withColumn("op", parse_operation(F.col("text"), root_fields_exact)).filter(F.col("op").isNotNull())
     return g.select(_key("d"), "path", "pos", "line", "name", F.element_at(_type_map(DEF_TYPES), F.col("op.type")).alias("type"),
                     F.concat(F.col("path"), F.lit(":"), F.col("line").cast("string")).alias("fullname"),
                     "op", F.col("text").alias("raw_text"))

@@ -326,6 +326,9 @@ SELECT path, CAST(line AS BIGINT) AS line, name, type, fullname, operation_name,
 ORACLE["operation_fields"] = SC + """
 SELECT fullname, unnest(field_list) AS field_name FROM cdefs
 """
+ORACLE["operation_root_fields"] = SC + """
+SELECT fullname, unnest(field_list) AS field_name FROM cdefs UNION ALL SELECT fullname, 'ping' FROM cdefs WHERE raw = 'query { ping }'
+"""
 ORACLE["operation_variables"] = SC + """
 SELECT fullname, unnest(string_split(variables, ', ')) AS variable FROM cdefs WHERE variables <> ''
 """

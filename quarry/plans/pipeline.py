@@ -31,7 +31,7 @@ class Analysis:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, *, schema_files: DataFrame | None = None,
                  client_files: DataFrame | None = None, kb: DataFrame | None = None, materialize: bool = True,
-                 strict_case: bool = False, mask_first: bool = False):
+                 strict_case: bool = False, mask_first: bool = False, root_fields_exact: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
@@ -39,6 +39,7 @@ class Analysis:
         self._materialize = materialize
         # D2 option: case-sensitive patterns; D9 option: mask strings/comments before parsing
         self.patterns = PatternSet(case_insensitive=not strict_case)
+        self.root_fields_exact = root_fields_exact  # D14 option: all fields of the outermost selection set
         if schema_files is not None and mask_first:
             schema_files = schema_files.withColumn("content", mask_source(F.col("content")))
         if schema_files is not None:
@@ -113,7 +114,7 @@ class Analysis:
         return self._get("client_events", lambda: C.client_events(self.client_files()))
 
     def definitions(self) -> DataFrame:
-        return self._get("definitions", lambda: self._cut(C.client_definitions(self.client_files(), self.client_events())))
+        return self._get("definitions", lambda: self._cut(C.client_definitions(self.client_files(), self.client_events(), self.root_fields_exact)))
 
     def requests(self) -> DataFrame:
         def build():

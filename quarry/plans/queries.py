@@ -203,6 +203,14 @@ def operation_fields(spark, d):
     return _defs(spark, d).select("fullname", F.explode("op.fieldsSelected").alias("field_name"))
 
 
+@query("operation_root_fields")
+def operation_root_fields(spark, d):
+    """C6 with the option ``root_fields_exact``: leaf fields and all fields of the outermost set."""
+    a = analysis_for(spark, d)
+    defs = C.client_definitions(a.client_files(), a.client_events(), root_fields_exact=True)
+    return defs.select("fullname", F.explode("op.fieldsSelected").alias("field_name"))
+
+
 @query("operation_variables")
 def operation_variables(spark, d):
     return _defs(spark, d).select("fullname", F.explode("op.variables").alias("variable"))

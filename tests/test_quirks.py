@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import files_df, kb_df
 from quarry.functions.text import mask_source
+from quarry.operators import client as C
 from quarry.operators import imports as I
 from quarry.operators import link as L
 from quarry.plans.pipeline import Analysis
@@ -193,6 +194,24 @@ def test_d14_first_block_only(client):
     assert defs["M"]["op"]["fieldsSelected"] == ["user"] and defs["M"]["op"]["aliases"] == {"m": "user"}
 
 
+ROOT_FIELDS = [
+    ("query Q { users { id } posts { id } }", ["users", "posts"]), ("query Q { version }", ["version"]), ("query Q { m: user(id: 1) { id } }", ["user"]),
+    ("query Q($a: T = { b: 1 }) @live { x(in: { y: { z: 1 } }) @include(if: $a) { y } w: v }", ["x", "v"]), ("{ a b, c }", ["a", "b", "c"]),
+    ("query { ...F a ...on T { b { on } c } ... @skip(if: $x) { d } ... on U @include(if: $y) { e } ...G @live f }", ["a", "b", "c", "d", "e", "f"]),
+    ("query { a(s: \"} b {\") # } x\n b } fragment F on T { c }", ["a", "b"]), ("query { a { ... on T { b } } a c: a }", ["a"]), ("query {", []), ("", []),
+    ("mutation M { on: query { on } fragment }", ["query", "fragment"]),
+]
+
+
+def test_d14_root_fields_exact(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(ROOT_FIELDS)], "i int, t string")
+    got = {r["i"]: r["f"] for r in df.select("i", C.root_fields(F.col("t")).alias("f")).collect()}
+    assert got == {i: f for i, (_, f) in enumerate(ROOT_FIELDS)}
+    files = files_df(spark, [("r.jsx", "import { gql } from 'x';\nconst Q = gql`query Q { users { id } version }`;\n")])
+    exact, plain = (Analysis(spark, client_files=files, materialize=False, root_fields_exact=x).definitions().first()["op"]["fieldsSelected"] for x in (True, False))
+    assert (exact, plain) == (["users", "version"], ["users"])
+
+
 def test_d15_inline_template_hook(client):
     _, defs, reqs = client
     r = [x for x in reqs if x["path"] == "c1.jsx" and x["line"] == 4][0]
