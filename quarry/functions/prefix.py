@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .materialize import stored
+
 DEFAULT_CHUNK = 1 << 16
 
 
@@ -40,14 +42,13 @@ def dense_position(df: DataFrame, keys: list[str], order: str, out: str,
 
 
 def asof_last(df: DataFrame, keys: list[str], pos: str, kind: str, val: str, out: str,
-              chunk_rows: int = DEFAULT_CHUNK, chunk_by: Column | None = None) -> DataFrame:
+              chunk_rows: int = DEFAULT_CHUNK) -> DataFrame:
     """Skew-safe as-of: for every row, the last non-null ``val`` among rows of the same ``keys`` that
     come before it or are the row itself in (``pos``, ``kind``) order. Same two-level scheme as
     ``running_sum``: a window inside (keys, chunk of positions), then, for rows with nothing in their
-    own chunk, the last value of the earlier chunks (a window over one summary row per chunk).
-    ``chunk_by`` gives the chunk of a row where ``pos`` is no number; it must not fall as ``pos`` grows."""
+    own chunk, the last value of the earlier chunks (a window over one summary row per chunk)."""
     chunk = "__achunk"
-    d_chunk = F.floor(F.col(pos) / F.lit(chunk_rows)) if chunk_by is None else chunk_by
+    d_chunk = F.floor(F.col(pos) / F.lit(chunk_rows))
     d = df.withColumn(chunk, d_chunk)
     w_in = Window.partitionBy(*keys, chunk).orderBy(pos, kind).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("__local", F.last(val, ignorenulls=True).over(w_in))
@@ -70,9 +71,60 @@ def next_line(starts: DataFrame, events: DataFrame, keys: list[str], out: str) -
     return found.filter("__kind = 0").select(*first, out)
 
 
-def path_ranges(paths: DataFrame, ranges: int = 256) -> Column:
-    """The number of a row's path range, from a bounded sample of the paths: rows of one range lie
-    together in path order."""
-    rows = paths.select("path").distinct().orderBy(F.xxhash64("path")).limit(ranges).collect()
-    bounds = sorted(r["path"] for r in rows)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<string>"), lambda b: b <= F.col("path")))
+def running_floor(df: DataFrame, keys: list[str], pos: str, value: str, chunk_rows: int = DEFAULT_CHUNK) -> DataFrame:
+    """Add ``total``, the sum of ``value`` up to a row, and ``floor`` / ``floor_before``, the least such sum up to the row
+    and up to the row before it (0 if none is lower). (sum, least prefix sum) of stretches compose, so each chunk is
+    reduced to that pair, the pairs are scanned, and a window inside the chunk does the rest."""
+    chunk = F.floor(F.col(pos) / F.lit(chunk_rows))
+    inside = Window.partitionBy(*keys, "__chunk").orderBy(pos)
+    upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
+    d = df.withColumn("__chunk", chunk).withColumn("__sum", F.sum(value).over(upto))
+    d = d.withColumn("__low", F.min("__sum").over(upto)).withColumn("__low_before", F.min("__sum").over(before))
+    pairs = d.groupBy(*keys, "__chunk").agg(F.max_by("__sum", pos).alias("__all"), F.min("__sum").alias("__least"))
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    pairs = pairs.withColumn("__base", F.coalesce(F.sum("__all").over(earlier), F.lit(0)))
+    pairs = pairs.withColumn("__floor", F.least(F.lit(0), F.coalesce(F.min(F.col("__base") + F.col("__least")).over(earlier), F.lit(0))))
+    d = d.join(pairs.drop("__all", "__least"), [*keys, "__chunk"])
+    low = F.least(F.col("__floor"), F.col("__base") + F.col("__low")), F.least(F.col("__floor"), F.coalesce(F.col("__base") + F.col("__low_before"), F.lit(0)))
+    return d.select(*df.columns, (F.col("__base") + F.col("__sum")).alias("total"), low[0].alias("floor"), low[1].alias("floor_before"))
+
+
+def next_at_most(points: DataFrame, values: DataFrame, fan: int = 64) -> DataFrame:
+    """points(path, line, v): the first later line of values(path, line, v) whose v is not greater, as ``found`` (null if
+    there is none). Lines are taken together by ``fan``, these again by ``fan``, and so on; every bundle knows the least
+    value of each of its parts. A point looks through its own bundle, then the bundle above and so on, until a part holds
+    a value small enough, and goes down into that part again: a few rows a point, whatever the values are."""
+    n = values.agg(F.max("line").alias("n")).first()["n"] or 0
+    items = values.select("path", F.col("line").cast("long").alias("i"), "v")
+    bundles = []
+    while True:
+        level = items.withColumn("c", F.expr(f"i div {fan}")).groupBy("path", "c").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("parts"))
+        bundles.append(level)
+        n //= fan
+        if not n:
+            break
+        items = level.select("path", F.col("c").alias("i"), F.array_min(F.transform("parts", lambda x: x["v"])).alias("v"))
+
+    def first(parts: Column, after: Column) -> Column:
+        return F.try_element_at(F.filter(parts, lambda x: (x["i"] > after) & (x["v"] <= F.col("v"))), F.lit(1))["i"]
+
+    searching = points.select("path", "line", "v", F.col("line").cast("long").alias("i"))
+    hits: list[DataFrame] = []
+    for level in bundles:
+        met = searching.withColumn("c", F.expr(f"i div {fan}")).join(level, ["path", "c"], "left").withColumn("hit", first(F.col("parts"), F.col("i")))
+        met = stored(met.select("path", "line", "v", "c", "hit"), "next-at-most")
+        hits.append(met.filter("hit is not null").select("path", "line", "v", F.col("hit").alias("i")))
+        searching = met.filter("hit is null").select("path", "line", "v", F.col("c").alias("i"))
+    down = None
+    for level, found in zip(reversed(bundles), reversed(hits)):
+        if down is not None:
+            down = down.withColumnRenamed("i", "c").join(level, ["path", "c"]).select("path", "line", "v", first(F.col("parts"), F.lit(-1)).alias("i"))
+        down = found if down is None else down.unionByName(found)
+    return points.select("path", "line").join(down.select("path", "line", F.col("i").cast("int").alias("found")), ["path", "line"], "left")
+
+
+def path_order(paths: DataFrame) -> DataFrame:
+    """(path, place): a number for each path, growing with the path. Paths are sorted by ranges; the number is the place in
+    the range after the range's own, so nothing meets in one task."""
+    ranged = paths.select("path").distinct().repartitionByRange("path").sortWithinPartitions("path")
+    return stored(ranged.withColumn("place", F.monotonically_increasing_id()), "path-order")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.lexer import Event, scan
 from ..functions.materialize import stored
-from ..functions.prefix import asof_last, path_ranges
+from ..functions.prefix import asof_last, path_order
 from ..functions.shipping import map_rows
 from ..sources.files import to_lines
 from . import imports as I
@@ -278,8 +278,9 @@ def requests(files: DataFrame, events: DataFrame | None = None) -> DataFrame:
 def definition_lookup(reqs: DataFrame, defs: DataFrame) -> DataFrame:
     """A hook in file k sees the last definition with its name in files 1..k (path order; in file
     k all definitions come before the hooks). Both sides are first reduced to one row per
-    (name, path). A name can be in any number of files, so the as-of runs inside ranges of paths and
-    over one row per (name, range). C16: the same lookup by upper-case name flags case-only mismatches."""
+    (name, path). A name can be in any number of files, so paths get numbers in their order, and the as-of
+    runs inside stretches of these and over one row per (name, stretch): a stretch holds so many paths at every
+    size. C16: the same lookup by upper-case name flags case-only mismatches."""
     reqs = stored(reqs, "requests")
     d = stored(defs.groupBy("name", "path").agg(F.max_by(F.struct("fullname", "key"), "pos").alias("d")), "definition-names")
     k = reqs.select(F.col("query_name").alias("name"), "path").distinct()
@@ -288,7 +289,8 @@ def definition_lookup(reqs: DataFrame, defs: DataFrame) -> DataFrame:
     loose = d.groupBy(F.upper("name").alias("name"), "path").agg(F.first("d").alias("d")).select("name", "path", F.lit(0).alias("phase"), "d") \
         .unionByName(k.select(F.upper("name").alias("name"), "path").distinct().select("name", "path", F.lit(1).alias("phase"), none))
     both = exact.withColumn("by_case", F.lit(True)).unionByName(loose.withColumn("by_case", F.lit(False)))
-    seen = asof_last(both, ["by_case", "name"], "path", "phase", "d", "hit", chunk_by=path_ranges(k)).filter("phase = 1")
+    both = both.join(path_order(reqs.select("path").union(d.select("path"))), "path")
+    seen = asof_last(both, ["by_case", "name"], "place", "phase", "d", "hit").filter("phase = 1")
     hits = seen.filter("by_case").select(F.col("name").alias("query_name"), "path", "hit")
     near = seen.filter("not by_case").select(F.col("name").alias("uname"), "path", F.col("hit").isNotNull().alias("ci"))
     out = reqs.join(hits, ["query_name", "path"], "left").withColumn("uname", F.upper("query_name")) \

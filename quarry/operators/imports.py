@@ -2,15 +2,16 @@
 
 Per line, the first of seven patterns that finds a match wins. Lines inside a ``import ( … )`` block
 header/closer pair are handled with a running "inside block" flag: the last header or closer seen
-before the line (``last(ignorenulls)`` per file).
+before the line (a chunked as-of lookup, so one long file spreads over tasks).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.prefix import asof_last
 
 # FIXED VALUES: import patterns in priority order (searched anywhere in the line; '^' anchors).
 IMPORT_PATTERNS = [
@@ -35,9 +36,11 @@ def extract_imports(lines: DataFrame) -> DataFrame:
     stripped = T.strip_ws(txt)  # Python str.strip(): all surrounding whitespace
     header = stripped.startswith("import (")
     closer = stripped == ")"
-    marks = lines.withColumn("__mark", F.when(header, F.lit(1)).when(closer, F.lit(0)))
-    w = Window.partitionBy("path").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    marks = marks.withColumn("__in_block", F.coalesce(F.last("__mark", ignorenulls=True).over(w), F.lit(0)) == 1)
+    mark = F.when(header, F.lit(1)).when(closer, F.lit(0))
+    asked = lines.withColumn("__kind", F.lit(0)).withColumn("__mark", F.lit(None).cast("int"))
+    told = lines.withColumn("__kind", F.lit(1)).withColumn("__mark", mark).filter("__mark is not null")
+    seen = asof_last(asked.unionByName(told), ["path"], "line", "__kind", "__mark", "__last").filter("__kind = 0")
+    marks = seen.withColumn("__in_block", F.coalesce("__last", F.lit(0)) == 1)
     # a header line is skipped; a closer line is skipped only while inside a block
     skip = header | (F.col("__in_block") & closer)
     which = F.coalesce(*[F.when(txt.rlike(p), F.lit(i)) for i, p in enumerate(IMPORT_PATTERNS)])
