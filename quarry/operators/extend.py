@@ -3,8 +3,9 @@
 A handler is a ``DataFrame -> DataFrame`` transform applied to the *root* nodes (direct children of
 the Program) of one pattern key (U1) or of every key matching a regex (U2), before default object
 extraction. Handlers run on Spark like every other operator; their outputs are unioned by name.
-A failing handler is skipped, like the analysed tool which swallows handler errors. Pluggable
-pattern sets (U3) are ``functions.patterns.PatternSet`` values passed to the classifier.
+A failing handler is skipped, like the analysed tool which swallows handler errors, but leaves an
+error row. Pluggable pattern sets (U3) are ``functions.patterns.PatternSet`` values passed to
+``plans.pipeline.Analysis`` or the classifier.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.materialize import stored
+
 Handler = Callable[[DataFrame], DataFrame]
 
 
@@ -30,31 +33,30 @@ class HandlerRegistry:
         re.compile(regex)
         self._by_pattern.append((regex, handler))
 
+    def run(self, nodes: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+        """(union of the handlers' outputs or None, outcomes(handler, n_rows, error)). Every handler is a job of its own
+        whose output is written before it counts, so one that fails, when its plan is made or in a task, leaves the
+        others' rows; its error is a row of the outcomes."""
+        roots = nodes.filter(F.size("chain.names") == 0)
+        asked = [(f"{h.__name__}:{key}", h, F.col("pattern_key") == key) for key, hs in self._by_key.items() for h in hs]
+        # Python re.match semantics: anchored at the start of the key
+        asked += [(f"{h.__name__}:{regex}", h, F.col("pattern_key").rlike("^(?:" + regex + ")")) for regex, h in self._by_pattern]
+        outputs, outcomes = [], []
+        for name, handler, which in asked:
+            try:
+                out = stored(handler(roots.filter(which)), "handler")
+                outcomes.append((name, out.count(), None))
+                outputs.append(out)
+            except Exception as e:  # noqa: BLE001 - a handler's error is a row, as the analysed tool logs it and goes on
+                outcomes.append((name, 0, f"{type(e).__name__}: {e}".split("\n")[0][:500]))
+        union = outputs[0] if outputs else None
+        for o in outputs[1:]:
+            union = union.unionByName(o, allowMissingColumns=True)
+        return union, nodes.sparkSession.createDataFrame(outcomes, "handler string, n_rows long, error string")
+
     def apply(self, nodes: DataFrame) -> DataFrame | None:
         """Run every handler on its root nodes; returns the union of their outputs (or None)."""
-        roots = nodes.filter(F.size("chain.names") == 0)
-        outs = []
-        for key, hs in self._by_key.items():
-            sel = roots.filter(F.col("pattern_key") == key)
-            outs += [_safe(h, sel) for h in hs]
-        for regex, h in self._by_pattern:
-            # Python re.match semantics: anchored at the start of the key
-            sel = roots.filter(F.col("pattern_key").rlike("^(?:" + regex + ")"))
-            outs.append(_safe(h, sel))
-        outs = [o for o in outs if o is not None]
-        if not outs:
-            return None
-        u = outs[0]
-        for o in outs[1:]:
-            u = u.unionByName(o, allowMissingColumns=True)
-        return u
-
-
-def _safe(h: Handler, df: DataFrame) -> DataFrame | None:
-    try:
-        return h(df)
-    except Exception:  # noqa: BLE001 - handler errors are skipped, as in the analysed tool
-        return None
+        return self.run(nodes)[0]
 
 
 def count_by_key(df: DataFrame) -> DataFrame:

@@ -507,9 +507,10 @@ SELECT CAST((SELECT count(*) FROM cfiles WHERE apollo) AS BIGINT) AS n_client_fi
 
 
 def _type_category_values() -> str:
-    from ..sources.catalog import TYPE_CATEGORIES
-    rows = ", ".join(f"('{t}', '{c}')" for t, cats in TYPE_CATEGORIES for c in cats)
-    return f"tc(type, category) AS (VALUES {rows})"
+    from ..sources.catalog import CATEGORY_PARENTS, TYPE_CATEGORIES
+    above = dict(CATEGORY_PARENTS)
+    rows = {(t, x) for t, cats in TYPE_CATEGORIES for c in cats for x in (c, *above.get(c, []))}
+    return "tc(type, category) AS (VALUES " + ", ".join(f"('{t}', '{c}')" for t, c in sorted(rows)) + ")"
 
 
 ORACLE["objects_by_category"] = _with(SCHEMA, CLIENT, _type_category_values()) + """

@@ -18,10 +18,15 @@ from ..functions.patterns import PatternSet
 from ..functions.text import mask_source
 from ..operators import client as C
 from ..operators import link as L
+from ..operators import report as A
 from ..operators import resolve as R
 from ..operators import schema as S
+from ..operators.extend import HandlerRegistry
 from ..sources import corpus as K
-from ..sources.files import file_line_counts, to_lines
+from ..sources.files import file_line_counts, scan_checked, to_lines
+
+#: Extensions of client sources.
+CLIENT_EXTENSIONS = ["js", "jsx", "ts", "tsx"]
 
 
 class Analysis:
@@ -31,25 +36,66 @@ class Analysis:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, *, schema_files: DataFrame | None = None,
                  client_files: DataFrame | None = None, kb: DataFrame | None = None, materialize: bool = True,
-                 strict_case: bool = False, mask_first: bool = False, root_fields_exact: bool = False):
+                 strict_case: bool = False, mask_first: bool = False, root_fields_exact: bool = False,
+                 patterns: PatternSet | None = None, handlers: HandlerRegistry | None = None, errors: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
         self._materialize = materialize
+        self._given: DataFrame | None = None
         # D2 option: case-sensitive patterns; D9 option: mask strings/comments before parsing
-        self.patterns = PatternSet(case_insensitive=not strict_case)
+        self.patterns = patterns or PatternSet(case_insensitive=not strict_case)
+        self.handlers = handlers  # U1, U2
+        self._errors = errors
+        if mask_first and schema_files is None:
+            raise ValueError("mask_first needs schema_files: generated lines are not masked")
         self.root_fields_exact = root_fields_exact  # D14 option: all fields of the outermost selection set
         if schema_files is not None and mask_first:
             schema_files = schema_files.withColumn("content", mask_source(F.col("content")))
-        if schema_files is not None:
-            self._cache["schema_lines"] = to_lines(schema_files)
+        if schema_files is not None:  # split once, whoever reads the lines
             self._cache["schema_files"] = file_line_counts(schema_files)
+            self._given = schema_files
         if client_files is not None:
             self._cache["client_files_all"] = client_files
         if kb is not None:
             self._cache["kb_objects"] = kb
 
+    @classmethod
+    def from_folders(cls, spark: SparkSession, schema_root: str, client_root: str | None = None, kb: DataFrame | None = None,
+                     client_extensions: list[str] | None = None, max_bytes: int = 64 << 20, **options) -> Analysis:
+        """S1-S4 and on: an analysis of the files under these folders. Files that cannot be read, or are too long for a row,
+        are rows of ``errors()``; the others are analysed."""
+        schema, errors = scan_checked(spark, schema_root, max_bytes=max_bytes)
+        client = None
+        if client_root is not None:
+            client, more = scan_checked(spark, client_root, client_extensions or CLIENT_EXTENSIONS, max_bytes)
+            errors = errors.unionByName(more)
+        return cls(spark, schema_files=schema, client_files=client, kb=kb, errors=errors, **options)
+
+    def errors(self) -> DataFrame:
+        """A1: path, stage, error of every file or handler that failed."""
+        none = self.spark.createDataFrame([], "path string, stage string, error string")
+        found = none if self._errors is None else self._errors
+        if self.handlers is not None:
+            failed = self.handler_outcomes().filter("error is not null")
+            found = found.unionByName(failed.select(F.lit(None).cast("string").alias("path"), F.concat(F.lit("handler "), "handler").alias("stage"), "error"))
+        return found
+
+    def _handled(self) -> tuple[DataFrame | None, DataFrame]:
+        return self._get("handled", lambda: self.handlers.run(self.nodes()))
+
+    def handled(self) -> DataFrame | None:
+        """The rows of the handlers that ran."""
+        return self._handled()[0]
+
+    def handler_outcomes(self) -> DataFrame:
+        return self._handled()[1]
+
+    def report_totals(self) -> DataFrame:
+        """A1: files, objects, links and errors."""
+        return A.report_totals(self.schema_input()[1], self.objects(), self.schema_links(), self.errors())
+
     def _cut(self, df: DataFrame, name: str = "stage") -> DataFrame:
         return M.cut(df, name) if self._materialize else M.persist(df)
 
@@ -62,8 +108,9 @@ class Analysis:
     # ---------------------------------------------------------------- inputs
     def schema_input(self) -> tuple[DataFrame, DataFrame]:
         def build():
-            lines, files = K.schema_corpus(self.spark, self.sf_dir)
-            return self._cut(lines.repartition("path"))
+            if self._given is not None:
+                return self._cut(to_lines(self._given), "schema-lines")
+            return self._cut(K.schema_corpus(self.spark, self.sf_dir)[0])
         lines = self._get("schema_lines", build)
         files = self._get("schema_files", lambda: self._cut(K.schema_corpus(self.spark, self.sf_dir)[1]))
         return lines, files

@@ -43,6 +43,13 @@ TYPE_CATEGORIES = [
     ("GraphQLProject", ["UAProject", "GraphQL", "GraphQL_Module"]),
 ]
 
+# FIXED VALUES: category -> inherited categories.
+CATEGORY_PARENTS = [
+    ("GraphQL", ["UniversalLanguage", "CsvLanguage"]),
+    ("GraphQL_Artifacts", ["APM Client Language Artifacts"]),
+    ("GraphQL_Module", ["APM Client Modules"]),
+]
+
 # FIXED VALUES: category -> declared properties.
 CATEGORY_PROPERTIES = [
     ("GraphQL_Client_Definition", ["operationName", "rawQueryText", "variables", "fieldsSelected"]),
@@ -50,9 +57,22 @@ CATEGORY_PROPERTIES = [
 ]
 
 
+def inherited(own: DataFrame, parents: DataFrame) -> DataFrame:
+    """own(type, category) with every category that its categories inherit from parents(category, parent), directly or
+    through others, each once, by a recursive query (categories must not inherit in a circle)."""
+    return own.sparkSession.sql(
+        """WITH RECURSIVE closure(type, category) AS (
+               SELECT type, category FROM {own}
+               UNION ALL
+               SELECT c.type, p.parent FROM closure c JOIN {parents} p ON p.category = c.category)
+           SELECT DISTINCT type, category FROM closure""", own=own, parents=parents)
+
+
 def meta_type_category(spark: SparkSession) -> DataFrame:
+    """Type -> category, those that its categories inherit included."""
     rows = [(t, c) for t, cats in TYPE_CATEGORIES for c in cats]
-    return spark.createDataFrame(rows, "type string, category string")
+    parents = [(c, p) for c, ps in CATEGORY_PARENTS for p in ps]
+    return inherited(spark.createDataFrame(rows, "type string, category string"), spark.createDataFrame(parents, "category string, parent string"))
 
 
 def meta_properties(spark: SparkSession) -> DataFrame:

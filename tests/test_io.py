@@ -1,18 +1,25 @@
 """Sources, sinks and streaming ingestion."""
 
 import os
+import random
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import files_df
 from quarry.functions import materialize as M
 from quarry.functions.text import mask_source
-from quarry.sources.files import filter_extensions, scan_folder, split_lines
+from quarry.functions.patterns import PatternSet
+from quarry.operators.extend import HandlerRegistry, count_by_key
+from quarry.sources.catalog import inherited, meta_type_category
+from quarry.sources.files import filter_extensions, listed, scan_folder, scan_lines, split_lines
 from quarry.sources.sinks import write_links, write_objects
 from quarry.streaming import ingest
 from quarry.plans.pipeline import Analysis
 
+SF = "/root/testdata/sf0.001"
 SCHEMA = "type Query {\n  a(x: In): Int\n}\ninput In {\n  v: Int\n}\n"
 
 
@@ -89,3 +96,78 @@ def test_mask_long_literals(spark):
     got = [r[0] for r in df.select(mask_source(F.col("t"))).collect()]
     assert [g.replace(" ", "") for g in got] == ["ab", "ab", "\nd", "e\nh", "noliteral"]
     assert [len(g) for g in got] == [len(t) for t in texts]
+
+
+def made(files):
+    root = tempfile.mkdtemp(prefix="quarry-files-")
+    for name, data in files.items():
+        os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(data)
+    return root
+
+
+def test_lines_of_files_longer_than_a_block(spark):
+    """Files are read in blocks of a few bytes here, so every form of line end meets a border somewhere."""
+    rng = random.Random(3)
+    ends = ["\n", "\r\n", "\r", "\n\n", "\x0b", "\u2028"]
+    texts = {f"d/f {i}+%.gql": "".join(rng.choice("abé{}") * rng.randrange(12) + rng.choice(ends) for _ in range(300)) + "end" for i in range(3)}
+    root = made({n: t.encode() for n, t in texts.items()} | {"latin.gql": "caf\xe9\nb\x85c\n".encode("latin-1"), "empty.gql": b"", "x.txt": b"no"})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "97"), spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        df = scan_lines(spark, root)
+        got: dict = {}
+        for r in df.collect():
+            got.setdefault(os.path.basename(r["path"]), []).append((r["line"], r["text"]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0]), spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    want = {os.path.basename(n): list(enumerate(t.splitlines(), 1)) for n, t in texts.items()}
+    want["latin.gql"] = [(1, "café"), (2, "b"), (3, "c")]
+    assert {n: sorted(x) for n, x in got.items()} == want
+
+
+def test_bad_files_are_error_rows(spark):
+    schema = SCHEMA.encode()
+    root = made({"a.graphqls": schema, "long.graphqls": b"# " + b"x" * 5000, "bad.graphqls": schema, ".bad.graphqls.crc": b"crc\x00\x00\x00\x02\x00\x01\x02\x03\x04"})
+    web = made({"p.jsx": b'import { useQuery } from "x";\nfunction A() { useQuery(Q) }\n', "q.jsx": b"x" * 5000})
+    a = Analysis.from_folders(spark, root, web, max_bytes=4000, materialize=False)
+    assert sorted((os.path.basename(r["path"]), r["stage"], r["error"]) for r in a.errors().collect()) == [
+        ("bad.graphqls", "scan", "not readable"), ("long.graphqls", "scan", "5002 bytes, more than 4000"), ("q.jsx", "scan", "5000 bytes, more than 4000")]
+    assert a.report_totals().first().asDict() == {"n_files": 1, "n_objects": 5, "n_links": 1, "n_errors": 3}
+    assert [r["parent"].rsplit(".", 1)[1] for r in a.requests().collect()] == ["A"]
+    assert listed(spark, root).count() == 3
+
+
+def test_failing_handlers_leave_the_others(spark):
+    def breaks(df):
+        return df.select(F.raise_error(F.lit("broken handler")).alias("x"))
+
+    def no_plan(df):
+        return df.select("missing")
+
+    reg = HandlerRegistry()
+    reg.register("type_def", count_by_key), reg.register("type_def", breaks), reg.register_pattern("input_.*", no_plan)
+    reg.register_pattern("input", count_by_key)
+    a = Analysis(spark, schema_files=files_df(spark, [("s.graphqls", SCHEMA)]), handlers=reg)
+    assert sorted(tuple(r) for r in a.handled().collect()) == [("input_def", 1), ("type_def", 1)]
+    got = {r["handler"]: (r["n_rows"], r["error"] is not None) for r in a.handler_outcomes().collect()}
+    assert got == {"count_by_key:type_def": (1, False), "breaks:type_def": (0, True), "no_plan:input_.*": (0, True), "count_by_key:input": (1, False)}
+    assert sorted(r["stage"] for r in a.errors().collect()) == ["handler breaks:type_def", "handler no_plan:input_.*"]
+    assert "broken handler" in " ".join(r["error"] or "" for r in a.handler_outcomes().collect())
+
+
+def test_pattern_sets_in_an_analysis(spark):
+    ps = PatternSet(patterns=[("kind_kw", [r"^\s*kind\s+([A-Za-z]+)"])], objects=[("Program", "file", []), ("Kind", "file", ["kind_kw"])])
+    a = Analysis(spark, schema_files=files_df(spark, [("k.src", "kind Box {\n}\ntype T {\n}\n")]), patterns=ps, materialize=False)
+    assert sorted(r["fullname"] for r in a.objects().collect()) == ["k.src", "k.src.Box"]
+    with pytest.raises(ValueError, match="mask_first"):
+        Analysis(spark, SF, mask_first=True)
+
+
+def test_categories_inherit(spark):
+    own = spark.createDataFrame([("T", "a"), ("U", "b")], "type string, category string")
+    parents = spark.createDataFrame([("a", "b"), ("b", "c"), ("b", "d"), ("d", "c")], "category string, parent string")
+    assert sorted(map(tuple, inherited(own, parents).collect())) == [("T", c) for c in "abcd"] + [("U", c) for c in "bcd"]
+    found = {r["category"] for r in meta_type_category(spark).filter("type = 'GraphQLField'").collect()}
+    assert found == {"UAObject", "GraphQL_Artifacts", "APM Client Language Artifacts"}
