@@ -211,7 +211,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["corpus_lines"] = """
 WITH x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t,
                   generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents)
-SELECT doc_id, CAST(line AS BIGINT) AS line, CAST(length(t) AS BIGINT) AS n_chars,
+SELECT doc_id, CAST(line AS BIGINT) AS line, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS digest,
        CAST(length(t) - length(replace(t, '{', '')) AS BIGINT) AS opens,
        CAST(length(t) - length(replace(t, '}', '')) AS BIGINT) AS closes
 FROM x
@@ -225,6 +225,22 @@ SELECT page_id, CAST(line AS BIGINT) AS line,
 FROM y
 """
 
+# ---------------------------------------------------------------- files
+PAGE_FILES = """
+WITH f AS (SELECT page_id % 16 AS bucket, string_agg(coalesce(html, '') || chr(10), '' ORDER BY page_id) AS content FROM pages GROUP BY page_id % 16)
+"""
+ORACLE["scanned_lines"] = PAGE_FILES + r"""
+, x AS (SELECT bucket, string_split_regex(content, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]') AS parts FROM f),
+y AS (SELECT bucket, unnest(parts[:-2]) AS t, generate_subscripts(parts[:-2], 1) AS line FROM x)
+SELECT bucket, CAST(line AS BIGINT) AS line, md5(t) AS digest FROM y
+"""
+ORACLE["scanned_files"] = PAGE_FILES + """
+SELECT bucket, CAST(length(content) AS BIGINT) AS n_chars, md5(content) AS digest FROM f WHERE strlen(content) <= 32768
+"""
+ORACLE["scan_errors"] = PAGE_FILES + """
+SELECT bucket, 'scan' AS stage, printf('%d bytes, more than 32768', strlen(content)) AS error FROM f WHERE strlen(content) > 32768
+"""
+
 # ---------------------------------------------------------------- schema objects
 ORACLE["classify_lines"] = S + """
 SELECT path, CAST(start_line AS BIGINT) AS line,
@@ -246,6 +262,9 @@ ORACLE["object_bookmarks"] = S + """
 SELECT fullname, path AS bm_path, CAST(start_line AS BIGINT) AS bm_line, CAST(1 AS BIGINT) AS bm_col,
        CAST(end_line + 1 AS BIGINT) AS bm_end_line, CAST(1 AS BIGINT) AS bm_end_col FROM obj
 """
+ORACLE["written_objects"] = S + """
+SELECT type, fullname, CAST(start_line AS BIGINT) AS bm_line, CAST(end_line + 1 AS BIGINT) AS bm_end_line FROM obj
+"""
 ORACLE["extend_merge"] = S + """
 SELECT fullname, parent_fullname, CAST(start_line AS BIGINT) AS start_line FROM obj
 WHERE type = 'GraphQLField' AND starts_with(name, 'x') AND parent_fullname LIKE '%.Query'
@@ -454,6 +473,10 @@ ORACLE["component_stack"] = SCB + TRACE + """
 SELECT tr.component, tr.request, tr.definition, tr.field, fm.method FROM tr JOIN top ON top.parent = tr.component
 LEFT JOIN fm ON fm.field = tr.field
 """
+ORACLE["method_stack"] = SCB + TRACE + """
+SELECT tr.component, tr.request, tr.definition, tr.field, fm.method FROM tr JOIN fm ON fm.field = tr.field
+WHERE fm.method = (SELECT min(method) FROM fm WHERE field IN (SELECT field FROM tr))
+"""
 ORACLE["search_objects"] = SC + """
 SELECT fullname, name, operation_name, nullif(fields_selected, '') AS fields_selected FROM cdefs WHERE type = 'GraphQLClientQuery'
 """
@@ -578,6 +601,16 @@ kn AS (SELECT su.s_suppkey AS s, printf('rb/s%07d.rb', su.s_suppkey) AS path, co
        FROM supplier su LEFT JOIN kk ON kk.s = su.s_suppkey GROUP BY su.s_suppkey),
 kdef AS (SELECT kn.path, kn.n, kk.k FROM kk JOIN kn ON kn.s = kk.s)
 """
+ORACLE["handler_outcomes"] = S + """
+SELECT 'count_by_key:type_extend' AS handler, CAST(count(*) > 0 AS BIGINT) AS n_rows, false AS failed FROM sup WHERE s % 2 = 1
+UNION ALL SELECT 'broken:enum_def', CAST(0 AS BIGINT), true
+UNION ALL SELECT 'count_by_key:.*_def', CAST((SELECT count(*) > 0 FROM decl) AS BIGINT) + 2 * CAST(count(*) > 0 AS BIGINT), false FROM sup
+"""
+ORACLE["receiver_objects"] = _with(KWB) + """
+SELECT 'GraphQLKind' AS type, path || printf('.S%d', s) AS fullname, path AS parent_fullname, CAST(1 AS BIGINT) AS start_line, CAST(2 * n + 2 AS BIGINT) AS end_line FROM kn
+UNION ALL SELECT 'GraphQLMethod', kn.path || printf('.R%d.p%d', kk.s, kk.pk), kn.path || printf('.S%d', kk.s), CAST(2 * kk.k AS BIGINT), CAST(2 * kk.k AS BIGINT)
+          FROM kk JOIN kn ON kn.s = kk.s
+"""
 ORACLE["blocks_end_keyword"] = _with(KWB) + """
 SELECT path, CAST(1 AS BIGINT) AS line, CAST(2 * n + 2 AS BIGINT) AS end_line FROM kn
 UNION ALL SELECT path, CAST(2 * k AS BIGINT), CAST(2 * k + 1 AS BIGINT) FROM kdef

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,10 @@ from ..operators import link as L
 from ..operators import resolve as R
 from ..operators import schema as Sch
 from ..sources.corpus import read_table
-from ..sources.files import from_table, to_lines
+from ..functions.patterns import PatternSet
+from ..session import ensure_checkpoint_dir
+from ..sources.files import from_table, scan_checked, scan_lines, to_lines
+from ..sources.sinks import write_objects
 from .pipeline import analysis_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +40,7 @@ def corpus_lines(spark, d):
     docs = from_table(read_table(spark, d, "documents"), "doc_id", "text")
     lines = to_lines(docs)
     return lines.select(F.col("path").cast("bigint").alias("doc_id"), *_big("line"),
-                        F.length("text").cast("bigint").alias("n_chars"),
+                        F.length("text").cast("bigint").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"),
                         T.count_char(F.col("text"), "{").cast("bigint").alias("opens"),
                         T.count_char(F.col("text"), "}").cast("bigint").alias("closes"))
 
@@ -48,6 +52,41 @@ def brace_depth(spark, d):
     return lines.select(F.col("path").cast("bigint").alias("page_id"), *_big("line", "depth"))
 
 
+# ---------------------------------------------------------------- files
+def _page_files(spark, d):
+    """Text files that Spark writes from ``pages``: a file for each remainder of page_id by 16."""
+    def build():
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry/pages-{uuid.uuid4().hex}"
+        pages = read_table(spark, d, "pages").select((F.col("page_id") % 16).alias("bucket"), "page_id", F.coalesce("html", F.lit("")).alias("html"))
+        pages = pages.repartition("bucket").sortWithinPartitions("bucket", "page_id")
+        pages.select("bucket", "html").write.partitionBy("bucket").text(path)
+        return path
+    return analysis_for(spark, d)._get("page_files", build)
+
+
+_BUCKET = F.regexp_extract("path", r"bucket=(\d+)/", 1).cast("bigint").alias("bucket")
+
+
+@query("scanned_lines")
+def scanned_lines(spark, d):
+    """The files' lines, read by blocks."""
+    return scan_lines(spark, _page_files(spark, d), ["txt"]).select(_BUCKET, *_big("line"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("scanned_files")
+def scanned_files(spark, d):
+    """The files as rows; those of more than 32 KiB are errors."""
+    files, _ = scan_checked(spark, _page_files(spark, d), ["TXT"], max_bytes=1 << 15)
+    return files.select(_BUCKET, F.length("content").cast("bigint").alias("n_chars"), F.md5(F.col("content").cast("binary")).alias("digest"))
+
+
+@query("scan_errors")
+def scan_errors(spark, d):
+    """A row per file that could not be a row."""
+    _, errors = scan_checked(spark, _page_files(spark, d), ["txt"], max_bytes=1 << 15)
+    return errors.select(_BUCKET, "stage", "error")
+
+
 # ---------------------------------------------------------------- schema objects
 @query("classify_lines")
 def classify_lines(spark, d):
@@ -71,6 +110,30 @@ def object_bookmarks(spark, d):
         F.col("b.end_col").cast("bigint").alias("bm_end_col"))
 
 
+@query("written_objects")
+def written_objects(spark, d):
+    """The objects as the sink wrote them, a folder for each type, with their bookmarks."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry/objects-{uuid.uuid4().hex}"
+    write_objects(analysis_for(spark, d).objects(), path)
+    o = spark.read.parquet(path)
+    return o.select("type", "fullname", F.col("bookmark.line").cast("bigint").alias("bm_line"), F.col("bookmark.end_line").cast("bigint").alias("bm_end_line"))
+
+
+@query("receiver_objects")
+def receiver_objects(spark, d):
+    """Methods with a receiver, by a pattern set of one's own over the keyword-block corpus in another syntax."""
+    ps = PatternSet(patterns=[("method", [r"^\s*func\s+\((?P<receiver>\*?[A-Za-z0-9]+)\)\s+(?P<n>[A-Za-z0-9]+)"]), ("kind_kw", [r"^\s*kind\s+([A-Za-z0-9]+)"])],
+                    objects=[("Program", "file", []), ("Method", "Kind", ["method"]), ("Kind", "file", ["kind_kw"])])
+    lines, _ = analysis_for(spark, d).keyword_blocks()
+    t = F.col("text")
+    text = F.when(t.startswith("class"), F.concat(F.replace(t, F.lit("class"), F.lit("kind")), F.lit(" {"))).when(t == "end", F.lit("}")) \
+        .when(t.startswith("  def"), F.replace(t, F.lit("def"), F.concat(F.lit("func (*R"), F.regexp_extract("path", r"s0*(\d+)\.rb", 1), F.lit(")")))).otherwise(F.lit(""))
+    lines = lines.withColumn("text", text)
+    n_lines = lines.groupBy("path").agg(F.max("line").cast("int").alias("n_lines"))
+    o = Sch.extract_objects(lines, n_lines, ps)["objects"].filter("type <> 'GraphQLProgram'")
+    return o.select("type", "fullname", "parent_fullname", *_big("start_line", "end_line"))
+
+
 @query("extend_merge")
 def extend_merge(spark, d):
     """Objects merged into an earlier object of the same fullname (they lie outside its block)."""
@@ -378,6 +441,15 @@ def component_stack(spark, d):
     return G.expand_trace(trace, a.field_method_links(), components=seed).drop("request_key", "n_methods")
 
 
+@query("method_stack")
+def method_stack(spark, d):
+    """G8 upwards: every component that reaches the first method that any does."""
+    a = analysis_for(spark, d)
+    trace = G.full_stack_trace(a.requests(), a.definition_field_links(), a.field_method_links())
+    seed = G.trace_methods(trace, a.field_method_links()).agg(F.min("method").alias("method"))
+    return G.expand_trace(trace, a.field_method_links(), methods=seed).drop("request_key", "n_methods")
+
+
 @query("resolver_methods")
 def resolver_methods(spark, d):
     """G5 in full: every method named like a first field and whether it passes for a type of definition."""
@@ -389,7 +461,7 @@ def resolver_methods(spark, d):
 @query("report_totals")
 def report_totals(spark, d):
     a = analysis_for(spark, d)
-    return A.report_totals(a.schema_input()[1], a.objects(), a.schema_links())
+    return a.report_totals()
 
 
 @query("report_by_file")
@@ -491,6 +563,18 @@ def custom_handlers(spark, d):
     return reg.apply(analysis_for(spark, d).nodes()).select("pattern_key", "n_roots")
 
 
+@query("handler_outcomes")
+def handler_outcomes(spark, d):
+    """What became of each handler, one of which fails in its tasks."""
+    def broken(df):
+        return df.select(F.raise_error(F.concat(F.lit("no handler for "), "name")).alias("x"))
+
+    reg = X.HandlerRegistry()
+    reg.register("type_extend", X.count_by_key), reg.register("enum_def", broken), reg.register_pattern(r".*_def", X.count_by_key)
+    _, outcomes = reg.run(analysis_for(spark, d).nodes())
+    return outcomes.select("handler", "n_rows", F.col("error").isNotNull().alias("failed"))
+
+
 # ---------------------------------------------------------------- other block styles
 from ..operators import blocks as B  # noqa: E402
 
