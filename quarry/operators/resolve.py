@@ -12,7 +12,7 @@ Every lookup the analysed tool does by scanning a dict or list is an equi-join h
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -98,19 +98,21 @@ def unresolved_references(resolved: DataFrame) -> DataFrame:
 # requests(req_id, name, context_path, restrict_to_file bool, restrict_to_class string)
 # ----------------------------------------------------------------------------------------------
 
-def _suffix_index(objects: DataFrame) -> DataFrame:
-    """Every suffix of a fullname that follows a '.' or ':' -> (sfx, fullname)."""
-    sfx = F.expr("transform(filter(sequence(1, length(fullname)), i -> substring(fullname, i, 1) IN ('.', ':')), "
-                 "i -> substring(fullname, i + 1))")
-    return objects.select("fullname", F.explode(sfx).alias("sfx")).distinct()
+_PREFIXES = ("transform(filter(sequence(1, length(fullname)), i -> substring(fullname, i, 1) = '.'), "
+             "i -> substring(fullname, 1, i - 1))")
+_SUFFIXES = ("transform(filter(sequence(1, length(fullname)), i -> substring(fullname, i, 1) IN ('.', ':')), "
+             "i -> substring(fullname, i + 1))")
 
 
-def _prefix_index(objects: DataFrame) -> DataFrame:
-    """Every '.'-prefix of a fullname -> (prefix, short_name, fullname): 'fullname starts with X.'
-    becomes the equi-join key X (an object contributes one row per dot, never one per candidate)."""
-    pre = F.expr("transform(filter(sequence(1, length(fullname)), i -> substring(fullname, i, 1) = '.'), "
-                 "i -> substring(fullname, 1, i - 1))")
-    return objects.select(F.col("name").alias("short_name"), "fullname", F.explode(pre).alias("prefix"))
+def _under(objects: DataFrame, by: str, asked: DataFrame) -> DataFrame:
+    """(prefix, by, fullname) of objects(by, fullname) for the pairs of asked(prefix, by): 'fullname starts with
+    X.' as the equality key X, one row per dot of the objects of asked names only."""
+    return objects.join(asked.select(by).distinct(), by, "left_semi").select(by, "fullname", F.explode(F.expr(_PREFIXES)).alias("prefix")) \
+        .join(asked, ["prefix", by], "left_semi")
+
+
+def _last_segment(name: Column) -> Column:
+    return F.regexp_extract(name, r"([^.:]*)$", 1)
 
 
 def generic_resolve(requests: DataFrame, objects: DataFrame) -> DataFrame:
@@ -119,19 +121,26 @@ def generic_resolve(requests: DataFrame, objects: DataFrame) -> DataFrame:
     Rules in order: exact fullname; else, when the short name is known: class-restricted (exactly one
     under the class), file-restricted (exactly one in the file), prefer the file (one -> it, several ->
     none), else exactly one overall; else suffix match ('.name' or ':name') with the same file
-    preference. Every candidate count is an aggregate joined on equality keys.
+    preference. Every candidate count is an aggregate joined on equality keys, and no index holds more
+    than was asked for: objects are reduced to the asked names (for suffixes: to those that end in the
+    last segment of a name whose short name nobody has) before their prefixes or suffixes are made.
     """
     objs = objects.select("name", "fullname")
-    exact = objs.select(F.col("fullname").alias("name")).distinct().withColumn("t_exact", F.col("name"))
-    per_name = objs.groupBy(F.col("name")).agg(F.count("*").alias("n_all"), F.max("fullname").alias("f_any"))
-    pidx = _prefix_index(objects).groupBy("prefix", "short_name").agg(
+    names = requests.select("name").distinct()
+    exact = objs.join(names.withColumnRenamed("name", "fullname"), "fullname", "left_semi").select(F.col("fullname").alias("name")) \
+        .distinct().withColumn("t_exact", F.col("name"))
+    named = objs.join(names, "name", "left_semi")
+    per_name = named.groupBy("name").agg(F.count("*").alias("n_all"), F.max("fullname").alias("f_any"))
+    asked = requests.select(F.col("restrict_to_class").alias("prefix"), "name").unionByName(requests.select(F.col("context_path").alias("prefix"), "name")) \
+        .filter("prefix is not null").distinct()
+    pidx = _under(named, "name", asked).groupBy("prefix", F.col("name").alias("short_name")).agg(
         F.count("*").alias("n_in"), F.max("fullname").alias("f_in"))
-    sfx = _suffix_index(objects)
+    loose = names.join(per_name, "name", "left_anti").withColumn("last", _last_segment(F.col("name")))
+    ends = objs.withColumn("last", _last_segment(F.col("fullname"))).join(loose.select("last").distinct(), "last", "left_semi")
+    sfx = ends.select("fullname", F.explode(F.expr(_SUFFIXES)).alias("sfx")).distinct().join(loose.select(F.col("name").alias("sfx")), "sfx", "left_semi")
     s_all = sfx.groupBy("sfx").agg(F.count("*").alias("s_all"), F.max("fullname").alias("sf_any"))
-    s_pre = sfx.select("sfx", "fullname", F.explode(F.expr(
-        "transform(filter(sequence(1, length(fullname)), i -> substring(fullname, i, 1) = '.'), "
-        "i -> substring(fullname, 1, i - 1))")).alias("prefix")) \
-        .groupBy("sfx", "prefix").agg(F.count("*").alias("s_file"), F.max("fullname").alias("sf_file"))
+    s_pre = _under(sfx, "sfx", asked.withColumnRenamed("name", "sfx")).groupBy("sfx", "prefix").agg(
+        F.count("*").alias("s_file"), F.max("fullname").alias("sf_file"))
     r = requests.join(exact, "name", "left").join(per_name, "name", "left")
     cls = pidx.select(F.col("prefix").alias("restrict_to_class"), F.col("short_name").alias("name"),
                       F.col("n_in").alias("n_class"), F.col("f_in").alias("f_class"))

@@ -99,6 +99,19 @@ def test_generic_resolver_rules(spark):
     assert got[9] == (None, None)
 
 
+def test_resolver_indexes_hold_only_what_is_asked(spark):
+    """Long fullnames that nobody asks for make no prefixes and no suffixes."""
+    many = [("d.gql", f"n{i}", "d.gql." + "a." * 40 + f"n{i}", [i]) for i in range(300)]
+    objs = spark.createDataFrame([("a.gql", "f", "a.gql.S.f", [1]), *many], "path string, name string, fullname string, order_key array<int>")
+    asked = spark.createDataFrame([("a.gql", "f")], "prefix string, name string")
+    assert [tuple(r) for r in R._under(objs.select("name", "fullname"), "name", asked).collect()] == [("a.gql", "f", "a.gql.S.f")]
+    reqs = spark.createDataFrame([(1, "f", "a.gql", False, None), (2, "S.f", None, False, None), (3, "a.n7", "d.gql", False, None), (4, "a.n7", "x", False, None)],
+                                 "req_id long, name string, context_path string, restrict_to_file boolean, restrict_to_class string")
+    got = {r["req_id"]: (r["target"], r["rule"]) for r in R.generic_resolve(reqs, objs).collect()}
+    deep = "d.gql." + "a." * 40 + "n7"
+    assert got == {1: ("a.gql.S.f", "prefer_file"), 2: ("a.gql.S.f", "suffix"), 3: (deep, "suffix"), 4: (deep, "suffix")}
+
+
 def test_entry_and_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
