@@ -79,9 +79,11 @@ def sliced(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
         for batch in slices(batches, limit=SLICE):
-            parts = [t.translate(SPACED).split() for t in texts_of(batch)]
-            sizes = np.array([len(p) for p in parts], np.int64)
-            coded = pa.array([w for p in parts for w in p], pa.binary()).dictionary_encode()
+            lists = pc.ascii_split_whitespace(pa.array([t.translate(SPACED).strip() for t in texts_of(batch)], pa.binary()).view(pa.string()))
+            words = lists.values.view(pa.binary())
+            some = pc.not_equal(pc.binary_length(words), 0)  # an empty text splits into one empty word
+            sizes = np.diff(np.concatenate(([0], np.cumsum(some.to_numpy(zero_copy_only=False))))[lists.offsets.to_numpy()])
+            coded = words.filter(some).dictionary_encode()
             order = pc.array_sort_indices(coded.dictionary).to_numpy()
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order), dtype=np.int32)
