@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import align, grace, langmix, merkle, mixing, nbsvm, packing, sanitise, simhash, topk, toxcnn, wavelet, xent
 from .common import read_table
@@ -27,7 +28,7 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = read_table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vec")
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
     return topk.search(vectors).select("query_id", "rank", "vec_id", "score")
 
 
