@@ -12,7 +12,7 @@ document going to the first stretch that still has room for it. Documents are ta
 misses its quota by less than the smallest document that the boundary bucket left out.
 
 Defined results: a null or empty text has size 0 and takes 0; a null source is a source of its own, last in
-order; repeated rows are separate documents (copies of one row share a bucket); without any words all
+order; repeated rows are separate documents (copies of one row, doc_id and text alike, share a bucket); without any words all
 targets are 0; an empty table gives an empty result; other columns stay, whatever their names.
 """
 
@@ -32,7 +32,7 @@ SHARE = 1.5
 MOST = 2
 SEED = 20
 BUCKET_ROWS = 1000
-MOST_BUCKETS = 4096
+MOST_BUCKETS = 1 << 20
 MOST_PATTERNS = 50_000
 
 
@@ -145,7 +145,8 @@ def mix(docs: DataFrame, sources: Column, weights: tuple = WEIGHTS, share: float
     ship(spark)
     pattern = F.array_sort(F.array_distinct(sources.cast("array<string>")))
     kept = [packed_row(docs).alias("row")] if carry else []
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"), pattern.alias("pattern"), F.monotonically_increasing_id().alias("id"), *kept)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"), pattern.alias("pattern"), F.monotonically_increasing_id().alias("id"),
+                       F.xxhash64("text").alias("mark"), *kept)
     base = base.withColumn("name", F.to_json(F.struct("pattern")))
     base = table(base, "sized", compression="zstd")
 
@@ -169,8 +170,9 @@ def mix(docs: DataFrame, sources: Column, weights: tuple = WEIGHTS, share: float
     shape = "name string, pattern_id int, use int, buckets int, ends array<long>"
     stretch = F.broadcast(spark.createDataFrame(rows, shape))  # at most ``most`` rows a pattern, checked above
 
-    # where each use of each document lies: a seeded number in [0, 1), another for each use
-    spot = F.pmod(F.xxhash64(F.lit(seed), F.col("use"), F.col("doc_id")), F.lit(1 << 40))
+    # where each use of each document lies: a seeded number in [0, 1), another for each use; the text counts too, as
+    # doc_ids may be null or repeat
+    spot = F.pmod(F.xxhash64(F.lit(seed), F.col("use"), F.col("doc_id"), F.col("mark")), F.lit(1 << 40))
     laid = base.drop("row").filter("size > 0").join(stretch, "name").withColumn("spot", spot)
     laid = laid.withColumn("bucket", F.floor(F.col("spot") * F.col("buckets") / F.lit(float(1 << 40))).cast("int")).drop("name", "pattern", "buckets")
     sums = laid.groupBy("pattern_id", "use", "bucket").agg(F.sum("size").alias("words"), F.first("ends").alias("ends"))
