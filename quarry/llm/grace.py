@@ -260,7 +260,7 @@ def deduplicate(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
     content that a task's table may hold before it spills."""
     _, merged = rounds(docs, budget, True)
     kept = merged.filter("wins")
-    # a null text stays null only if the row that stays had one; equal texts make both empty
+    # a null text equals the empty text, and comes back as that
     return kept.select(*[F.col("content").cast("string").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -38,6 +38,9 @@ ROUNDS = 12
 TRAIN_ROWS = 2000
 MOST_LANGUAGES = 500
 CHUNK = 192
+#: Evidence against all learned languages from which a text is held to be in none of them.
+DOUBT = 10.0
+SLACK = 1.0
 
 
 def letters(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +154,13 @@ def proportions(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, n: int,
     return weights
 
 
+def evidence(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, weights: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """How much likelier, as a logarithm, each document's n-grams are under its mixture of languages than under a
+    background in which all n-grams are alike, which is handicapped by ``SLACK`` an n-gram."""
+    mixed = np.log(np.maximum((np.exp(model[bucket]) * weights[doc]).sum(axis=1), 1e-30)) + np.log(BUCKETS) + SLACK
+    return np.bincount(doc, mixed * count, len(weights))
+
+
 def trained(rows: DataFrame, train_rows: int) -> tuple[list[str], np.ndarray]:
     """(labels, log-probabilities) from the columns text and lang."""
     sample = few_of_each(rows, "lang", train_rows, MOST_LANGUAGES).select("lang", "text").repartition("lang", "text")
@@ -180,26 +190,29 @@ def trained(rows: DataFrame, train_rows: int) -> tuple[list[str], np.ndarray]:
 
 
 def detect(docs: DataFrame, labels: list[str], model: np.ndarray, kept: dict[str, Column]) -> DataFrame:
-    """``kept`` columns of every row, lang_pred and score."""
+    """``kept`` columns of every row, lang_pred, score and evidence (see ``evidence``; 0 without letters)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
             for part in (batch.slice(i, CHUNK) for i in range(0, batch.num_rows, CHUNK)):
                 text = part.column("text_")
                 data, starts = letters(text)
-                w = proportions(*counts(data, starts), part.num_rows, model)
+                found = counts(data, starts)
+                w = proportions(*found, part.num_rows, model)
                 best = w.argmax(axis=1)
                 score = w[np.arange(len(best)), best].astype(float)
                 known = has_letter(text, data, starts) & bool(labels)
                 none = known & (score == 0)  # letters, but fewer than an n-gram: the languages are alike
                 names = [labels[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())]
                 score = np.where(known, np.where(none, 1 / max(1, len(labels)), np.minimum(score, 1.0)), 0.0)
-                columns = [part.column(c) for c in part.schema.names if c != "text_"]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score)], [*[c for c in part.schema.names if c != "text_"], "lang_pred", "score"])
+                shown = np.where(known, evidence(*found, w, model), 0.0)
+                own = [c for c in part.schema.names if c != "text_"]
+                columns = [*(part.column(c) for c in own), pa.array(names, pa.string()), pa.array(score), pa.array(shown)]
+                yield pa.RecordBatch.from_arrays(columns, [*own, "lang_pred", "score", "evidence"])
 
     source = docs.select(*[c.alias(k) for k, c in kept.items()], F.col("text").alias("text_"))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "text_")
-    return map_batches(source, run, f"{shape}, lang_pred string, score double")
+    return map_batches(source, run, f"{shape}, lang_pred string, score double, evidence double")
 
 
 def held_out() -> Column:
@@ -213,9 +226,11 @@ def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     return detect(docs, labels, model, {"doc_id": F.col("doc_id").cast("long"), "held_out": held_out()})
 
 
-def recognised(docs: DataFrame, least: float = 1 / 3, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows with a language that makes up at least ``least`` of the text, all columns kept."""
+def recognised(docs: DataFrame, doubt: float = DOUBT, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows whose text reads like the learned languages, one or several, all columns kept. Texts without letters
+    go, and texts whose n-grams a background in which all are alike explains better by ``doubt`` (a logarithm) than the best
+    mixture of languages: other languages and noise. A few letters are no such evidence."""
     labels, model = trained(docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text"), train_rows)
     seen = detect(docs, labels, model, {"row": packed_row(docs)})
-    kept = seen.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    kept = seen.filter((F.col("lang_pred") != UNKNOWN) & (F.col("evidence") >= -doubt))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

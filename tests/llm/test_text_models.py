@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from itertools import combinations
 from zlib import crc32
 
 import numpy as np
@@ -41,6 +42,47 @@ def test_language_mixture_proportions(docs):
     assert got[2]["lang_pred"] == "de" and got[2]["score"] > 0.95
 
 
+def test_other_languages_and_noise_go_and_mixtures_stay(docs):
+    """The rule of the pipeline: likelihood against a background, not the share of the first language."""
+    langs = [r[0] for r in docs.filter("lang is not null").select("lang").distinct().orderBy("lang").collect()]
+    parts = [docs.filter((F.col("lang") == x) & (F.length("text") > 600)).orderBy("doc_id").first()["text"][:500] for x in langs]
+    known = [(100_001, "\n".join(parts)), (100_002, parts[0]), (100_003, "of"), (100_004, parts[1][:60])]
+    strange = [(200_001, "Привет мир, это русский текст о погоде и о море"), (200_002, "これは日本語の文章です。天気について書きます。"),
+               (200_003, "qxzv wkjq zzxq vvkw jjqx qzxw kkvj xqzz wvkq zqxj"), (200_004, "4711 // 0815"), (200_005, None)]
+    rows = docs.sparkSession.createDataFrame([(i, t, None, "x", 0) for i, t in known + strange], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in langmix.recognised(docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(rows)).select("doc_id").collect()}
+    assert {i for i, _ in known} <= kept and not {i for i, _ in strange} & kept
+    letters = docs.filter("text rlike '[A-Za-z]'")
+    assert len(kept) - len(known) >= 0.999 * letters.count()
+
+
+def test_language_sets_by_brute_force():
+    """The set that EM and pruning choose: none that costs a penalty less explains a short bag of n-grams better."""
+    rng = np.random.default_rng(8)
+    model = np.log(rng.dirichlet(np.full(langmix.BUCKETS, 0.02), 3).T + 1e-9).astype(np.float32)
+    for share in ([1, 0, 0], [0.5, 0.5, 0], [0.4, 0.3, 0.3], [0.8, 0.2, 0]):
+        buckets = np.concatenate([rng.choice(langmix.BUCKETS, int(600 * x), p=np.exp(model[:, k].astype(float)) / np.exp(model[:, k].astype(float)).sum()) for k, x in enumerate(share) if x])
+        at, count = np.unique(buckets, return_counts=True)
+        got = langmix.proportions(np.zeros(len(at), np.int64), at, count.astype(np.float32), 1, model)[0]
+
+        def likelihood(weights):
+            return float((np.log((np.exp(model[at].astype(float)) * weights).sum(axis=1)) * count).sum())
+
+        def fitted(members):
+            w = np.zeros(3)
+            w[list(members)] = 1 / len(members)
+            for _ in range(300):
+                joint = np.exp(model[at].astype(float)) * w
+                w = (joint / joint.sum(axis=1, keepdims=True) * count[:, None]).sum(axis=0) / count.sum()
+            return w
+
+        sets = [m for n in (1, 2, 3) for m in combinations(range(3), n)]
+        cost = langmix.PENALTY * np.log(count.sum())
+        best = max(sets, key=lambda m: likelihood(fitted(m)) - cost * len(m))
+        assert tuple(np.flatnonzero(got > 0)) == best, share
+        assert np.allclose(got, fitted(best), atol=0.05)
+
+
 def test_language_of_odd_texts(edge, nothing):
     got = langmix.identify(edge)
     assert ids(got) == ALL_IDS
