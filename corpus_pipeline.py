@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without a language that makes up a third of them, go."""
+    """Documents without letters, or that a background explains better than the learned languages, go."""
     return langmix.recognised(docs)
 
 
