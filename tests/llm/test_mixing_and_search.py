@@ -2,16 +2,21 @@
 
 import math
 import random
+import re
+from collections import Counter
+from zlib import crc32
 
 import duckdb
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
-from quarry.llm import mixing, topk
+from quarry.llm import mixing, packing, topk
 from quarry.llm.oracle import ORACLE
 from quarry.llm.queries import QUERIES
+from quarry.llm.tokens import tokenizer_path
 
-from .conftest import ALL_IDS, ROWS, ids
+from .conftest import ALL_IDS, CLASH, ids
 
 SF = "/root/testdata/sf0.001"
 
@@ -126,8 +131,35 @@ def test_queries_against_sql(spark, name):
     assert sorted(map(tuple, got)) == sorted(want.fetchall())
 
 
-def test_ten_queries():
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11))
+def test_thirteen_queries():
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14))
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, edge, tmp_path_factory):
+    """Tables of odd rows in which every column that an operator might call its own is there already."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    edge.write.parquet(f"{folder}/documents.parquet")
+    extra = ", ".join(f"cast(null as {x.split()[1]}) as {x.split()[0]}" for x in (*CLASH.split(", "), "vec array<float>", "query_id long", "rank int", "tile int", "shard int", "slice long"))
+    vectors = [(i, [float(i % 7), 1.5]) for i in range(205)] + [(300, None), (301, []), (302, [float("nan"), 1.0]), (None, [1.0, 2.0])]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").selectExpr("*", *extra.split(", ")).write.parquet(f"{folder}/embeddings.parquet")
+    labels = spark.createDataFrame([(4, 1, 1), (4, 0, 0), (7, 1, 0), (10, 1, None), (6, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    labels.selectExpr("*", *[x for x in extra.split(", ") if x.split(" as ")[-1] not in ("score",)]).write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", [*QUERIES, "pipeline"])
+def test_registered_queries_on_clashing_columns(spark, odd_tables, name):
+    import corpus_pipeline as c
+
+    df = {**QUERIES, "pipeline": c.run}[name](spark, odd_tables)
+    rows = df.collect()
+    if name == "op5_exact_topk":
+        assert [tuple(r) for r in sorted(rows)] == brute([(i, [float(i % 7), 1.5]) for i in range(205)])
+    elif name in ("pipeline", "op9_best_fit_packing"):
+        assert {r["doc_id"] for r in rows} <= set(ALL_IDS)
+    else:
+        assert ids(df) == ALL_IDS
 
 
 def test_pipeline_against_brute_force(spark):
@@ -157,6 +189,28 @@ def test_pipeline_against_brute_force(spark):
                 del left[x]
     assert set(seen[2]) == set(left)
     assert set(seen[3]) <= set(seen[2])
+    # mixing: of each source as many words as its target asks, a document at most twice
+    mixed = Counter(r["doc_id"] for r in kept.select("doc_id").collect())
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    source = {r["doc_id"]: r["source"] for r in docs.collect()}
+    sizes = {s: sum(words(seen[2][d]) for d in seen[2] if source[d] == s) for s in {source[d] for d in seen[2]}}
+    goal, largest = mixing.targets(sizes), max(map(words, seen[2].values()))
+    assert max(mixed.values()) <= 2
+    for s in sizes:
+        assert abs(sum(words(seen[2][d]) * n for d, n in mixed.items() if source[d] == s) - goal[s]) <= largest
+    # packing: the pieces are the library's ids, cut from the end, and fill their sequences without gaps
+    tokenizer = Tokenizer.from_file(tokenizer_path(packing.TOKENIZER))
+    want: Counter = Counter()
+    for d, n in mixed.items():
+        all_ids = np.array([*tokenizer.encode(texts[d], add_special_tokens=False).ids, 2], "<u4")
+        cuts = [0, *range(len(all_ids) % 1024 or 1024, len(all_ids) + 1, 1024)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[d, i, a, b - a, crc32(all_ids[a:b].tobytes())] += n
     packed = c.run(spark, SF).collect()
-    assert {r["doc_id"] for r in packed} == set(seen[3]) and max(r["offset"] + r["length"] for r in packed) <= 1024
-    assert ROWS
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in packed) == want
+    places: dict = {}
+    for r in packed:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for found in places.values():
+        found.sort()
+        assert [o for o, _ in found] == [sum(n for _, n in found[:i]) for i in range(len(found))] and sum(n for _, n in found) <= 1024

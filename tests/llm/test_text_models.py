@@ -9,6 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from quarry.llm import langmix, sanitise, toxcnn, xent
@@ -123,6 +124,37 @@ def test_toxicity_held_out(spark, docs):
 
 
 def test_toxicity_gradients_match_differences():
+    """Every kind of weight against the change of the loss when it is moved a little."""
+    rng = np.random.default_rng(4)
+    net, words = toxcnn.Net(), toxcnn.Words()
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    net.p["v"] += 0.2
+    net.p["e"][1:] *= 8
+    for w in toxcnn.WIDTHS:  # away from 0, where the loss has a kink
+        net.p[f"b{w}"] += 0.05
+    docs = [words.sequence([" ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 6)).encode()])[0] for _ in range(4)]
+    slots, label = np.array(words.slots, np.int64), np.array([1, 0, 1, 0])
+
+    def loss():
+        z = np.array([net.logits(net.p["e"][slots[d]].sum(axis=1), np.array([0]))[0] for d in docs])
+        return float(np.mean(np.log1p(np.exp(-z * (2 * label - 1)))))
+
+    grad, touched, push = net.gradients(docs, slots, label)
+    whole = {**grad, "e": np.zeros_like(net.p["e"])}
+    whole["e"][touched] = push
+    for k, g in whole.items():
+        moved = [i for i in zip(*np.nonzero(np.abs(g) > 1e-4))][:: max(1, int((np.abs(g) > 1e-4).sum()) // 12)]
+        assert moved or k == "c"
+        for i in moved:
+            before = net.p[k][i]
+            net.p[k][i] = before + 1e-5
+            up = loss()
+            net.p[k][i] = before - 1e-5
+            assert abs((up - loss()) / 2e-5 - g[i]) < 1e-3 * max(1, abs(g[i])), (k, i)
+            net.p[k][i] = before
+
+
+def test_toxicity_pools_each_text_alone():
     rng = np.random.default_rng(2)
     net, x = toxcnn.Net(), rng.normal(size=(9, toxcnn.DIM)).astype(np.float32)
     want = [max(float((x[i : i + w].reshape(-1) @ net.p[f"k{w}"].reshape(-1, toxcnn.FILTERS))[f]) for i in range(10 - w)) for w in toxcnn.WIDTHS for f in range(toxcnn.FILTERS)]
@@ -236,6 +268,30 @@ def test_disclosing_terms(spark):
     assert "zorblat" not in clean[0] and "<EMAIL>" in clean[0] and clean[10] == rows[10][1]
 
 
+def test_disclosure_against_a_recount(docs):
+    """PMI of every (entity, term) from its own sets of documents."""
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()][:400] + [(9001, None), (9002, "")]
+    df = docs.sparkSession.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sanitise.scan(df, False)
+    pairs = found.filter("size(pairs) > 0").select("part", "pos", "digest", F.explode("pairs").alias("p")).select("part", "pos", "digest", "p.*")
+    got = {(r["entity"], r["term"]): r["kind"] for r in sanitise.disclosing(df, pairs, 0.5, 0.6, 0.8).collect()}
+    together, holders, has = {}, {}, Counter()
+    for doc_id, text in rows:
+        has.update(set(regex.findall(sanitise.TERM, (text or "").lower())))
+        for e, t, _ in sanitise.neighbours(text, sanitise.base_spans(text)) if text and sanitise.base_spans(text) else []:
+            together.setdefault((e, t), []).append((doc_id, text))
+            holders.setdefault(e, set()).add(doc_id)
+    want = {}
+    for (e, t), where in together.items():
+        n_e, texts = len(holders[e]), len({x for _, x in where})
+        mutual = math.log(len(where) * (1 - 0.5 / texts) * len(rows) / (n_e * has[t])) if has[t] else -1
+        share = mutual / -math.log(n_e / len(rows)) if n_e < len(rows) else 0
+        if share >= 0.6:
+            want[e, t] = 5 if share >= 0.8 else 4
+    assert len(want) > 20 and set(want.values()) == {4, 5}
+    assert got == want
+
+
 def test_disclosing_terms_of_the_given_documents(docs):
     """Entities of one text have disclosing terms: rare words near them, never words that many documents hold."""
     texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
