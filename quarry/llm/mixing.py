@@ -1,7 +1,8 @@
 """Mixing overlapping sources to target weights by min-cost flow (operator 4).
 
 A document belongs to one or more sources. Documents with the same set of sources form a pattern; only the
-patterns' totals reach the driver (their number is checked). There a min-cost flow routes words from
+patterns' totals reach the driver, at most ``MOST_PATTERNS``: beyond that, sources must not overlap, and targets and
+stretches are made as tables, with the same result. On the driver a min-cost flow routes words from
 patterns to source quotas. Using a document once costs 1 a word and using it a second time costs 3 more, so
 nothing repeats while fresh words can fill a quota.
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checked, packed_row, ship, table, word_count
+from .merkle import numbered
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -138,20 +140,43 @@ def min_cost_flow(patterns: list[tuple[tuple, int]], quotas: dict, most: int = M
     return flow
 
 
-def mix(docs: DataFrame, sources: Column, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, carry: bool = True) -> tuple[DataFrame, dict, dict]:
-    """(documents as id, doc_id, pattern, size, taken, uses and, with ``carry``, the struct ``row``; words
-    per source; target per source). ``sources``: the array of a document's sources."""
-    spark = docs.sparkSession
-    ship(spark)
-    pattern = F.array_sort(F.array_distinct(sources.cast("array<string>")))
-    kept = [packed_row(docs).alias("row")] if carry else []
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"), pattern.alias("pattern"), F.monotonically_increasing_id().alias("id"),
-                       F.xxhash64("text").alias("mark"), *kept)
-    base = base.withColumn("name", F.to_json(F.struct("pattern")))
-    base = table(base, "sized", compression="zstd")
+def many_targets(sources: DataFrame, weights: tuple, share: float, most: int) -> DataFrame:
+    """``targets`` for any number of sources: sources(source, size) with target. Sources are ranked by ranges; a round
+    adds up the open ones' weights and closes those whose share exceeds their limit, until none does."""
+    rows = numbered(sources.select(F.lit("").alias("key"), F.col("source").isNull().alias("last"), "source", "size"), ["last", "source"])
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("pos") % len(weights) + 1).cast("int"))
+    rows = table(rows.select("source", "size", "pos", weight.alias("weight"), F.lit(None).cast("double").alias("target")), "sources")
+    while True:
+        sums = rows.agg(F.sum("size").alias("all"), F.sum("target").alias("given"), F.sum(F.when(F.col("target").isNull(), F.col("weight"))).alias("open")).first()
+        scale = max(0.0, share * sums["all"] - (sums["given"] or 0.0)) / sums["open"] if sums["open"] else 0.0
+        own = F.col("weight") * F.lit(scale)
+        over = F.col("target").isNull() & (own > most * F.col("size"))
+        if not rows.filter(over).limit(1).count():
+            return rows.withColumn("target", F.coalesce("target", own))
+        rows = table(rows.withColumn("target", F.when(over, most * F.col("size").cast("double")).otherwise(F.col("target"))), "sources")
 
-    totals = base.groupBy("name").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size"), F.count("*").alias("rows")).limit(MOST_PATTERNS + 1).collect()
-    totals = sorted(checked(totals, MOST_PATTERNS, "patterns of sources"), key=lambda r: r["name"])
+
+def stretches_of(base: DataFrame, weights: tuple, share: float, most: int) -> tuple[DataFrame, DataFrame]:
+    """(name, pattern_id, use, buckets, ends: where the words of a pattern's use go; source, source_size, target)."""
+    spark = base.sparkSession
+    patterns = base.groupBy("name").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size"), F.count("*").alias("rows"))
+    totals = patterns.limit(MOST_PATTERNS + 1).collect()
+    shape = "name string, pattern_id long, use int, buckets int, ends array<long>"
+    if len(totals) > MOST_PATTERNS:
+        patterns = table(patterns, "patterns")
+        overlapping = patterns.filter(F.size("pattern") > 1).limit(1).count()
+        checked(totals if overlapping else [], MOST_PATTERNS, "patterns of overlapping sources")
+        # sources of their own do not compete: each takes its words once, then again, which is the flow's answer
+        goal = many_targets(patterns.select(F.element_at("pattern", 1).alias("source"), "size"), weights, share, most)
+        named = goal.select(F.to_json(F.struct(F.array("source").alias("pattern"))).alias("name"), "source", "pos", "target")
+        quota, size = F.round("target").cast("long"), F.col("size")
+        words = F.explode(F.array(*[F.struct(F.lit(k).alias("use"), F.least(size, F.greatest(quota - k * size, F.lit(0))).alias("words")) for k in range(most)])).alias("x")
+        buckets = F.least(F.greatest(F.floor(F.col("rows") / BUCKET_ROWS), F.lit(1)), F.lit(MOST_BUCKETS)).cast("int")
+        laid = patterns.join(named, "name").select("name", F.col("pos").alias("pattern_id"), buckets.alias("buckets"), words).filter("x.words > 0")
+        found = laid.select("name", "pattern_id", F.col("x.use").alias("use"), "buckets", F.array("x.words").alias("ends"))
+        return found, goal.select("source", F.col("size").alias("source_size"), "target")
+
+    totals = sorted(totals, key=lambda r: r["name"])
     sizes: dict = defaultdict(int)
     for r in totals:
         for s in r["pattern"]:
@@ -167,8 +192,22 @@ def mix(docs: DataFrame, sources: Column, weights: tuple = WEIGHTS, share: float
         ends = np.cumsum([w for _, w in found]).tolist()
         buckets = int(min(max(totals[i]["rows"] // BUCKET_ROWS, 1), MOST_BUCKETS))
         rows.append((totals[i]["name"], i, k, buckets, ends))
-    shape = "name string, pattern_id int, use int, buckets int, ends array<long>"
-    stretch = F.broadcast(spark.createDataFrame(rows, shape))  # at most ``most`` rows a pattern, checked above
+    by_source = spark.createDataFrame([(s, sizes[s], goal[s]) for s in sizes], "source string, source_size long, target double")
+    return F.broadcast(spark.createDataFrame(rows, shape)), F.broadcast(by_source)  # at most ``most`` rows a pattern, checked above
+
+
+def planned(docs: DataFrame, sources: Column, weights: tuple = WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, carry: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(documents as id, doc_id, pattern, size, taken, uses and, with ``carry``, the struct ``row``; source, source_size and
+    target of each source). ``sources``: the array of a document's sources."""
+    spark = docs.sparkSession
+    ship(spark)
+    pattern = F.array_sort(F.array_distinct(sources.cast("array<string>")))
+    kept = [packed_row(docs).alias("row")] if carry else []
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"), pattern.alias("pattern"), F.monotonically_increasing_id().alias("id"),
+                       F.xxhash64("text").alias("mark"), *kept)
+    base = base.withColumn("name", F.to_json(F.struct("pattern")))
+    base = table(base, "sized", compression="zstd")
+    stretch, by_source = stretches_of(base, weights, share, most)
 
     # where each use of each document lies: a seeded number in [0, 1), another for each use; the text counts too, as
     # doc_ids may be null or repeat
@@ -202,14 +241,19 @@ def mix(docs: DataFrame, sources: Column, weights: tuple = WEIGHTS, share: float
     chosen = placed.filter("whole").select("id", "use", "stretch").union(crossed.groupBy("pattern_id", "use", "bucket").applyInArrow(cross, "id long, use int, stretch int"))
     counted = chosen.groupBy("id").agg(F.count("*").alias("uses"))
     mixed = base.join(counted, "id", "left").withColumn("uses", F.coalesce("uses", F.lit(0))).withColumn("taken", F.col("size") * F.col("uses"))
-    return mixed, dict(sizes), goal
+    return mixed, by_source
+
+
+def mix(docs: DataFrame, sources: Column, **options) -> tuple[DataFrame, dict, dict]:
+    """``planned`` with the words and the target per source as dictionaries, for few sources."""
+    mixed, by_source = planned(docs, sources, **options)
+    found = checked(by_source.limit(MOST_PATTERNS + 1).collect(), MOST_PATTERNS, "sources")
+    return mixed, {r["source"]: r["source_size"] for r in found}, {r["source"]: r["target"] for r in found}
 
 
 def mixture_report(docs: DataFrame, **options) -> DataFrame:
     """One row per document of single sources: doc_id, size, source_size, target, taken."""
-    mixed, sizes, goal = mix(docs, F.array("source"), carry=False, **options)
-    rows = [(s, sizes[s], goal[s]) for s in sizes]
-    by_source = F.broadcast(docs.sparkSession.createDataFrame(rows, "source string, source_size long, target double"))  # checked number
+    mixed, by_source = planned(docs, F.array("source"), carry=False, **options)
     mixed = mixed.withColumn("source", F.element_at("pattern", 1))
     joined = mixed.alias("m").join(by_source.alias("s"), F.expr("m.source <=> s.source"))
     return joined.select("doc_id", "size", "source_size", "target", "taken")
@@ -217,6 +261,6 @@ def mixture_report(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix, all columns kept; a document used twice comes twice."""
-    mixed, _, _ = mix(docs, F.array("source"), **options)
+    mixed, _ = planned(docs, F.array("source"), **options)
     again = mixed.filter("uses > 0").withColumn("use", F.explode(F.sequence(F.lit(1), F.col("uses").cast("int"))))
     return again.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -77,6 +77,22 @@ def test_mixture_report(spark, edge, nothing):
     assert mixing.mixture_report(nothing).count() == 0 == mixing.mixed_rows(nothing).count()
 
 
+def test_more_sources_than_the_driver_takes(spark, monkeypatch):
+    """The tables beyond the limit say what the flow says below it."""
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randint(0, 40), rng.choice([None, "x", *(f"s{k}" for k in range(30))] + ["big"] * 30)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    shape = lambda df: sorted((r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"]) for r in df.collect())
+    want = shape(mixing.mixture_report(docs))
+    monkeypatch.setattr(mixing, "MOST_PATTERNS", 5)
+    got = shape(mixing.mixture_report(docs))
+    assert [r[:4] for r in got] == [r[:4] for r in want]
+    assert sum(a != b for a, b in zip(got, want)) <= 2 * 32  # a quota of half a word may round either way
+    both = spark.createDataFrame([(i, "a b", [f"s{i}", "t"]) for i in range(9)], "doc_id long, text string, names array<string>")
+    with pytest.raises(ValueError, match="overlapping"):
+        mixing.planned(both, both["names"])
+
+
 def test_overlapping_sources(spark):
     rows = [(i, "w " * 10, ["a", "b"] if i % 2 else ["a"]) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, names array<string>")
