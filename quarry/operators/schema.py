@@ -267,3 +267,18 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
 
 def objects_of(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS) -> DataFrame:
     return extract_objects(lines, files_n_lines, ps)["objects"]
+
+
+def subtree_sizes(objects: DataFrame) -> DataFrame:
+    """(fullname, type, n_children, n_descendants). The walk is a join on the names of ancestors: a '.'-prefix of
+    a fullname that is an object of the file."""
+    kids = objects.filter(F.col("parent_fullname").isNotNull()).groupBy(F.col("parent_fullname").alias("fullname")) \
+        .agg(F.count("*").alias("n_children"))
+    pre = F.expr("transform(filter(sequence(1, length(fullname)), i -> substring(fullname, i, 1) = '.'), "
+                 "i -> substring(fullname, 1, i - 1))")
+    above = objects.select("path", F.explode(pre).alias("anc"))
+    desc = above.join(objects.select("path", F.col("fullname").alias("anc")), ["path", "anc"], "left_semi") \
+        .groupBy(F.col("anc").alias("fullname")).agg(F.count("*").alias("n_descendants"))
+    out = objects.select("fullname", "type").join(kids, "fullname", "left").join(desc, "fullname", "left")
+    return out.select("fullname", "type", F.coalesce("n_children", F.lit(0)).cast("bigint").alias("n_children"),
+                      F.coalesce("n_descendants", F.lit(0)).cast("bigint").alias("n_descendants"))

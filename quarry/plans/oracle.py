@@ -254,6 +254,29 @@ FROM obj WHERE type <> 'GraphQLProgram'
 UNION ALL
 SELECT path, CAST(e + 4 AS BIGINT), 'type_extend', 'Type', 'Query' FROM sup WHERE s % 2 = 1
 """
+def _forms() -> str:
+    from ..functions.patterns import OBJECTS
+    from ..sources.corpus import FORMS
+    types = {k: t for t, _, keys in OBJECTS for k in keys}
+    said = lambda x: "NULL" if x is None else f"'{x}'"
+    return ", ".join(f"({i}, {said(k)}, {said(types.get(k))}, {said(n)})" for i, (_, k, n) in enumerate(FORMS))
+
+
+ORACLE["classify_catalogue"] = f"""
+WITH forms(i, pattern_key, obj_type, name) AS (VALUES {_forms()})
+SELECT p_partkey AS pk, pattern_key, obj_type, replace(name, '%d', p_partkey::VARCHAR) AS name
+FROM part JOIN forms ON i = p_partkey % (SELECT count(*) FROM forms)
+"""
+ORACLE["nested_objects"] = """
+WITH f AS (SELECT s_suppkey AS s, s_suppkey % 6 + 1 AS n, printf('deep/s%07d.graphqls', s_suppkey) AS path FROM supplier),
+t AS (SELECT *, unnest(range(1, n + 1)) AS k FROM f),
+c AS (SELECT *, array_to_string([printf('N%d', i) for i in range(1, k + 1)], '.') AS chain, array_to_string(range(1, k + 1), '/') AS lines FROM t)
+SELECT 'GraphQLType' AS type, path || '.' || chain AS fullname, CASE WHEN k = 1 THEN path ELSE path || '.' || left(chain, length(chain) - length(printf('.N%d', k))) END AS parent_fullname,
+       k::BIGINT AS start_line, (n + 2 + 2 * (n - k))::BIGINT AS end_line, lines AS order_key FROM c
+UNION ALL SELECT 'GraphQLField', path || '.' || chain || printf('.f%d', s), path || '.' || chain, n + 1, n + 1, lines || '/' || (n + 1) FROM c WHERE k = n
+UNION ALL SELECT 'GraphQLField', path || '.' || chain || printf('.g%d', k), path || '.' || chain, n + 1 + 2 * (n - k), n + 1 + 2 * (n - k),
+          lines || '/' || (n + 1 + 2 * (n - k)) FROM c WHERE k < n
+"""
 ORACLE["schema_objects"] = S + """
 SELECT path, type, name, fullname, parent_fullname, CAST(start_line AS BIGINT) AS start_line,
        CAST(end_line AS BIGINT) AS end_line, guid FROM obj

@@ -13,7 +13,8 @@ from ..operators import client as C
 from ..operators import link as L
 from ..operators import resolve as R
 from ..operators import schema as Sch
-from ..sources.corpus import read_table
+from ..functions.materialize import stored
+from ..sources.corpus import catalogue_corpus, nested_corpus, read_table
 from ..functions.patterns import PatternSet
 from ..session import ensure_checkpoint_dir
 from ..sources.files import from_table, scan_checked, scan_lines, to_lines
@@ -94,6 +95,21 @@ def classify_lines(spark, d):
     return n.select("path", *_big("line"), "pattern_key", "obj_type", "name")
 
 
+@query("classify_catalogue")
+def classify_catalogue(spark, d):
+    """X1-X3 over a line of every form that the catalogue knows."""
+    n = Sch.classify(catalogue_corpus(spark, d))
+    return n.select(F.col("pk").cast("bigint").alias("pk"), "pattern_key", "obj_type", "name")
+
+
+@query("nested_objects")
+def nested_objects(spark, d):
+    """Objects of blocks inside blocks."""
+    lines = stored(nested_corpus(spark, d), "nested-lines")
+    o = Sch.extract_objects(lines, lines.groupBy("path").agg(F.max("line").alias("n_lines")))["objects"].filter("type <> 'GraphQLProgram'")
+    return o.select("type", "fullname", "parent_fullname", *_big("start_line", "end_line"), F.array_join(F.col("order_key").cast("array<string>"), "/").alias("order_key"))
+
+
 @query("schema_objects")
 def schema_objects(spark, d):
     o = analysis_for(spark, d).objects()
@@ -149,17 +165,7 @@ def extend_merge(spark, d):
 @query("subtree_sizes")
 def subtree_sizes(spark, d):
     """Direct children and all descendants of every object (ancestors by '.'-prefix)."""
-    o = analysis_for(spark, d).objects()
-    kids = o.filter(F.col("parent_fullname").isNotNull()).groupBy(F.col("parent_fullname").alias("fullname")) \
-        .agg(F.count("*").alias("n_children"))
-    pre = F.expr("transform(filter(sequence(1, length(fullname)), i -> substring(fullname, i, 1) = '.'), "
-                 "i -> substring(fullname, 1, i - 1))")
-    anc = o.select("path", F.explode(pre).alias("anc"))
-    desc = anc.join(o.select("path", F.col("fullname").alias("anc")), ["path", "anc"], "left_semi") \
-        .groupBy(F.col("anc").alias("fullname")).agg(F.count("*").alias("n_descendants"))
-    out = o.select("fullname", "type").join(kids, "fullname", "left").join(desc, "fullname", "left")
-    return out.select("fullname", "type", F.coalesce("n_children", F.lit(0)).cast("bigint").alias("n_children"),
-                      F.coalesce("n_descendants", F.lit(0)).cast("bigint").alias("n_descendants"))
+    return Sch.subtree_sizes(analysis_for(spark, d).objects())
 
 
 # ---------------------------------------------------------------- references and links

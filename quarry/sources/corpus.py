@@ -345,3 +345,58 @@ def keyword_block_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((2 * F.col("k")).cast("long").alias("line"), F.format_string("  def p%d", F.col("pk")).alias("text")),
         F.struct((2 * F.col("k") + 1).cast("long").alias("line"), F.lit("  end").alias("text")))).alias("x")).select("path", "x.*")
     return frame.unionByName(body).withColumn("line", F.col("line").cast("int"))
+
+
+# ----------------------------------------------------------------------------------------------
+# Catalogue corpus — one line per part, the form of its number modulo the number of forms
+# (text, pattern key or none, name or none; %d is the part's number). Expected keys are by hand, from the
+# catalogue's priority order: a bare word is an enum value, and so is what follows a quoted text.
+# ----------------------------------------------------------------------------------------------
+FORMS = [
+    ("schema {", None, None), ("type T%d {", "type_def", "T%d"), ('type T%d @key(fields: "id") {', "type_def", "T%d"), ("type T%d", "type_def", "T%d"),
+    ("type T%d implements Node {", "type_def_implements", "T%d"), ("type T%d implements Node & Entity {", "type_def_implements_multiple", "T%d"),
+    ("extend type T%d {", "type_extend", "T%d"), ("extend type T%d implements Node {", "type_extend_implements", "T%d"),
+    ('"""text""" type T%d {', "type_def_description", "T%d"), ("interface I%d {", "interface_def", "I%d"),
+    ("interface I%d implements Node {", "interface_def_implements", "I%d"), ("extend interface I%d {", "interface_extend", "I%d"),
+    ('"text" interface I%d {', "interface_def_description", "I%d"), ("enum E%d {", "enum_def", "E%d"), ("extend enum E%d", "enum_extend", "E%d"),
+    ('"""text""" enum E%d {', "enum_def_description", "E%d"), ("  V%d", "enum_value", "V%d"), ('  V%d @deprecated(reason: "old")', "enum_value_deprecated", "V%d"),
+    ("  V%d @internal", "enum_value_directive", "V%d"), ('  "text" V%d', "enum_value_description", "V%d"), ("input N%d {", "input_def", "N%d"),
+    ("extend input N%d {", "input_extend", "N%d"), ('"text" input N%d {', "enum_value_description", "input"), ("union U%d = A | B", "union_def", "U%d"),
+    ("extend union U%d = C", "union_extend", "U%d"), ("scalar S%d", "scalar_def", "S%d"), ('scalar S%d @specifiedBy(url: "x")', "scalar_directive", "S%d"),
+    ("directive @d%d on FIELD", "enum_value_directive", "directive"), ("  f%d: Int", "field_def", "f%d"), ("  f%d(a: Int): Int", "field_def_with_args", "f%d"),
+    ("  f%d: Int!", "field_def", "f%d"), ("  f%d: [T]!", "field_def", "f%d"), ("  f%d(a: Int): [T!]!", "field_def_with_args", "f%d"),
+    ('  f%d: "x" @deprecated', "field_def_deprecated", "f%d"), ('  f%d: "x" @live', "field_def_directive", "f%d"), ('  "text" f%d: Int', "enum_value_description", "f%d"),
+    ("query {", "query_operation", "query"), ("query Q%d {", "query_operation_named", "Q%d"), ("query Q%d($a: ID) {", "query_operation_with_vars", "Q%d"),
+    ("{ q%d }", None, None), ("mutation {", "mutation_operation", "mutation"), ("mutation M%d {", "mutation_operation_named", "M%d"),
+    ("mutation M%d($a: ID) {", "mutation_operation_with_vars", "M%d"), ("subscription {", "subscription_operation", "subscription"),
+    ("subscription B%d {", "subscription_operation_named", "B%d"), ("subscription B%d($a: ID) {", "subscription_operation_with_vars", "B%d"),
+    ("fragment G%d on T {", "fragment_def", "G%d"), ("fragment G%d on T @live {", "fragment_def_directive", "G%d"), ("... on T%d {", "inline_fragment", "T%d"),
+    ("$v%d: ID", "variable_def", "v%d"), ("$v%d: ID!", "variable_def", "v%d"), ("  $v%d: ID", None, None), ("# type T%d {", None, None), ("", None, None), ("}", None, None),
+]
+
+
+def catalogue_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"))
+    form = F.element_at(F.array(*[F.lit(t) for t, _, _ in FORMS]), (F.col("pk") % len(FORMS) + 1).cast("int"))
+    return part.select("pk", F.lit("catalogue").alias("path"), F.col("pk").cast("int").alias("line"), F.replace(form, F.lit("%d"), F.col("pk").cast("string")).alias("text"))
+
+
+# ----------------------------------------------------------------------------------------------
+# Nested corpus — one file per supplier ``deep/s<7 digits>.graphqls``, n = s % 6 + 1 types inside each other
+#   k (1..n)           type N<k> {
+#   n + 1              f<s>: Int                in the innermost
+#   n + 2 + 2 (n - k)  }                        closes N<k>
+#   the line after it  g<k - 1>: Int            in N<k - 1>, where k > 1
+# ----------------------------------------------------------------------------------------------
+
+def nested_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"), (F.col("s_suppkey") % 6 + 1).alias("n"))
+    s = s.select("s", "n", F.format_string("deep/s%07d.graphqls", F.col("s")).alias("path"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("k"))
+    n, k = F.col("n"), F.col("k")
+    close = n + 2 + 2 * (n - k)
+    rows = s.select("path", F.explode(F.array(
+        F.struct(k.alias("line"), F.format_string("type N%d {", k).alias("text")),
+        F.struct(close.alias("line"), F.lit("}").alias("text")),
+        F.struct(F.when(k > 1, close + 1).alias("line"), F.format_string("g%d: Int", k - 1).alias("text")),
+        F.struct(F.when(k == 1, n + 1).alias("line"), F.format_string("f%d: Int", F.col("s")).alias("text")))).alias("x"))
+    return rows.select("path", F.col("x.line").cast("int").alias("line"), F.col("x.text").alias("text")).filter("line is not null")
