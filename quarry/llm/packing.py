@@ -46,7 +46,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, enc, seen = TaskContext.get().partitionId(), encoder(path, "spaced"), [0] * (capacity + 1)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 << 20):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.many(texts_of(batch))):
                 ids += end

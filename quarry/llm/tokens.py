@@ -76,7 +76,7 @@ class TextEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes. Each cache holds up to ``limit`` entries and the
     ``limit`` before them. ``plain_added``: the strings of added tokens are ordinary text."""
 
-    def __init__(self, path: str, style: str, limit: int = 300_000, plain_added: bool = False):
+    def __init__(self, path: str, style: str, limit: int = 150_000, plain_added: bool = False):
         from tokenizers import Tokenizer
 
         assert sys.byteorder == "little" and array("I").itemsize == 4
@@ -186,7 +186,7 @@ class PieceEncoder:
     #: A run of spaces and what follows it.
     CHUNK = re.compile(rb" *[^ ]+| +")
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 150_000):
         import sentencepiece
 
         self.whole = sentencepiece.SentencePieceProcessor(model_file=path)

@@ -183,7 +183,7 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
                 "n_ids": pa.array([held], pa.int64()), "n_docs": pa.array([len(doc_ids)], pa.int64()), "shard": pa.array([data], pa.binary()),
             })
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 << 20):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.many(texts_of(batch))):
                 ids += end
                 found.append(ids), doc_ids.append(doc_id), starts.append(held)
