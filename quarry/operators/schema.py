@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -148,36 +148,38 @@ def doubled(tree: DataFrame, rounds: int, merge: dict[str, Callable[[Column, Col
     return tree
 
 
-def enclosing_blocks(d: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes with up_line, up_level and around_line: the block they stand in and the one whose range covers their line;
-    blocks(path, line, level, obj_type, up_line, up_level)).
+def enclosing_blocks(d: DataFrame, nodes: DataFrame) -> tuple[DataFrame, int]:
+    """(nodes and unnamed blocks with up_line, up_level, the block they stand in, and around_line, the start of the one
+    whose range covers their line; the number of levels that blocks are on, at least 1).
 
-    A block is a brace level that a line opens: a container's or an unnamed one. A line in depth n stands in the latest
-    block of level n that was opened before it, so each node and each block asks one (path, level) for its latest line:
-    as many rows as nodes and braces, however deep they nest. A node that closes braces stands in what they leave open."""
+    A block is a brace level that a line opens: a container's or an unnamed one (``unnamed``). A line in depth n stands in
+    the latest block of level n that was opened before it, so each node and each block asks one (path, level) for its
+    latest line: as many rows as nodes and braces, however deep they nest. A node that closes braces stands in what
+    they leave open."""
     proper = F.col("pattern_key").isNotNull() & (F.col("opens") > 0) & (F.col("opens") != F.col("closes"))
     own = F.col("depth") - F.col("opens") + 1
     opened = d.filter((F.col("net") > 0) & ~(proper & (F.col("opens") == 1))).select(
         "path", "line", "depth_prev", F.when(proper, own).alias("own"), F.explode(F.sequence(F.col("depth_prev") + 1, F.col("depth"))).alias("level"))
-    unnamed = opened.filter(F.col("own").isNull() | (F.col("level") != F.col("own")))
+    opened = opened.filter(F.col("own").isNull() | (F.col("level") != F.col("own")))
     same_line = (F.col("level") - 1 > F.col("depth_prev")) | (F.col("level") - 1 == F.coalesce("own", F.col("level")))
-    unnamed = unnamed.select("path", "line", "level", (F.col("level") - 1).alias("up_level"), F.when(same_line, F.col("line")).alias("up_line"))
-    containers = nodes.filter(F.col("is_container") & ~F.col("single_line"))
+    unnamed = opened.select("path", "line", "level", (F.col("level") - 1).alias("up_level"), F.when(same_line, F.col("line")).alias("own_line"), F.lit(True).alias("unnamed"))
     stands, covers = F.least("depth_prev", "depth"), F.col("depth_prev")
+    rows = nodes.withColumn("up_level", stands).withColumn("unnamed", F.lit(False)).unionByName(unnamed, allowMissingColumns=True)
     asked = nodes.select("path", "line", F.explode(F.array_distinct(F.array(stands, covers))).alias("level")) \
-        .unionByName(unnamed.filter("up_line is null").select("path", "line", F.col("up_level").alias("level"))).distinct()
-    starts = containers.select("path", "line", "level").unionByName(unnamed.select("path", "line", "level"))
+        .unionByName(unnamed.filter("own_line is null").select("path", "line", F.col("up_level").alias("level"))).distinct()
+    starts = nodes.filter(F.col("is_container") & ~F.col("single_line")).select("path", "line", "level").unionByName(unnamed.select("path", "line", "level"))
     events = asked.select("path", "level", "line", F.lit(0).alias("kind"), F.lit(None).cast("int").alias("at")) \
         .unionByName(starts.select("path", "level", "line", F.lit(1).alias("kind"), F.col("line").cast("int").alias("at")))
     found = asof_last(events, ["path", "level"], "line", "kind", "at", "o").filter("kind = 0 and o is not null")
-    found = stored(found.select("path", "line", "level", F.col("o").alias("up_line")), "blocks-around")
-    n = nodes.withColumn("up_level", stands).join(found.withColumnRenamed("level", "up_level"), ["path", "line", "up_level"], "left")
-    closing = nodes.filter("depth < depth_prev").select("path", "line", covers.alias("level")) \
-        .join(found.withColumnRenamed("up_line", "around_line"), ["path", "line", "level"]).select("path", "line", "around_line")
-    n = n.join(closing, ["path", "line"], "left").withColumn("around_line", F.coalesce("around_line", "up_line"))
-    asking = unnamed.filter("up_line is null").drop("up_line").join(found.withColumnRenamed("level", "up_level"), ["path", "line", "up_level"], "left")
-    anonymous = unnamed.filter("up_line is not null").unionByName(asking).withColumn("obj_type", F.lit(None).cast("string"))
-    return n, anonymous
+    found = found.groupBy("path", "line").agg(F.map_from_entries(F.collect_list(F.struct("level", "o"))).alias("found"))  # one or two levels a line
+    rows = rows.join(found, ["path", "line"], "left")
+    rows = rows.withColumn("up_line", F.coalesce("own_line", F.try_element_at("found", F.col("up_level")))) \
+        .withColumn("around_line", F.try_element_at("found", covers)).drop("found", "own_line")
+    is_block = F.col("unnamed") | (F.col("is_container") & ~F.col("single_line"))
+    span = Observation()
+    rows = stored(rows.observe(span, F.max(F.when(is_block, F.col("level"))).alias("top"), F.min(F.when(is_block, F.col("level"))).alias("low")), "nodes")
+    seen = span.get
+    return rows, (seen["top"] - seen["low"] + 1 if seen.get("top") is not None else 1)
 
 
 def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet = DEFAULT_PATTERNS) -> dict[str, DataFrame]:
@@ -188,25 +190,14 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
     those that are not.
     """
     d, nodes, closed = build_nodes(lines, ps)
-    n_lines = files_n_lines.select("path", "n_lines")
-
-    # end line of every node
-    nodes = nodes.join(closed.withColumnRenamed("start", "line"), on=["path", "level", "line"], how="left")
-    nodes = nodes.join(n_lines, on="path", how="left")
-    nodes = nodes.withColumn(
-        "end_line",
-        F.when(F.col("is_container") & ~F.col("single_line"), F.coalesce(F.col("close_line"), F.col("n_lines")))
-        .otherwise(F.col("line"))).drop("close_line", "n_lines")
+    is_block = F.col("is_container") & ~F.col("single_line")
 
     # --- the block that each node stands in, and the tree of blocks ---------------------------
-    nodes, unnamed = enclosing_blocks(d, stored(nodes, "nodes"))
-    nodes = stored(nodes, "nodes")
-    is_block = F.col("is_container") & ~F.col("single_line")
-    blocks = nodes.filter(is_block).select("path", "line", "level", "obj_type", "up_line", "up_level").unionByName(unnamed)
-    span = blocks.agg((F.max("level") - F.min("level") + 1).alias("n")).first()["n"] or 1
+    rows, span = enclosing_blocks(d, nodes)
     rounds = (int(span) - 1).bit_length()
-    here = F.struct("line", "level")
-    kind = "map<string, struct<line: int, level: bigint>>"
+    blocks = rows.filter(F.col("unnamed") | is_block).select("path", "line", "level", "name", "obj_type", "up_line", "up_level")
+    here = F.struct("line", "level", "name")
+    kind = "map<string, struct<line: int, level: bigint, name: string>>"
     # the nearest container of each type on the way up, and the nearest of any type under ''
     near = F.when(F.col("obj_type").isNotNull(), F.map_from_arrays(F.array(F.col("obj_type"), F.lit("")), F.array(here, here))).otherwise(F.create_map())
     tree = blocks.select("path", "line", "level", F.col("up_line").alias("to_line"), F.when(F.col("up_line").isNotNull(), F.col("up_level")).alias("to_level"),
@@ -215,17 +206,24 @@ def extract_objects(lines: DataFrame, files_n_lines: DataFrame, ps: PatternSet =
 
     # --- parents: the nearest container of the expected type, else the nearest one, else the root ----
     above = tree.select("path", F.col("line").alias("up_line"), F.col("level").alias("up_level"), "near")
-    n = nodes.join(above, ["path", "up_line", "up_level"], "left")
+    n = rows.filter("not unnamed").drop("unnamed").join(above, ["path", "up_line", "up_level"], "left")
     rooted = F.col("expected_parent").isNull() | F.col("expected_parent").isin(*ROOT_PARENTS)
-    n = n.withColumn("p", F.when(~rooted, F.coalesce(F.try_element_at("near", F.col("expected_parent")), F.try_element_at("near", F.lit(""))))) \
-        .withColumn("p_line", F.col("p.line")).withColumn("p_level", F.col("p.level")).drop("near", "p")
-    n = stored(n, "node-parents")
-    chain = n.filter(is_block).select("path", "line", "level", F.col("p_line").alias("to_line"), F.col("p_level").alias("to_level"),
-                                      F.array("name").alias("names"), F.array(F.col("line").cast("int")).alias("starts"))
-    chain = doubled(chain, rounds, {c: lambda a, b: F.concat(b, a) for c in ("names", "starts")}, "block-names")
-    chain = chain.select("path", F.col("line").alias("p_line"), F.col("level").alias("p_level"), F.struct("names", "starts").alias("chain"))
+    n = n.withColumn("p", F.when(~rooted, F.coalesce(F.try_element_at("near", F.col("expected_parent")), F.try_element_at("near", F.lit(""))))).drop("near")
     none = F.struct(F.array().cast("array<string>").alias("names"), F.array().cast("array<int>").alias("starts"))
-    n = n.join(chain, ["path", "p_line", "p_level"], "left").withColumn("chain", F.coalesce("chain", none)).drop("p_line", "p_level")
+    if rounds:
+        n = n.withColumn("p_line", F.col("p.line")).withColumn("p_level", F.col("p.level")).drop("p")
+        n = stored(n, "node-parents")
+        chain = n.filter(is_block).select("path", "line", "level", F.col("p_line").alias("to_line"), F.col("p_level").alias("to_level"),
+                                          F.array("name").alias("names"), F.array(F.col("line").cast("int")).alias("starts"))
+        chain = doubled(chain, rounds, {c: lambda a, b: F.concat(b, a) for c in ("names", "starts")}, "block-names")
+        chain = chain.select("path", F.col("line").alias("p_line"), F.col("level").alias("p_level"), F.struct("names", "starts").alias("chain"))
+        n = n.join(chain, ["path", "p_line", "p_level"], "left").withColumn("chain", F.coalesce("chain", none)).drop("p_line", "p_level")
+    else:  # no block is inside another: a parent has none itself
+        n = n.withColumn("chain", F.when(F.col("p").isNotNull(), F.struct(F.array("p.name").alias("names"), F.array("p.line").alias("starts"))).otherwise(none)).drop("p")
+
+    # end line of every node
+    n = n.join(closed.withColumnRenamed("start", "line"), on=["path", "level", "line"], how="left").join(files_n_lines.select("path", "n_lines"), on="path", how="left")
+    n = n.withColumn("end_line", F.when(is_block, F.coalesce(F.col("close_line"), F.col("n_lines"))).otherwise(F.col("line"))).drop("close_line", "n_lines")
     n = n.withColumn("parent_fullname",
                      F.when(F.size("chain.names") > 0, F.concat(F.col("path"), F.lit("."), F.array_join(F.col("chain.names"), ".")))
                      .otherwise(F.col("path"))) \
