@@ -65,27 +65,28 @@ def _page_files(spark, d):
     return analysis_for(spark, d)._get("page_files", build)
 
 
-_BUCKET = F.regexp_extract("path", r"bucket=(\d+)/", 1).cast("bigint").alias("bucket")
+def _bucket():
+    return F.regexp_extract("path", r"bucket=(\d+)/", 1).cast("bigint").alias("bucket")
 
 
 @query("scanned_lines")
 def scanned_lines(spark, d):
     """The files' lines, read by blocks."""
-    return scan_lines(spark, _page_files(spark, d), ["txt"]).select(_BUCKET, *_big("line"), F.md5(F.col("text").cast("binary")).alias("digest"))
+    return scan_lines(spark, _page_files(spark, d), ["txt"]).select(_bucket(), *_big("line"), F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query("scanned_files")
 def scanned_files(spark, d):
     """The files as rows; those of more than 32 KiB are errors."""
     files, _ = scan_checked(spark, _page_files(spark, d), ["TXT"], max_bytes=1 << 15)
-    return files.select(_BUCKET, F.length("content").cast("bigint").alias("n_chars"), F.md5(F.col("content").cast("binary")).alias("digest"))
+    return files.select(_bucket(), F.length("content").cast("bigint").alias("n_chars"), F.md5(F.col("content").cast("binary")).alias("digest"))
 
 
 @query("scan_errors")
 def scan_errors(spark, d):
     """A row per file that could not be a row."""
     _, errors = scan_checked(spark, _page_files(spark, d), ["txt"], max_bytes=1 << 15)
-    return errors.select(_BUCKET, "stage", "error")
+    return errors.select(_bucket(), "stage", "error")
 
 
 # ---------------------------------------------------------------- schema objects
