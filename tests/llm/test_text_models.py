@@ -1,5 +1,6 @@
 """Language ID, toxicity, LM scoring and sanitisation."""
 
+import copy
 import hashlib
 import math
 import re
@@ -163,6 +164,63 @@ def test_toxicity_pools_each_text_alone():
     assert np.allclose(both[0], want, atol=1e-4) and np.allclose(both[1], net.pooled(x[:4], np.array([0]))[0], atol=1e-4)
 
 
+def labelled_rows(spark):
+    """(docs, labels, (text, label) of each row to learn from): copies, a very long text, a repeated id, a null text."""
+    rows = [(i, f"word{i} stem{i % 7} {'vile' if i % 3 == 0 else 'kind'} tail{i % 11}", ("en", "de", None)[i % 4 % 3]) for i in range(160)]
+    rows += [(i, "a copy of one text", "en") for i in range(160, 200)] + [(200, "long text " * 30_000, "en"), (201, None, "en"), (1, rows[1][1], "en")]
+    labels = [(i, int(i % 3 == 0)) for i in range(202)]
+    want = {(t, int(i % 3 == 0)) for i, t, _ in rows if t is not None and crc32(str(i).encode()) % 5}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int"), want
+
+
+def test_toxicity_learns_from_every_row(spark):
+    """No label, length or number of rows is cut: rows, counts and a round of training against plain Python."""
+    docs, labels, want = labelled_rows(spark)
+    texts, shards = toxcnn.learnable(docs, labels, 40, 1 << 20)
+    got = texts.collect()
+    assert shards > 3 and len(got) == len(want) and {(r["text"], r["toxic"]) for r in got} == want
+    checks = {t: crc32(t.encode(), 1) % 4 == 0 for t, _ in want}
+    sums = toxcnn.counted(texts)
+    own = [(t, y) for t, y in want if not checks[t]]
+    assert toxcnn.whole(sums, "rows", 4).tolist() == [len(own), sum(y for _, y in own), len(want) - len(own), sum(y for t, y in want if checks[t])]
+    hits = np.zeros(toxcnn.BUCKETS, np.int64)
+    for t, y in own:
+        words = toxcnn.Words()
+        at = words.sequence([t.encode()])[0]
+        hits[np.unique(np.array(words.slots)[at])] += y
+    assert (toxcnn.whole(sums, "hits", toxcnn.BUCKETS) == hits).all()
+
+    net = toxcnn.Net()
+    net.prepared(toxcnn.whole(sums, "seen", toxcnn.BUCKETS), hits, sum(y for _, y in own) / len(own))
+    before, moves, steps, rows = {k: v.copy() for k, v in net.p.items()}, {k: 0.0 for k in net.p}, 0, 0
+    for shard in sorted({r["shard_"] for r in got}):
+        mine, words, part = copy.deepcopy(net), toxcnn.Words(), [r for r in got if r["shard_"] == shard and not checks[r["text"]]]
+        seqs = [words.sequence([r["text"].encode()])[0] for r in part]
+        moved = mine.fit(seqs, np.array(words.slots, np.int64), np.array([r["toxic"] for r in part]), 1, [1, shard])
+        for k in moves:
+            moves[k] = moves[k] + (mine.p[k] - before[k]).astype(float) * (moved[:, None] if k == "e" else len(part))
+        steps, rows = steps + moved, rows + len(part)
+    toxcnn.one_round(net, texts, 1, 1)
+    for k in moves:
+        assert np.allclose(net.p[k], before[k] + moves[k] / (np.maximum(steps, 1)[:, None] if k == "e" else rows), atol=1e-5), k
+    assert steps.any()
+
+
+def test_toxicity_thresholds_against_all_cuts(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k), float(x), int(y)) for k, x, y in zip(rng.integers(0, 3, 600), np.round(rng.normal(0, 3, 600), 2), rng.integers(0, 2, 600))]
+    rows += [(0, 900.0, 1), (0, -900.0, 0), (1, -70.5, 0)]
+    got = toxcnn.thresholds(spark.createDataFrame(rows, "guess int, logit double, toxic int").repartition(4))
+    for k in (-1, 0, 1, 2):
+        own = [(x, y) for g, x, y in rows if k in (-1, g)]
+        values, pos = sorted({x for x, _ in own}, reverse=True), sum(y for _, y in own)
+        f1 = [2 * sum(y for x, y in own if x >= v) / (sum(x >= v for x, _ in own) + pos) for v in values]
+        at = int(np.argmax(f1))
+        low = values[at + 1] if at + 1 < len(values) else values[at] - 1
+        assert got[k][1:] == (pos, len(own) - pos) and abs(got[k][0] - (values[at] + low) / 2) < 1e-9
+
+
 def test_toxicity_of_odd_texts(spark, edge, nothing):
     labels = spark.createDataFrame([(4, 1, 1), (4, 0, 0), (7, 1, 0), (10, 1, None), (6, 1, 0)], "doc_id long, quality int, toxic int")
     got = toxcnn.score(edge, labels)
