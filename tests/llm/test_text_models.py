@@ -207,6 +207,23 @@ def test_toxicity_learns_from_every_row(spark):
     assert steps.any()
 
 
+def test_toxicity_keeps_a_shard_in_one_task(spark):
+    """However Spark joins and deals rows: each task that holds some of a shard trains a net of its own."""
+    docs, labels, want = labelled_rows(spark)
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "23"}
+    old = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        texts, shards = toxcnn.learnable(docs, labels, 40, 1 << 20)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = texts.select("shard_", "text", "toxic", F.input_file_name().alias("file")).collect()
+    assert shards > 3 and {(r["text"], r["toxic"]) for r in got} == want and len(got) == len(want)
+    assert len({(r["shard_"], r["file"]) for r in got}) == len({r["shard_"] for r in got})
+
+
 def test_toxicity_thresholds_against_all_cuts(spark):
     rng = np.random.default_rng(3)
     rows = [(int(k), float(x), int(y)) for k, x, y in zip(rng.integers(0, 3, 600), np.round(rng.normal(0, 3, 600), 2), rng.integers(0, 2, 600))]
