@@ -82,3 +82,15 @@ def test_asof_orders_only_rows_with_a_value(spark):
     assert {(r.k, r.pos): r.o for r in got.collect()} == {("a", 1): 7, ("a", 5): 7, ("a", 6): 8, ("a", 9): 8, ("b", 5): None, (None, 3): 4, (None, 4): None}
     ordered = [x for x in _plan(got).split("\n") if "max_by" in x and "Aggregate" in x]
     assert ordered and "CASE WHEN isnotnull" not in ordered[0]  # rows without a value are left out before
+
+
+def test_lines_are_classified_once(spark, monkeypatch):
+    """The depth is a sum that reads its rows twice: the lines' totals come from the lines as they were, not as classified."""
+    seen = {}
+    monkeypatch.setattr(S, "stored", lambda df, name="step": seen.setdefault(name, df))
+    lines = spark.createDataFrame([("a", 1, "type A {"), ("a", 2, "  f: Int"), ("a", 3, "}"), ("b", 1, "enum E {")], "path string, line int, text string")
+    S.build_nodes(lines)
+    rows = seen["classified"]
+    assert _plan(rows).count("Generate ") == 1
+    got = {(r["path"], r["line"]): (r["name"], r["depth_prev"], r["depth"]) for r in rows.collect()}
+    assert got == {("a", 1): ("A", 0, 1), ("a", 2): ("f", 1, 1), ("a", 3): (None, 1, 0), ("b", 1): ("E", 0, 1)}
